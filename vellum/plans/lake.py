@@ -1,0 +1,54 @@
+"""The fact lake used by the stats queries, built once per session and data dir.
+
+  ontime_part    Parquet, year=/quarter=/month= folders   (partitioned external table)
+  ontime_nopart  Parquet, same rows, no folders          (unpartitioned external table)
+  ontime_monthly monthly aggregate table                 (the materialized view)
+
+The flat copy and the aggregate are derived from the partitioned copy, so the
+lineitem x orders join runs once.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from vellum.operators.lake import external_table, refresh_monthly_aggregate, unload
+from vellum.plans.fixtures import ontime
+from vellum.session import new_workspace, shared_root
+
+
+@dataclass(frozen=True)
+class Lake:
+    part: str
+    nopart: str
+    monthly: str
+
+    def facts_part(self, spark: SparkSession) -> DataFrame:
+        return external_table(spark, self.part)
+
+    def facts_nopart(self, spark: SparkSession) -> DataFrame:
+        return external_table(spark, self.nopart)
+
+    def mv(self, spark: SparkSession) -> DataFrame:
+        return external_table(spark, self.monthly)
+
+
+_BUILT: dict[tuple, Lake] = {}
+
+
+def build_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    root = new_workspace(spark, "lake")
+    lake = Lake(f"{root}/ontime_part", f"{root}/ontime_nopart", f"{root}/ontime_monthly")
+    unload(ontime(spark, sf_dir), lake.part, "parquet", partitioned=True)
+    unload(lake.facts_part(spark), lake.nopart, "parquet", partitioned=False)
+    refresh_monthly_aggregate(spark, lake.facts_part(spark), lake.monthly)
+    return lake
+
+
+def lake_for(spark: SparkSession, sf_dir: str) -> Lake:
+    key = (spark.sparkContext.applicationId, shared_root(spark), sf_dir.rstrip("/"))
+    if key not in _BUILT:
+        _BUILT[key] = build_lake(spark, sf_dir)
+    return _BUILT[key]
