@@ -112,6 +112,11 @@ def parse_payload(content) -> dict:
     except UnreadableFile as e:
         return {"metadata": None, "page_count": None, "chars": None, "text": None,
                 "parse_error": str(e)}
+    return assemble(meta, pages)
+
+
+def assemble(meta: dict, pages: list) -> dict:
+    """Decode each page on its own; a failing page contributes ""."""
     parts = []
     for page in pages:
         try:
@@ -123,12 +128,17 @@ def parse_payload(content) -> dict:
             "page_count": len(parts), "chars": len(text), "text": text, "parse_error": None}
 
 
-@F.pandas_udf(PAYLOAD_TYPE)
-def document_payload(content: pd.Series) -> pd.DataFrame:
+def _payload_batch(content: pd.Series) -> pd.DataFrame:
     rows = [parse_payload(c) for c in content]
     return pd.DataFrame(rows, columns=[f.name for f in PAYLOAD_TYPE.fields])
 
 
+# Marked nondeterministic so Catalyst neither duplicates the call (a filter on
+# one payload field would otherwise re-run the parser) nor moves it across the
+# repartition that spreads files over executors.
+document_payload = F.pandas_udf(_payload_batch, PAYLOAD_TYPE).asNondeterministic()
+
+
 def extract_documents(files: DataFrame, content_col: str = "content",
                       partitions: int | None = None) -> DataFrame:
     """Parse every row's ``content``; returns PROCESSED columns plus ``parse_error``.

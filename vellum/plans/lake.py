@@ -15,7 +15,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from vellum.operators.lake import external_table, refresh_monthly_aggregate, unload
-from vellum.plans.fixtures import ontime
+from vellum.operators.catalog import PROCESSED_SCHEMA, conform, read_table
+from vellum.operators.extract import extract_documents
+from vellum.plans.fixtures import ontime, raw_rows, stage_content, stage_listing
 from vellum.session import new_workspace, shared_root
 
 
@@ -52,3 +54,23 @@ def lake_for(spark: SparkSession, sf_dir: str) -> Lake:
     if key not in _BUILT:
         _BUILT[key] = build_lake(spark, sf_dir)
     return _BUILT[key]
+
+
+_PROCESSED: dict[tuple, str] = {}
+
+
+def build_processed(spark: SparkSession, sf_dir: str) -> str:
+    """PROCESSED as one batch job (what T2 produces incrementally): RAW rows of
+    the listing, bytes joined from the stage, parsed on executors, written once."""
+    path = new_workspace(spark, "processed") + "/pdf_processed_file_catalog"
+    files = raw_rows(stage_listing(spark, sf_dir)).join(stage_content(spark, sf_dir), "relative_path", "left")
+    parsed = extract_documents(files)
+    conform(parsed.where(parsed.parse_error.isNull()), PROCESSED_SCHEMA).write.mode("overwrite").parquet(path)
+    return path
+
+
+def processed_for(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, shared_root(spark), sf_dir.rstrip("/"))
+    if key not in _PROCESSED:
+        _PROCESSED[key] = build_processed(spark, sf_dir)
+    return read_table(spark, _PROCESSED[key], PROCESSED_SCHEMA).drop("insert_ts")

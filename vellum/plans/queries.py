@@ -24,7 +24,7 @@ from vellum.operators.catalog import (PROCESSED_SCHEMA, RAW_SCHEMA, VERSION_KEY,
 from vellum.operators.extract import document_payload, extract_documents
 from vellum.plans import fixtures as fx
 from vellum.plans.final import final_integrated
-from vellum.plans.lake import lake_for
+from vellum.plans.lake import lake_for, processed_for
 from vellum.session import new_workspace
 from vellum.sources import domains
 from vellum.sources.tables import table
@@ -316,7 +316,9 @@ def q_unload_partitioned(spark, sf_dir):
 # ---------------------------------------------------------------- final views
 
 def _final(spark, sf_dir, stats: DataFrame) -> DataFrame:
-    return final_integrated(_processed_batch(spark, sf_dir), fx.curated(spark, sf_dir), stats)
+    """The view over the PROCESSED table (built once per session by the batch
+    extraction job; the streaming T2 builds the same table incrementally)."""
+    return final_integrated(processed_for(spark, sf_dir), fx.curated(spark, sf_dir), stats)
 
 
 def q_final_integrated(spark, sf_dir):
