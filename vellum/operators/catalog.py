@@ -113,6 +113,8 @@ def quarantine(spark: SparkSession, bad: DataFrame, path: str) -> None:
 
     Keys may be NULL here, so the anti-join uses NULL-safe equality.
     """
+    if bad.isEmpty():   # the usual case: one short probe instead of a join and a write
+        return
     create_table(spark, path, QUARANTINE_SCHEMA)
     seen = read_table(spark, path, QUARANTINE_SCHEMA).alias("q")
     cols = ["relative_path", "last_modified", "reason"]

@@ -12,17 +12,21 @@ from pyspark.sql import types as T
 PARTITION_COLS = ["year", "quarter", "month"]
 
 
-def unload(facts: DataFrame, root: str, fmt: str = "parquet", partitioned: bool = True) -> None:
+def unload(facts: DataFrame, root: str, fmt: str = "parquet", partitioned: bool = True,
+           replace: str = "partitions") -> None:
     """Write facts under ``root``; partitioned -> year=/quarter=/month= folders.
 
     REBALANCE (an AQE hint) shuffles rows so that each task writes few, evenly
     sized files: a hot month is split into advisory-size pieces, small months
-    are coalesced.  Overwrite is dynamic per partition, so a re-run replaces
-    only the months it writes.
+    are coalesced.  ``replace="partitions"`` overwrites only the months being
+    written (a re-run of some months keeps the rest); ``replace="all"`` is the
+    cheaper commit for a fresh folder.
     """
+    mode = "dynamic" if replace == "partitions" else "static"
     if partitioned:
         out = facts.hint("rebalance", *PARTITION_COLS)
-        writer = out.write.mode("overwrite").partitionBy(*PARTITION_COLS)
+        writer = (out.write.mode("overwrite").option("partitionOverwriteMode", mode)
+                  .partitionBy(*PARTITION_COLS))
     else:
         writer = facts.hint("rebalance").write.mode("overwrite")
     if fmt == "csv":
@@ -77,6 +81,7 @@ def refresh_monthly_aggregate(spark: SparkSession, facts: DataFrame, mv_root: st
             cond = c if cond is None else (cond | c)
         src = facts.where(cond)
     (monthly_aggregate(src).coalesce(1).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic" if months else "static")
      .partitionBy(*PARTITION_COLS).parquet(mv_root))
 
 

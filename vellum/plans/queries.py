@@ -24,7 +24,7 @@ from vellum.operators.catalog import (PROCESSED_SCHEMA, RAW_SCHEMA, VERSION_KEY,
 from vellum.operators.extract import document_payload, extract_documents
 from vellum.plans import fixtures as fx
 from vellum.plans.final import final_integrated
-from vellum.plans.lake import lake_for, processed_for
+from vellum.plans.warehouse import curated_for, lake_for, processed_for
 from vellum.session import new_workspace
 from vellum.sources import domains
 from vellum.sources.tables import table
@@ -68,11 +68,11 @@ def _processed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stats_part(spark, sf_dir, year=STATS_YEAR, quarter=STATS_QUARTER) -> DataFrame:
-    return lake_ops.quarter_stats(lake_for(spark, sf_dir).facts_part(spark), year, quarter)
+    return lake_ops.quarter_stats(lake_for(spark, sf_dir).facts_part(), year, quarter)
 
 
 def _stats_nopart(spark, sf_dir, year=STATS_YEAR, quarter=STATS_QUARTER) -> DataFrame:
-    return lake_ops.quarter_stats(lake_for(spark, sf_dir).facts_nopart(spark), year, quarter)
+    return lake_ops.quarter_stats(lake_for(spark, sf_dir).facts_nopart(), year, quarter)
 
 
 RAW_OUT = ["file_name", "relative_path", "file_url", "scoped_url", "size", "last_modified", "extracted"]
@@ -213,7 +213,7 @@ def _run_pipeline(spark, sf_dir) -> tuple[steps.PipelineRoot, dict[str, DataFram
     root = steps.PipelineRoot.fresh(spark, "run")
     views = steps.run_once(
         spark, root, fx.stage_listing(spark, sf_dir), _content_fixture(spark, sf_dir),
-        fx.curated(spark, sf_dir),
+        curated_for(spark, sf_dir),
         {"final_integrated_part": _stats_part(spark, sf_dir),
          "final_integrated_nopart": _stats_nopart(spark, sf_dir)})
     return root, views
@@ -289,23 +289,23 @@ def q_stats_nopart(spark, sf_dir):
 
 
 def q_mv_ontime_monthly(spark, sf_dir):
-    return lake_for(spark, sf_dir).mv(spark).select(
+    return lake_for(spark, sf_dir).mv().select(
         "year", "quarter", "month", "n_flights", "n_arr_delay", "sum_arr_delay", "n_cancelled", "sum_cancelled")
 
 
 def q_mv_rollup_quarter(spark, sf_dir):
-    return lake_ops.rollup_quarter(lake_for(spark, sf_dir).mv(spark))
+    return lake_ops.rollup_quarter(lake_for(spark, sf_dir).mv())
 
 
 def q_mv_stats(spark, sf_dir):
-    return lake_ops.quarter_stats_from_mv(lake_for(spark, sf_dir).mv(spark), STATS_YEAR, STATS_QUARTER)
+    return lake_ops.quarter_stats_from_mv(lake_for(spark, sf_dir).mv(), STATS_YEAR, STATS_QUARTER)
 
 
 def q_unload_partitioned(spark, sf_dir):
     """CSV unload into year/quarter/month folders, read back with an explicit schema."""
     root = new_workspace(spark, "unload") + "/ontime_csv"
     facts = fx.ontime(spark, sf_dir)
-    lake_ops.unload(facts, root, "csv", partitioned=True)
+    lake_ops.unload(facts, root, "csv", partitioned=True, replace="all")
     back = lake_ops.external_table(spark, root, "csv", schema=facts.schema)
     return (back.groupBy("year", "quarter", "month")
             .agg(F.count(F.lit(1)).alias("n_rows"),
@@ -318,7 +318,7 @@ def q_unload_partitioned(spark, sf_dir):
 def _final(spark, sf_dir, stats: DataFrame) -> DataFrame:
     """The view over the PROCESSED table (built once per session by the batch
     extraction job; the streaming T2 builds the same table incrementally)."""
-    return final_integrated(processed_for(spark, sf_dir), fx.curated(spark, sf_dir), stats)
+    return final_integrated(processed_for(spark, sf_dir), curated_for(spark, sf_dir), stats)
 
 
 def q_final_integrated(spark, sf_dir):

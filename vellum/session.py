@@ -26,7 +26,6 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # whole documents travel through Arrow: keep batches small
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
 }
 
