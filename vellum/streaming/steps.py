@@ -101,8 +101,13 @@ def _process_batch(spark: SparkSession, root: PipelineRoot, content_for: Content
 
 
 def t2_incremental(spark: SparkSession, root: PipelineRoot, content_for: ContentFn,
-                   max_files_per_trigger: int | None = None, checkpoint: str | None = None) -> None:
-    """Run T2 until RAW is caught up (trigger availableNow), then return."""
+                   max_files_per_trigger: int | None = None, checkpoint: str | None = None,
+                   every: str | None = None):
+    """Run T2 until RAW is caught up (trigger availableNow), then return.
+
+    ``every="1 minute"`` instead starts it as a standing query on that
+    processing-time schedule and returns the StreamingQuery handle.
+    """
     create_table(spark, root.raw, RAW_SCHEMA)
     create_table(spark, root.processed, PROCESSED_SCHEMA)
     reader = spark.readStream.schema(RAW_SCHEMA)
@@ -111,10 +116,11 @@ def t2_incremental(spark: SparkSession, root: PipelineRoot, content_for: Content
     stream = reader.parquet(root.raw)
     query = (stream.writeStream
              .foreachBatch(lambda df, _epoch: _process_batch(df.sparkSession, root, content_for, df))
-             .option("checkpointLocation", checkpoint or root.t2_checkpoint)
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
+             .option("checkpointLocation", checkpoint or root.t2_checkpoint))
+    if every:
+        return query.trigger(processingTime=every).start()
+    query.trigger(availableNow=True).start().awaitTermination()
+    return None
 
 
 def t3_views(spark: SparkSession, root: PipelineRoot, curated: DataFrame,
