@@ -3,7 +3,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from vellum.operators import lake
-from vellum.operators.curate import flatten_json
+from vellum.operators.curate import flatten_json, media_url_lists
 from vellum.operators.joins import left_join_hot_safe, left_join_single_row
 
 
@@ -82,3 +82,17 @@ def test_csv_unload_needs_schema(spark, tmp_path):
     import pytest
     with pytest.raises(ValueError):
         lake.external_table(spark, root, "csv")
+
+
+def test_media_url_lists_split_a_hot_product_and_keep_every_url(spark):
+    rows = [("hot", f"http://m/{i:03d}") for i in range(40)] + [("cold", "http://c/1"), ("cold", "http://c/0")]
+    media = spark.createDataFrame(rows, "product_id string, url string")
+    out = media_url_lists(media, chunk_size=8).collect()
+    hot = [r for r in out if r.product_id == "hot"]
+    assert {r.n_chunks for r in hot} == {5} and 1 < len(hot) <= 5
+    assert sorted(u for r in hot for u in r.media_urls.split(",")) == sorted(u for p, u in rows if p == "hot")
+    assert sum(r.n_urls for r in hot) == 40 and max(r.n_urls for r in hot) < 40
+    for r in hot:
+        assert r.media_urls.split(",") == sorted(r.media_urls.split(","))
+    cold = [r for r in out if r.product_id == "cold"]
+    assert len(cold) == 1 and cold[0].media_urls == "http://c/0,http://c/1"

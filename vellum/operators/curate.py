@@ -47,6 +47,28 @@ def media_summary(media: DataFrame) -> DataFrame:
                  F.max("url").alias("last_media_url")))
 
 
+def url_chunk(url: F.Column, n_chunks: F.Column) -> F.Column:
+    """Chunk of a URL: first 32 bits of its md5, modulo the product's chunk count."""
+    return F.pmod(F.conv(F.substring(F.md5(url), 1, 8), 16, 10).cast("bigint"), n_chunks)
+
+
+def media_url_lists(media: DataFrame, chunk_size: int = 1000) -> DataFrame:
+    """Every media URL of a product as comma lists of bounded length.
+
+    A product with n URLs gets ceil(n / chunk_size) chunks; a URL's chunk comes
+    from its md5, so each list holds about ``chunk_size`` URLs however hot the
+    product is, and no value grows with the group.  All URLs are kept.  The
+    counts are a map-side combined aggregate; the join back to the media rows
+    is an inner join, whose skewed side AQE can split.
+    """
+    counts = (media.groupBy("product_id").agg(F.count(F.lit(1)).alias("media_count"))
+              .withColumn("n_chunks", F.ceil(F.col("media_count") / F.lit(chunk_size)).cast("bigint")))
+    chunked = media.join(counts, "product_id").withColumn("chunk", url_chunk(F.col("url"), F.col("n_chunks")))
+    return (chunked.groupBy("product_id", "chunk", "n_chunks")
+            .agg(F.count(F.lit(1)).alias("n_urls"),
+                 F.expr("listagg(url, ',') WITHIN GROUP (ORDER BY url)").alias("media_urls")))
+
+
 def returns_summary(returns: DataFrame) -> DataFrame:
     """returns(product_id, qty) -> one row per product."""
     return (returns.groupBy("product_id")

@@ -137,6 +137,13 @@ SELECT year, quarter,
        CAST(sum(cancelled) AS DOUBLE) / count(cancelled) AS cancel_rate
 FROM ontime WHERE year = 1999 AND quarter = 3 GROUP BY year, quarter"""
 
+_MEDIA_LISTS = """
+WITH m AS (SELECT CAST(page_id % 100 AS VARCHAR) AS product_id, url FROM pages),
+c AS (SELECT product_id, CAST(ceil(count(*) / 1000) AS BIGINT) AS n_chunks FROM m GROUP BY product_id)
+SELECT product_id, CAST(('0x' || substr(md5(url), 1, 8)) AS BIGINT) % n_chunks AS chunk, n_chunks,
+       count(*) AS n_urls, string_agg(url, ',' ORDER BY url) AS media_urls
+FROM m JOIN c USING (product_id) GROUP BY 1, 2, 3"""
+
 _DOMAIN_COUNTS = """
 SELECT 'product_master' AS domain, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_rejected FROM part
 UNION ALL SELECT 'sales_transactions', count(*), 0 FROM lineitem
@@ -195,6 +202,7 @@ SELECT 'raw' AS table_name, count(*) AS n_rows FROM raw_catalog
 UNION ALL SELECT 'processed', count(*) FROM processed""",
     "pipeline_end_to_end": _final_sql("stats"),
     "media_by_product": _with("media_summary") + "SELECT * FROM media_summary",
+    "media_url_lists": _MEDIA_LISTS,
     "returns_by_product": _with("returns_summary") + "SELECT * FROM returns_summary",
     "curated_feedback": _with("curated") + "SELECT * FROM curated",
     "geo_points": _GEO,

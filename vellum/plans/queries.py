@@ -40,6 +40,7 @@ STATS_YEAR, STATS_QUARTER = 1999, 3
 EMPTY_STATS_YEAR = 1899
 REVIEW_YEARS = (1998, 1999)
 EARLY_UPLOAD_BEFORE = "2024-01-16"
+MEDIA_CHUNK = 1000
 
 
 def presentable(df: DataFrame) -> DataFrame:
@@ -244,6 +245,10 @@ def q_media_by_product(spark, sf_dir):
     return curate.media_summary(fx.media(spark, sf_dir))
 
 
+def q_media_url_lists(spark, sf_dir):
+    return curate.media_url_lists(fx.media(spark, sf_dir), MEDIA_CHUNK)
+
+
 def q_returns_by_product(spark, sf_dir):
     return curate.returns_summary(fx.returns(spark, sf_dir)).select(
         "product_id", "return_count", F.col("return_qty").alias("return_qty"))
@@ -366,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "pipeline_end_to_end": q_pipeline_end_to_end,
     "run_history": q_run_history,
     "media_by_product": q_media_by_product,
+    "media_url_lists": q_media_url_lists,
     "returns_by_product": q_returns_by_product,
     "curated_feedback": q_curated_feedback,
     "geo_points": q_geo_points,
