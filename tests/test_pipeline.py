@@ -93,3 +93,21 @@ def test_listing_never_reads_content_and_t1_is_anti_join(spark, tmp_path):
     create_table(spark, root.raw, RAW_SCHEMA)
     diff = steps.detect_new_files(list_stage(spark, stage), read_table(spark, root.raw, RAW_SCHEMA))
     assert "LeftAnti" in diff._jdf.queryExecution().executedPlan().toString()
+
+
+def test_run_once_twice_logs_rows_added(spark, sf_small, tmp_path):
+    from vellum.plans import fixtures as fx
+    from vellum.plans import queries as Q
+    from vellum.plans.warehouse import curated_for
+
+    root = steps.PipelineRoot(str(tmp_path / "root"))
+    args = (fx.stage_listing(spark, sf_small), Q._content_fixture(spark, sf_small), curated_for(spark, sf_small),
+            {"final_integrated_part": Q._stats_part(spark, sf_small)})
+    views = steps.run_once(spark, root, *args)
+    assert views["final_integrated_part"].count() == 68
+    steps.run_once(spark, root, *args)
+    hist = steps.run_history(spark, root).collect()
+    assert len(hist) == 6 and all(r.state == "SUCCEEDED" for r in hist)
+    added = sorted((r.name, r.rows_added) for r in hist)
+    assert added == [("t1_register", 0), ("t1_register", 34), ("t2_extract", 0), ("t2_extract", 34),
+                     ("t3_model", 0), ("t3_model", 0)]

@@ -137,37 +137,45 @@ def t3_views(spark: SparkSession, root: PipelineRoot, curated: DataFrame,
     return views
 
 
-def _table_rows(spark: SparkSession, path: str, schema: T.StructType) -> int:
-    return read_table(spark, path, schema).count()
+def _rows_since(spark: SparkSession, path: str, schema: T.StructType, since: dt.datetime) -> int:
+    """Rows a step appended: those stamped at or after its start (insert_ts is set at write time)."""
+    return read_table(spark, path, schema).where(F.col("insert_ts") >= F.lit(since)).count()
 
 
-def _log(spark: SparkSession, root: PipelineRoot, name: str, state: str, started: dt.datetime,
-         rows: int | None, error: str | None) -> None:
-    row = [(name, state, started, dt.datetime.now(dt.timezone.utc), rows, error)]
-    spark.createDataFrame(row, HISTORY_SCHEMA).coalesce(1).write.mode("append").parquet(root.history)
+def _write_history(spark: SparkSession, root: PipelineRoot, rows: list[tuple]) -> None:
+    if rows:
+        spark.createDataFrame(rows, HISTORY_SCHEMA).coalesce(1).write.mode("append").parquet(root.history)
+
+
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc)
 
 
 def run_once(spark: SparkSession, root: PipelineRoot, listing: DataFrame, content_for: ContentFn,
              curated: DataFrame, stats_by_view: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """EXECUTE TASK T1: T1, then T2, then T3, each awaited; one history row per step.
-    A failed step is logged and stops the run (later steps do not start)."""
+    """EXECUTE TASK T1: T1, then T2, then T3, each awaited; one history row per step,
+    written together when the run ends.  A failed step is logged and stops the
+    run (later steps do not start)."""
     steps = [
         ("t1_register", lambda: t1_register(spark, listing, root), (root.raw, RAW_SCHEMA)),
         ("t2_extract", lambda: t2_incremental(spark, root, content_for), (root.processed, PROCESSED_SCHEMA)),
     ]
-    for name, fn, (path, schema) in steps:
-        started = dt.datetime.now(dt.timezone.utc)
-        before = _table_rows(spark, path, schema)
-        try:
-            fn()
-        except Exception as e:
-            _log(spark, root, name, "FAILED", started, None, f"{type(e).__name__}: {e}"[:1000])
-            raise
-        _log(spark, root, name, "SUCCEEDED", started, _table_rows(spark, path, schema) - before, None)
-    started = dt.datetime.now(dt.timezone.utc)
-    views = t3_views(spark, root, curated, stats_by_view)
-    _log(spark, root, "t3_model", "SUCCEEDED", started, 0, None)
-    return views
+    history: list[tuple] = []
+    try:
+        for name, fn, (path, schema) in steps:
+            started = _now()
+            try:
+                fn()
+            except Exception as e:
+                history.append((name, "FAILED", started, _now(), None, f"{type(e).__name__}: {e}"[:1000]))
+                raise
+            history.append((name, "SUCCEEDED", started, _now(), _rows_since(spark, path, schema, started), None))
+        started = _now()
+        views = t3_views(spark, root, curated, stats_by_view)
+        history.append(("t3_model", "SUCCEEDED", started, _now(), 0, None))
+        return views
+    finally:
+        _write_history(spark, root, history)
 
 
 def run_history(spark: SparkSession, root: PipelineRoot, name_like: str = "%t%",
