@@ -27,12 +27,12 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 
 HEADLINE = [
-    "stats_nopart", "stats_part", "mv_stats",
+    "stats_nopart", "stats_part", "mv_stats", "stats_nopart_csv", "stats_part_csv",
     "final_integrated", "final_nopart", "final_filtered", "final_count",
     "curated_feedback", "flatten_product_json", "mv_rollup_quarter",
-    "extract_documents", "new_files", "unload_partitioned", "pipeline_end_to_end",
+    "extract_documents", "new_files", "unload_partitioned", "pipeline_end_to_end", "stage_t1_t2",
 ]
-ONE_SHOT = {"unload_partitioned", "pipeline_end_to_end", "extract_documents", "new_files"}
+ONE_SHOT = {"unload_partitioned", "pipeline_end_to_end", "extract_documents", "new_files", "stage_t1_t2"}
 
 
 def _files(root: str, prefix: tuple[str, ...] = ()) -> tuple[int, int]:
@@ -85,6 +85,8 @@ def main() -> None:
         "stats_nopart": _files(lake.nopart),
         "stats_part": _files(lake.part, (y, q)),
         "mv_stats": _files(lake.monthly, (y, q)),
+        "stats_nopart_csv": _files(lake.csv_nopart),
+        "stats_part_csv": _files(lake.csv_part, (y, q)),
     }
     out = {
         "metric": "total_query_sec",
@@ -100,6 +102,8 @@ def main() -> None:
             "time_nopart_over_part": round(times["stats_nopart"] / max(times["stats_part"], 1e-9), 2),
             "bytes_nopart_over_part": round(scans["stats_nopart"][1] / max(scans["stats_part"][1], 1), 2),
             "time_nopart_over_mv": round(times["stats_nopart"] / max(times["mv_stats"], 1e-9), 2),
+            "csv_time_nopart_over_part": round(times["stats_nopart_csv"] / max(times["stats_part_csv"], 1e-9), 2),
+            "csv_bytes_nopart_over_part": round(scans["stats_nopart_csv"][1] / max(scans["stats_part_csv"][1], 1), 2),
         },
     }
     print(json.dumps(out))

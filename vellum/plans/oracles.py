@@ -193,6 +193,9 @@ ORACLES: dict[str, str] = {
     "t2_join_raw": _with("raw_catalog") + """
 SELECT file_name, relative_path, file_url, last_modified FROM raw_catalog
 WHERE last_modified >= TIMESTAMP '2024-01-16 00:00:00'""",
+    "stage_listing_files": _with("stage_files") + "SELECT relative_path, size, last_modified FROM stage_files",
+    "stage_t1_t2": _with("processed") + """
+SELECT pdf_id, file_name, relative_path, last_modified, pdf_metadata, page_count, extracted_text FROM processed""",
     "extract_documents": _with("processed") + f"SELECT {PROCESSED_COLS} FROM processed",
     "extract_sample": _EXTRACT_SAMPLE,
     "t2_incremental": _with("processed") + f"SELECT {PROCESSED_COLS} FROM processed",
@@ -210,6 +213,8 @@ UNION ALL SELECT 'processed', count(*) FROM processed""",
     "load_raw_domains": _DOMAIN_COUNTS,
     "stats_part": _with("stats") + "SELECT * FROM stats",
     "stats_nopart": _with("stats") + "SELECT * FROM stats",
+    "stats_part_csv": _with("stats") + "SELECT * FROM stats",
+    "stats_nopart_csv": _with("stats") + "SELECT * FROM stats",
     "mv_ontime_monthly": _MONTHLY,
     "mv_rollup_quarter": _ROLLUP,
     "mv_stats": _MV_STATS,

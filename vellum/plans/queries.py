@@ -26,7 +26,7 @@ from vellum.plans import fixtures as fx
 from vellum.plans.final import final_integrated
 from vellum.plans.warehouse import curated_for, lake_for, processed_for
 from vellum.session import new_workspace
-from vellum.sources import domains
+from vellum.sources import domains, stage
 from vellum.sources.tables import table
 from vellum.streaming import steps
 
@@ -167,6 +167,29 @@ def q_t2_join_raw(spark, sf_dir):
     return events.join(raw, VERSION_KEY, "inner").select("file_name", "relative_path", "file_url", "last_modified")
 
 
+def _real_stage(spark, sf_dir) -> str:
+    """The fixture's files written into a real stage folder (with their mtimes)."""
+    stage_dir = new_workspace(spark, "stage") + "/docs_stage"
+    stage.upload(fx.stage_files(spark, sf_dir), stage_dir)
+    return stage_dir
+
+
+def q_stage_listing_files(spark, sf_dir):
+    """DIRECTORY(@stage) over real files: binaryFile listing, content never read."""
+    listing = stage.list_stage(spark, _real_stage(spark, sf_dir))
+    return listing.select("relative_path", "size", "last_modified")
+
+
+def q_stage_t1_t2(spark, sf_dir):
+    """T1 on the real stage listing, T2 reading each new file's bytes by path on executors."""
+    stage_dir = _real_stage(spark, sf_dir)
+    root = steps.PipelineRoot.fresh(spark, "stagerun")
+    steps.t1_register(spark, stage.list_stage(spark, stage_dir), root)
+    steps.t2_incremental(spark, root, lambda todo: todo.withColumn("content", stage.read_file_bytes("scoped_url")))
+    out = read_table(spark, root.processed, PROCESSED_SCHEMA)
+    return presentable(out.select(*[c for c in PROCESSED_OUT if c != "file_url"]))
+
+
 # ---------------------------------------------------------------- T2: extract
 
 def q_extract_documents(spark, sf_dir):
@@ -293,6 +316,14 @@ def q_stats_nopart(spark, sf_dir):
     return _stats_nopart(spark, sf_dir)
 
 
+def q_stats_part_csv(spark, sf_dir):
+    return lake_ops.quarter_stats(lake_for(spark, sf_dir).csv_facts_part(), STATS_YEAR, STATS_QUARTER)
+
+
+def q_stats_nopart_csv(spark, sf_dir):
+    return lake_ops.quarter_stats(lake_for(spark, sf_dir).csv_facts_nopart(), STATS_YEAR, STATS_QUARTER)
+
+
 def q_mv_ontime_monthly(spark, sf_dir):
     return lake_for(spark, sf_dir).mv().select(
         "year", "quarter", "month", "n_flights", "n_arr_delay", "sum_arr_delay", "n_cancelled", "sum_cancelled")
@@ -363,6 +394,8 @@ QUERIES: dict[str, Query] = {
     "t1_replay": q_t1_replay,
     "new_files": q_new_files,
     "t2_join_raw": q_t2_join_raw,
+    "stage_listing_files": q_stage_listing_files,
+    "stage_t1_t2": q_stage_t1_t2,
     "extract_documents": q_extract_documents,
     "extract_sample": q_extract_sample,
     "t2_incremental": q_t2_incremental,
@@ -379,6 +412,8 @@ QUERIES: dict[str, Query] = {
     "load_raw_domains": q_load_raw_domains,
     "stats_part": q_stats_part,
     "stats_nopart": q_stats_nopart,
+    "stats_part_csv": q_stats_part_csv,
+    "stats_nopart_csv": q_stats_nopart_csv,
     "mv_ontime_monthly": q_mv_ontime_monthly,
     "mv_rollup_quarter": q_mv_rollup_quarter,
     "mv_stats": q_mv_stats,

@@ -3,6 +3,7 @@
   ontime_part     Parquet, year=/quarter=/month= folders   (partitioned external table)
   ontime_nopart   Parquet, same rows, no folders          (unpartitioned external table)
   ontime_monthly  monthly aggregate table                 (the materialized view)
+  ontime_csv_*    the facts as CSV, partitioned and flat   (the unload procedure's format)
   processed       PROCESSED document catalog              (what T2 produces)
   curated         CURATED_PRODUCT_FEEDBACK                (the curation pipeline's table)
 
@@ -29,11 +30,15 @@ class Lake:
         self.part = f"{root}/ontime_part"
         self.nopart = f"{root}/ontime_nopart"
         self.monthly = f"{root}/ontime_monthly"
+        self.csv_part = f"{root}/ontime_csv_part"
+        self.csv_nopart = f"{root}/ontime_csv_nopart"
+        self.csv_schema = None
         self._tables: dict[str, DataFrame] = {}
 
-    def _open(self, path: str) -> DataFrame:
+    def _open(self, path: str, fmt: str = "parquet") -> DataFrame:
         if path not in self._tables:
-            df = external_table(self.spark, path)
+            schema = self.csv_schema if fmt == "csv" else None
+            df = external_table(self.spark, path, fmt, schema=schema)
             df.createOrReplaceTempView("ext_" + path.rsplit("/", 1)[-1])
             self._tables[path] = df
         return self._tables[path]
@@ -52,6 +57,12 @@ class Lake:
     def mv(self, spark: SparkSession | None = None) -> DataFrame:
         return self._open(self.monthly)
 
+    def csv_facts_part(self) -> DataFrame:
+        return self._open(self.csv_part, "csv")
+
+    def csv_facts_nopart(self) -> DataFrame:
+        return self._open(self.csv_nopart, "csv")
+
 
 def build_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """The join runs once: the flat copy and the aggregate derive from the partitioned copy."""
@@ -59,6 +70,11 @@ def build_lake(spark: SparkSession, sf_dir: str) -> Lake:
     unload(ontime(spark, sf_dir), lake.part, "parquet", partitioned=True, replace="all")
     unload(external_table(spark, lake.part), lake.nopart, "parquet", partitioned=False, replace="all")
     refresh_monthly_aggregate(spark, external_table(spark, lake.part), lake.monthly)
+    # the same facts as CSV, the format the unload procedure writes
+    facts = external_table(spark, lake.part)
+    lake.csv_schema = facts.schema
+    unload(facts, lake.csv_part, "csv", partitioned=True, replace="all")
+    unload(facts, lake.csv_nopart, "csv", partitioned=False, replace="all")
     return lake
 
 

@@ -60,3 +60,48 @@ def _open_bytes(url: str) -> bytes | None:
 def read_file_bytes(urls: pd.Series) -> pd.Series:
     """Bytes of each file, read on the executor that parses it; unreadable -> NULL."""
     return pd.Series([_open_bytes(u) for u in urls], dtype=object)
+
+
+def _local(url: str) -> str | None:
+    if url.startswith("file:"):
+        return re.sub(r"^file:(//)?", "", url)
+    return None if "://" in url else url
+
+
+def upload(files: DataFrame, stage_dir: str) -> int:
+    """PUT files into a stage: each row's ``content`` becomes ``stage_dir/relative_path``.
+
+    Executors write their own rows (no bytes pass through the driver); a
+    retried task rewrites the same paths.  On a local or mounted folder the
+    file's mtime is set to ``last_modified`` when given.  Returns the number of
+    files written.
+    """
+    root = stage_dir.rstrip("/")
+
+    def write(batches):
+        import os
+
+        import pyarrow.fs as pafs
+
+        for pdf in batches:
+            n = 0
+            for rel, content, mtime in zip(pdf["relative_path"], pdf["content"], pdf["last_modified"]):
+                target = f"{root}/{rel}"
+                data = content.encode("utf-8") if isinstance(content, str) else bytes(content)
+                local = _local(target)
+                if local is not None:
+                    os.makedirs(os.path.dirname(local), exist_ok=True)
+                    with open(local, "wb") as f:
+                        f.write(data)
+                    if mtime is not None and not pd.isna(mtime):
+                        secs = (pd.Timestamp(mtime) - pd.Timestamp("1970-01-01")).total_seconds()
+                        os.utime(local, (secs, secs))
+                else:
+                    fs, path = pafs.FileSystem.from_uri(target)
+                    with fs.open_output_stream(path) as f:
+                        f.write(data)
+                n += 1
+            yield pd.DataFrame({"n": [n]})
+
+    rows = files.select("relative_path", "content", F.col("last_modified").cast("timestamp_ntz"))
+    return rows.mapInPandas(write, "n long").agg(F.sum("n")).collect()[0][0] or 0
