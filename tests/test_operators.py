@@ -96,3 +96,14 @@ def test_media_url_lists_split_a_hot_product_and_keep_every_url(spark):
         assert r.media_urls.split(",") == sorted(r.media_urls.split(","))
     cold = [r for r in out if r.product_id == "cold"]
     assert len(cold) == 1 and cold[0].media_urls == "http://c/0,http://c/1"
+
+
+def test_copy_into_keeps_bad_rows_visible(spark, tmp_path):
+    from vellum.sources import domains
+    stage = tmp_path / "media"
+    stage.mkdir()
+    (stage / "part-0.csv").write_text("media_id,url\n1,http://a\nnot-a-number,http://b\n2,http://c\n")
+    d = [x for x in domains.DOMAINS if x.name == "media_metadata"][0]
+    domains.copy_into(spark, d, str(stage), str(tmp_path / "raw"))
+    out = domains.load_counts(spark, {"media_metadata": str(tmp_path / "raw")}).collect()[0]
+    assert (out.n_rows, out.n_rejected) == (3, 1)

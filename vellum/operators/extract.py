@@ -133,23 +133,42 @@ def _payload_batch(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[f.name for f in PAYLOAD_TYPE.fields])
 
 
+def _payload_batch_at(urls: pd.Series) -> pd.DataFrame:
+    from vellum.sources.stage import _open_bytes
+
+    rows = []
+    for u in urls:
+        raw = _open_bytes(u)   # one file's bytes at a time, dropped after parsing
+        rows.append(parse_payload(raw) if raw is not None else
+                    {"metadata": None, "page_count": None, "chars": None, "text": None,
+                     "parse_error": "cannot open file"})
+    return pd.DataFrame(rows, columns=[f.name for f in PAYLOAD_TYPE.fields])
+
+
 # Marked nondeterministic so Catalyst neither duplicates the call (a filter on
 # one payload field would otherwise re-run the parser) nor moves it across the
 # repartition that spreads files over executors.
 document_payload = F.pandas_udf(_payload_batch, PAYLOAD_TYPE).asNondeterministic()
 
+# The same payload, opening each file by URL inside the task (as the
+# reference's function does): file bytes never become a column, so a batch of
+# large files holds one file's bytes at a time.
+document_payload_at = F.pandas_udf(_payload_batch_at, PAYLOAD_TYPE).asNondeterministic()
+
 
-def extract_documents(files: DataFrame, content_col: str = "content",
+def extract_documents(files: DataFrame, content_col: str = "content", url_col: str = "scoped_url",
                       partitions: int | None = None) -> DataFrame:
-    """Parse every row's ``content``; returns PROCESSED columns plus ``parse_error``.
+    """Parse every file; returns PROCESSED columns plus ``parse_error``.
 
     ``files`` carries RAW columns (file_name, relative_path, file_url,
-    last_modified) and the file bytes (or text) in ``content_col``.
+    last_modified).  With a ``content_col`` column the bytes (or text) come
+    from it; without one, each task opens the files at ``url_col`` itself.
     """
     spark = files.sparkSession
     n = partitions or spark.sparkContext.defaultParallelism
-    parsed = (files.repartition(n, "relative_path")
-              .withColumn("payload", document_payload(F.col(content_col))))
+    payload = (document_payload(F.col(content_col)) if content_col in files.columns
+               else document_payload_at(F.col(url_col)))
+    parsed = files.repartition(n, "relative_path").withColumn("payload", payload)
     return parsed.select(
         pdf_id("relative_path").alias("pdf_id"),
         "file_name", "relative_path", "file_url", "last_modified",

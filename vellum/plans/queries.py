@@ -185,7 +185,7 @@ def q_stage_t1_t2(spark, sf_dir):
     stage_dir = _real_stage(spark, sf_dir)
     root = steps.PipelineRoot.fresh(spark, "stagerun")
     steps.t1_register(spark, stage.list_stage(spark, stage_dir), root)
-    steps.t2_incremental(spark, root, lambda todo: todo.withColumn("content", stage.read_file_bytes("scoped_url")))
+    steps.t2_incremental(spark, root, lambda todo: todo)   # each task opens its files by scoped_url
     out = read_table(spark, root.processed, PROCESSED_SCHEMA)
     return presentable(out.select(*[c for c in PROCESSED_OUT if c != "file_url"]))
 
