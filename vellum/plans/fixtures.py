@@ -94,8 +94,9 @@ def ontime(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product master as 8-level nested JSON text: l1 ... l8, the leaf array
-    holds two {value, brand} elements, empty for every tenth product."""
+    """Product master as nested JSON text: product attributes at the top, then
+    an 8-level hierarchy l1 ... l8 whose leaf array holds two {value, brand}
+    elements, empty for every tenth product."""
     p = table(spark, sf_dir, "part")
     leaf = F.filter(
         F.array(F.struct((F.col("p_size") + 0).alias("value"), F.col("p_brand").alias("brand")),
@@ -104,7 +105,8 @@ def product_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     node = leaf
     for level in range(JSON_LEVELS - 1, 0, -1):
         node = F.array(F.struct(F.lit(level).alias("level"), node.alias(f"l{level + 1}")))
-    doc = F.struct(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"), node.alias("l1"))
+    doc = F.struct(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"),
+                   F.col("p_brand").alias("brand"), F.col("p_type").alias("category"), node.alias("l1"))
     return p.select("p_partkey", F.to_json(doc).alias("product_json"))
 
 

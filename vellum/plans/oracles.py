@@ -146,7 +146,7 @@ FROM m JOIN c USING (product_id) GROUP BY 1, 2, 3"""
 
 _DOMAIN_COUNTS = """
 SELECT 'product_master' AS domain, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_rejected FROM part
-UNION ALL SELECT 'sales_transactions', count(*), 0 FROM lineitem
+UNION ALL SELECT 'sales_transactions', count(*), 0 FROM orders
 UNION ALL SELECT 'customer_reviews', count(*), 0 FROM documents
 UNION ALL SELECT 'media_metadata', count(*), 0 FROM pages
 UNION ALL SELECT 'returns_issues', count(*), 0 FROM lineitem WHERE l_returnflag = 'R'"""
@@ -211,6 +211,7 @@ UNION ALL SELECT 'processed', count(*) FROM processed""",
     "geo_points": _GEO,
     "flatten_product_json": _FLATTEN,
     "load_raw_domains": _DOMAIN_COUNTS,
+    "layered_curation": _with("curated") + "SELECT * FROM curated",
     "stats_part": _with("stats") + "SELECT * FROM stats",
     "stats_nopart": _with("stats") + "SELECT * FROM stats",
     "stats_part_csv": _with("stats") + "SELECT * FROM stats",

@@ -301,6 +301,17 @@ def q_flatten_product_json(spark, sf_dir):
                        F.try_variant_get("node", "$.brand", "string").alias("brand"))
 
 
+def q_layered_curation(spark, sf_dir):
+    """Five domains staged and loaded (RAW), cleaned (STG), joined at review grain (CURATED)."""
+    from vellum.operators import layers
+    root = new_workspace(spark, "layers")
+    raw = domains.stage_and_load(spark, sf_dir, root)
+    stg = layers.build_stg(spark, raw, f"{root}/stg")
+    path = layers.build_curated(spark, stg, fx.customers(spark, sf_dir), fx.nations(spark, sf_dir),
+                                f"{root}/curated/product_feedback")
+    return presentable(spark.read.parquet(path))
+
+
 def q_load_raw_domains(spark, sf_dir):
     root = new_workspace(spark, "domains")
     return domains.load_counts(spark, domains.stage_and_load(spark, sf_dir, root))
@@ -410,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "geo_points": q_geo_points,
     "flatten_product_json": q_flatten_product_json,
     "load_raw_domains": q_load_raw_domains,
+    "layered_curation": q_layered_curation,
     "stats_part": q_stats_part,
     "stats_nopart": q_stats_nopart,
     "stats_part_csv": q_stats_part_csv,

@@ -30,41 +30,48 @@ class Domain:
 DOMAINS = [
     Domain("product_master", "json", T.StructType([
         T.StructField("product_id", T.LongType()), T.StructField("name", T.StringType()),
+        T.StructField("brand", T.StringType()), T.StructField("category", T.StringType()),
         T.StructField("l1", T.VariantType())])),
     Domain("sales_transactions", "csv", T.StructType([
-        T.StructField("order_id", T.LongType()), T.StructField("product_id", T.LongType()),
-        T.StructField("quantity", T.DoubleType()), T.StructField("amount", T.DoubleType()),
-        T.StructField("sold_at", T.TimestampNTZType())])),
+        T.StructField("order_id", T.LongType()), T.StructField("customer_id", T.LongType()),
+        T.StructField("order_date", T.TimestampNTZType()), T.StructField("total_price", T.DoubleType())])),
     Domain("customer_reviews", "json", T.StructType([
-        T.StructField("review_id", T.LongType()), T.StructField("review_text", T.StringType()),
-        T.StructField("lang", T.StringType())])),
+        T.StructField("review_id", T.LongType()), T.StructField("product_id", T.StringType()),
+        T.StructField("order_id", T.LongType()), T.StructField("rating", T.IntegerType()),
+        T.StructField("review_text", T.StringType()), T.StructField("lang", T.StringType())])),
     Domain("media_metadata", "csv", T.StructType([
-        T.StructField("media_id", T.LongType()), T.StructField("url", T.StringType())])),
+        T.StructField("media_id", T.LongType()), T.StructField("product_id", T.StringType()),
+        T.StructField("url", T.StringType())])),
     Domain("returns_issues", "csv", T.StructType([
-        T.StructField("order_id", T.LongType()), T.StructField("product_id", T.LongType()),
+        T.StructField("order_id", T.LongType()), T.StructField("product_id", T.StringType()),
         T.StructField("quantity", T.DoubleType())])),
 ]
 
 
 def _source_rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from vellum.plans.fixtures import product_json
+    """What a source system drops for each domain (driver tables in the fixture roles)."""
+    from vellum.plans import fixtures as fx
 
     if name == "product_master":
-        return product_json(spark, sf_dir).select("product_json")
-    li = table(spark, sf_dir, "lineitem")
+        return fx.product_json(spark, sf_dir).select("product_json")
     if name == "sales_transactions":
-        return li.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
-                         F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("amount"),
-                         F.col("l_shipdate").alias("sold_at"))
+        return table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").alias("order_date"), F.col("o_totalprice").alias("total_price"))
     if name == "customer_reviews":
-        return table(spark, sf_dir, "documents").select(
-            F.col("doc_id").alias("review_id"), F.col("text").alias("review_text"), "lang")
+        reviews = fx.reviews(spark, sf_dir).join(fx.ratings(spark, sf_dir), "review_id", "left")
+        docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("review_id"), "lang")
+        return reviews.join(docs, "review_id").select(
+            "review_id", "product_id", "order_id", "rating", "review_text", "lang")
     if name == "media_metadata":
-        return table(spark, sf_dir, "pages").select(F.col("page_id").alias("media_id"), "url")
+        return table(spark, sf_dir, "pages").select(
+            F.col("page_id").alias("media_id"),
+            (F.col("page_id") % fx.MEDIA_PRODUCTS).cast("string").alias("product_id"), "url")
     if name == "returns_issues":
-        return li.where(F.col("l_returnflag") == "R").select(
-            F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
-            F.col("l_quantity").alias("quantity"))
+        return (table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
+                .select(F.col("l_orderkey").alias("order_id"),
+                        F.col("l_partkey").cast("string").alias("product_id"),
+                        F.col("l_quantity").alias("quantity")))
     raise ValueError(name)
 
 
