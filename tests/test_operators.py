@@ -102,7 +102,7 @@ def test_copy_into_keeps_bad_rows_visible(spark, tmp_path):
     from vellum.sources import domains
     stage = tmp_path / "media"
     stage.mkdir()
-    (stage / "part-0.csv").write_text("media_id,url\n1,http://a\nnot-a-number,http://b\n2,http://c\n")
+    (stage / "part-0.csv").write_text("media_id,product_id,url\n1,7,http://a\nnot-a-number,7,http://b\n2,8,http://c\n")
     d = [x for x in domains.DOMAINS if x.name == "media_metadata"][0]
     domains.copy_into(spark, d, str(stage), str(tmp_path / "raw"))
     out = domains.load_counts(spark, {"media_metadata": str(tmp_path / "raw")}).collect()[0]
