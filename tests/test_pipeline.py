@@ -126,3 +126,33 @@ def test_run_once_twice_logs_rows_added(spark, sf_small, tmp_path):
     added = sorted((r.name, r.rows_added) for r in hist)
     assert added == [("t1_register", 0), ("t1_register", 34), ("t2_extract", 0), ("t2_extract", 34),
                      ("t3_model", 0), ("t3_model", 0)]
+
+
+def test_replayed_batch_appends_nothing(spark, tmp_path):
+    """A micro-batch delivered again (crash between append and checkpoint commit)."""
+    stage = str(tmp_path / "stage")
+    root = steps.PipelineRoot(str(tmp_path / "root"))
+    for i in range(3):
+        _write(f"{stage}/d{i}.pdf", HTML.format(t=f"t{i}", b="x"))
+    steps.t1_register(spark, list_stage(spark, stage), root)
+    batch = read_table(spark, root.raw, RAW_SCHEMA)
+    steps._process_batch(spark, root, lambda todo: todo, batch)
+    steps._process_batch(spark, root, lambda todo: todo, batch)
+    assert _count(spark, root.processed, PROCESSED_SCHEMA) == 3
+
+
+def test_standing_schedule_picks_up_new_rows(spark, tmp_path):
+    stage = str(tmp_path / "stage")
+    root = steps.PipelineRoot(str(tmp_path / "root"))
+    _write(f"{stage}/a.pdf", HTML.format(t="a", b="x"))
+    steps.t1_register(spark, list_stage(spark, stage), root)
+    q = steps.t2_incremental(spark, root, lambda todo: todo, every="1 second")
+    try:
+        q.processAllAvailable()
+        assert _count(spark, root.processed, PROCESSED_SCHEMA) == 1
+        _write(f"{stage}/b.pdf", HTML.format(t="b", b="y"))
+        steps.t1_register(spark, list_stage(spark, stage), root)
+        q.processAllAvailable()
+        assert _count(spark, root.processed, PROCESSED_SCHEMA) == 2
+    finally:
+        q.stop()
