@@ -25,7 +25,16 @@ def test_left_join_on_truth_keeps_rows_when_stats_empty(spark):
     empty = spark.createDataFrame([], "avg_arr_delay double, cancel_rate double")
     out = left_join_single_row(left, empty)
     assert out.count() == 5 and out.where(F.col("avg_arr_delay").isNull()).count() == 5
-    assert "BroadcastNestedLoopJoin" in out._jdf.queryExecution().executedPlan().toString()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" in plan and "Join" not in plan
+
+
+def test_single_row_attach_rejects_two_rows(spark):
+    import pytest
+    left = spark.createDataFrame([(i,) for i in range(3)], "i int")
+    two = spark.createDataFrame([(1.0,), (2.0,)], "a double")
+    with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
+        left_join_single_row(left, two).collect()
 
 
 def test_flatten_eight_levels_keeps_childless_parent(spark):
