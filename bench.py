@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import sys
 import time
 
@@ -24,7 +25,7 @@ from vellum.session import build_session  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
+REPEATS = int(os.environ.get("BENCH_REPEATS", "5"))
 
 HEADLINE = [
     "stats_nopart", "stats_part", "mv_stats", "stats_nopart_csv", "stats_part_csv",
@@ -55,15 +56,51 @@ def _warm_up(spark) -> None:
     spark.range(8).select(document_payload(F.lit("<html>x</html>")).alias("p")).collect()
 
 
-def _run(spark, key: str) -> float:
+def _run(spark, key: str, i: int) -> float:
+    spark.sparkContext.setJobGroup(f"bench:{key}:{i}", key)
     t0 = time.perf_counter()
     Q.QUERIES[key](spark, SF_DIR).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - t0
+    dt = time.perf_counter() - t0
+    spark.sparkContext.setJobGroup("", "")
+    return dt
+
+
+def _scanned(log_dir: str) -> dict[str, dict[str, int]]:
+    """Bytes and records read by the tasks of each query's last run, from the event log."""
+    job_group, stage_job, per_run = {}, {}, {}
+    files = sorted(os.path.join(d, n) for d, _, ns in os.walk(log_dir) for n in ns
+                   if not n.startswith(".") and not n.startswith("appstatus"))
+    for path in files:
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id", "")
+                    job_group[ev["Job ID"]] = group
+                    for sid in ev.get("Stage IDs", []):
+                        stage_job[sid] = ev["Job ID"]
+                elif kind == "SparkListenerTaskEnd":
+                    group = job_group.get(stage_job.get(ev.get("Stage ID")), "")
+                    if not group.startswith("bench:"):
+                        continue
+                    m = (ev.get("Task Metrics") or {}).get("Input Metrics") or {}
+                    acc = per_run.setdefault(group, {"bytes": 0, "records": 0})
+                    acc["bytes"] += m.get("Bytes Read", 0)
+                    acc["records"] += m.get("Records Read", 0)
+    out: dict[str, dict[str, int]] = {}
+    for group, acc in sorted(per_run.items()):
+        _, key, _ = group.split(":")
+        out[key] = acc      # later runs overwrite earlier ones: the last run's figures
+    return out
 
 
 def main() -> None:
+    log_dir = tempfile.mkdtemp(prefix="bench-events-", dir="/tmp")
     spark = build_session(f"local[{CPUS}]", app="vellum-bench", shuffle_partitions=CPUS,
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g", "spark.eventLog.enabled": "true",
+                                 "spark.eventLog.dir": f"file://{log_dir}",
+                                 "spark.eventLog.compress": "false"})
     _warm_up(spark)
     t0 = time.perf_counter()
     lake = lake_for(spark, SF_DIR)
@@ -77,7 +114,7 @@ def main() -> None:
 
     times: dict[str, float] = {}
     for key in HEADLINE:
-        runs = [_run(spark, key) for _ in range(1 if key in ONE_SHOT else REPEATS)]
+        runs = [_run(spark, key, i) for i in range(1 if key in ONE_SHOT else REPEATS)]
         times[key] = round(statistics.median(runs), 3)
 
     y, q = f"year={Q.STATS_YEAR}", f"quarter={Q.STATS_QUARTER}"
@@ -88,6 +125,8 @@ def main() -> None:
         "stats_nopart_csv": _files(lake.csv_nopart),
         "stats_part_csv": _files(lake.csv_part, (y, q)),
     }
+    spark.stop()
+    read = _scanned(log_dir)
     out = {
         "metric": "total_query_sec",
         "value": round(sum(times.values()), 3),
@@ -97,17 +136,27 @@ def main() -> None:
         "cpus": CPUS,
         "setup_sec": {"lake_unload": round(setup_lake, 3), "processed_build": round(setup_processed, 3),
                       "curated_build": round(setup_curated, 3)},
-        "pruning": {k: {"files": n, "bytes": b, "sec": times[k]} for k, (n, b) in scans.items()},
+        "pruning": {k: {"files": n, "file_bytes": b, "bytes_read": read.get(k, {}).get("bytes"),
+                        "records_read": read.get(k, {}).get("records"), "sec": times[k]}
+                    for k, (n, b) in scans.items()},
+        "bytes_read": {k: v["bytes"] for k, v in read.items()},
         "pruning_ratio": {
             "time_nopart_over_part": round(times["stats_nopart"] / max(times["stats_part"], 1e-9), 2),
             "bytes_nopart_over_part": round(scans["stats_nopart"][1] / max(scans["stats_part"][1], 1), 2),
             "time_nopart_over_mv": round(times["stats_nopart"] / max(times["mv_stats"], 1e-9), 2),
             "csv_time_nopart_over_part": round(times["stats_nopart_csv"] / max(times["stats_part_csv"], 1e-9), 2),
             "csv_bytes_nopart_over_part": round(scans["stats_nopart_csv"][1] / max(scans["stats_part_csv"][1], 1), 2),
+            "bytes_read_nopart_over_part": _ratio(read, "stats_nopart", "stats_part"),
+            "bytes_read_nopart_over_mv": _ratio(read, "stats_nopart", "mv_stats"),
+            "csv_bytes_read_nopart_over_part": _ratio(read, "stats_nopart_csv", "stats_part_csv"),
         },
     }
     print(json.dumps(out))
-    spark.stop()
+
+
+def _ratio(read: dict, a: str, b: str):
+    x, y = read.get(a, {}).get("bytes"), read.get(b, {}).get("bytes")
+    return round(x / y, 2) if x and y else None
 
 
 if __name__ == "__main__":
