@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vellum.functions.paths import file_name, is_pdf
+
 VERSION_KEY = ["relative_path", "last_modified"]
 
 RAW_SCHEMA = T.StructType([
@@ -48,6 +50,16 @@ QUARANTINE_SCHEMA = T.StructType([
 ])
 
 
+def raw_rows(listing: DataFrame) -> DataFrame:
+    """RAW catalog columns of the listed PDF files (T1's SELECT list)."""
+    return listing.where(is_pdf("relative_path")).select(
+        file_name("relative_path").alias("file_name"),
+        "relative_path", "file_url", "scoped_url", "size",
+        F.col("last_modified").cast("timestamp_ntz").alias("last_modified"),
+        F.lit(None).cast("variant").alias("extracted"),
+    )
+
+
 def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """CREATE TABLE IF NOT EXISTS: an empty Parquet folder with the schema."""
     try:

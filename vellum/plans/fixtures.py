@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.functions.paths import file_name
 from vellum.sources.tables import table
 
 MANUAL_PRODUCTS = 200
@@ -62,17 +61,6 @@ def stage_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_files(spark, sf_dir).select("relative_path", "content")
 
 
-def raw_rows(listing: DataFrame) -> DataFrame:
-    """RAW catalog columns of listed PDF files (T1's SELECT list)."""
-    from vellum.functions.paths import is_pdf
-    return listing.where(is_pdf("relative_path")).select(
-        file_name("relative_path").alias("file_name"),
-        "relative_path", "file_url", "scoped_url", "size",
-        F.col("last_modified").cast("timestamp_ntz").alias("last_modified"),
-        F.lit(None).cast("variant").alias("extracted"),
-    )
-
-
 def ontime(spark: SparkSession, sf_dir: str) -> DataFrame:
     """On-time facts: one row per line item; delay = days from order to ship,
     cancelled = returned line."""

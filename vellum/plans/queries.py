@@ -17,10 +17,10 @@ from pyspark.sql import types as T
 
 from vellum.functions.geo import point_wkt
 from vellum.functions.numbers import try_to_number
-from vellum.functions.paths import file_name, is_pdf, pdf_id, product_id
+from vellum.functions.paths import is_pdf, pdf_id, product_id
 from vellum.functions.semi import json_path_text
 from vellum.operators import curate, lake as lake_ops
-from vellum.operators.catalog import (PROCESSED_SCHEMA, RAW_SCHEMA, VERSION_KEY, read_table)
+from vellum.operators.catalog import PROCESSED_SCHEMA, RAW_SCHEMA, VERSION_KEY, raw_rows, read_table
 from vellum.operators.extract import document_payload, extract_documents
 from vellum.plans import fixtures as fx
 from vellum.plans.final import final_integrated
@@ -63,7 +63,7 @@ def _content_fixture(spark: SparkSession, sf_dir: str) -> steps.ContentFn:
 
 def _processed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PROCESSED as one batch job: RAW rows of the listing, parsed on executors."""
-    files = fx.raw_rows(fx.stage_listing(spark, sf_dir))
+    files = raw_rows(fx.stage_listing(spark, sf_dir))
     out = extract_documents(_content_fixture(spark, sf_dir)(files))
     return out.where(F.col("parse_error").isNull()).drop("parse_error")
 
@@ -100,7 +100,7 @@ def q_count_documents(spark, sf_dir):
 
 
 def q_document_ids(spark, sf_dir):
-    rows = fx.raw_rows(fx.stage_listing(spark, sf_dir))
+    rows = raw_rows(fx.stage_listing(spark, sf_dir))
     return rows.select(pdf_id("relative_path").alias("pdf_id"),
                        product_id(pdf_id("relative_path")).alias("product_id"),
                        "file_name")
@@ -198,7 +198,7 @@ def q_extract_documents(spark, sf_dir):
 
 def q_extract_sample(spark, sf_dir):
     """UDF smoke call on two files (ordered, so the two are fixed)."""
-    files = (fx.raw_rows(fx.stage_listing(spark, sf_dir))
+    files = (raw_rows(fx.stage_listing(spark, sf_dir))
              .select("relative_path").orderBy("relative_path").limit(2))
     with_content = _content_fixture(spark, sf_dir)(files)
     p = with_content.select("relative_path", document_payload(F.col("content")).alias("p"))

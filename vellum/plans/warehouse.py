@@ -17,10 +17,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.operators.catalog import PROCESSED_SCHEMA, conform, read_table
+from vellum.operators.catalog import PROCESSED_SCHEMA, conform, raw_rows, read_table
 from vellum.operators.extract import extract_documents
 from vellum.operators.lake import external_table, refresh_monthly_aggregate, unload
-from vellum.plans.fixtures import curated, ontime, raw_rows, stage_content, stage_listing
+from vellum.plans.fixtures import curated, ontime, stage_content, stage_listing
 from vellum.session import new_workspace, shared_root
 
 

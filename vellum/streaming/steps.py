@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.operators.catalog import (PROCESSED_SCHEMA, RAW_SCHEMA, VERSION_KEY, append_new,
-                                      conform, create_table, new_versions, quarantine, read_table)
+                                      conform, create_table, new_versions, quarantine, raw_rows,
+                                      read_table)
 from vellum.operators.extract import extract_documents
-from vellum.plans.fixtures import raw_rows
 from vellum.session import new_workspace
 
 HISTORY_SCHEMA = T.StructType([
