@@ -165,7 +165,10 @@ def extract_documents(files: DataFrame, content_col: str = "content", url_col: s
     from it; without one, each task opens the files at ``url_col`` itself.
     """
     spark = files.sparkSession
-    n = partitions or spark.sparkContext.defaultParallelism
+    # at least one task per core, and as many as the deployment's shuffle width:
+    # small tasks keep a straggling file or a lost executor cheap to redo
+    n = partitions or max(spark.sparkContext.defaultParallelism,
+                          int(spark.conf.get("spark.sql.shuffle.partitions")))
     payload = (document_payload(F.col(content_col)) if content_col in files.columns
                else document_payload_at(F.col(url_col)))
     parsed = files.repartition(n, "relative_path").withColumn("payload", payload)

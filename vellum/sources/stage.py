@@ -35,7 +35,9 @@ def list_stage(spark: SparkSession, stage_dir: str) -> DataFrame:
         F.col("path").alias("file_url"),
         F.col("path").alias("scoped_url"),
         F.col("length").cast("bigint").alias("size"),
-        F.col("modificationTime").cast("timestamp_ntz").alias("last_modified"),
+        # the version key's mtime as UTC wall-clock time, whatever the session time zone
+        F.convert_timezone(None, F.lit("UTC"), F.col("modificationTime").cast("timestamp_ntz"))
+        .alias("last_modified"),
     )
 
 
