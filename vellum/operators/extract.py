@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from vellum.functions.numbers import try_to_number
 from vellum.functions.paths import pdf_id
+from vellum.sources.stage import _open_bytes
 
 # Tag and title patterns of the HTML decoder, PDF magic bytes,
 # the page separator of the joined text.
@@ -134,8 +135,6 @@ def _payload_batch(content: pd.Series) -> pd.DataFrame:
 
 
 def _payload_batch_at(urls: pd.Series) -> pd.DataFrame:
-    from vellum.sources.stage import _open_bytes
-
     rows = []
     for u in urls:
         raw = _open_bytes(u)   # one file's bytes at a time, dropped after parsing
@@ -165,10 +164,10 @@ def extract_documents(files: DataFrame, content_col: str = "content", url_col: s
     from it; without one, each task opens the files at ``url_col`` itself.
     """
     spark = files.sparkSession
-    # at least one task per core, and as many as the deployment's shuffle width:
-    # small tasks keep a straggling file or a lost executor cheap to redo
-    n = partitions or max(spark.sparkContext.defaultParallelism,
-                          int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # one task per core of the cluster (defaultParallelism = total cores): the
+    # parse is CPU-bound, and the shuffle carries paths or bytes, not a size
+    # AQE could balance on
+    n = partitions or spark.sparkContext.defaultParallelism
     payload = (document_payload(F.col(content_col)) if content_col in files.columns
                else document_payload_at(F.col(url_col)))
     parsed = files.repartition(n, "relative_path").withColumn("payload", payload)
