@@ -116,3 +116,20 @@ def test_copy_into_keeps_bad_rows_visible(spark, tmp_path):
     domains.copy_into(spark, d, str(stage), str(tmp_path / "raw"))
     out = domains.load_counts(spark, {"media_metadata": str(tmp_path / "raw")}).collect()[0]
     assert (out.n_rows, out.n_rejected) == (3, 1)
+
+
+def test_hot_safe_left_join_property(spark):
+    from hypothesis import given, settings, strategies as st
+
+    keys = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"]))
+
+    @settings(max_examples=12, deadline=None)
+    @given(st.lists(keys, max_size=12), st.lists(st.tuples(keys, st.integers(0, 5)), max_size=15))
+    def check(left_keys, right_rows):
+        left = spark.createDataFrame([(i, k) for i, k in enumerate(left_keys)], "lid int, k string")
+        right = spark.createDataFrame(right_rows, "rk string, v int")
+        got = left_join_hot_safe(left, right, "k", "rk")
+        want = left.join(right, F.col("k") == F.col("rk"), "left")
+        assert _rows(got) == _rows(want)
+
+    check()
