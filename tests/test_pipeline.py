@@ -156,3 +156,29 @@ def test_standing_schedule_picks_up_new_rows(spark, tmp_path):
         assert _count(spark, root.processed, PROCESSED_SCHEMA) == 2
     finally:
         q.stop()
+
+
+def test_append_new_keeps_one_row_per_version_property(spark, tmp_path):
+    from hypothesis import given, settings, strategies as st
+    from vellum.operators.catalog import append_new, raw_rows
+
+    t0 = dt.datetime(2024, 1, 1)
+    event = st.tuples(st.sampled_from(["a.pdf", "b.PDF", "c.pdf", "d.txt"]),
+                      st.one_of(st.none(), st.integers(0, 2)))
+    counter = iter(range(10_000))
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.lists(event, max_size=6), min_size=1, max_size=3))
+    def check(batches):
+        root = steps.PipelineRoot(str(tmp_path / f"r{next(counter)}"))
+        schema = "relative_path string, file_url string, scoped_url string, size bigint, last_modified timestamp_ntz"
+        for batch in batches + batches:          # every batch delivered twice
+            rows = [(p, p, p, 1, None if d is None else t0 + dt.timedelta(days=d)) for p, d in batch]
+            append_new(spark, raw_rows(spark.createDataFrame(rows, schema)), root.raw, RAW_SCHEMA,
+                       quarantine_path=root.quarantine)
+        want = {(p, t0 + dt.timedelta(days=d)) for b in batches for p, d in b
+                if d is not None and not p.endswith(".txt")}
+        got = [(r.relative_path, r.last_modified) for r in read_table(spark, root.raw, RAW_SCHEMA).collect()]
+        assert sorted(got) == sorted(want)
+
+    check()
