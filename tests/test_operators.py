@@ -133,3 +133,23 @@ def test_hot_safe_left_join_property(spark):
         assert _rows(got) == _rows(want)
 
     check()
+
+
+def test_media_url_lists_property(spark):
+    from hypothesis import given, settings, strategies as st
+
+    @settings(max_examples=10, deadline=None)
+    @given(st.lists(st.tuples(st.sampled_from(["p", "q", "r"]), st.integers(0, 60)), max_size=40, unique=True),
+           st.integers(1, 7))
+    def check(rows, chunk):
+        media = spark.createDataFrame([(p, f"u{u:03d}") for p, u in rows], "product_id string, url string")
+        out = media_url_lists(media, chunk_size=chunk).collect()
+        listed = sorted((r.product_id, u) for r in out for u in r.media_urls.split(","))
+        assert listed == sorted((p, f"u{u:03d}") for p, u in rows)
+        for r in out:
+            urls = r.media_urls.split(",")
+            assert urls == sorted(urls) and len(urls) == r.n_urls
+            n = sum(1 for p, _ in rows if p == r.product_id)
+            assert r.n_chunks == -(-n // chunk) and 0 <= r.chunk < r.n_chunks
+
+    check()
