@@ -7,11 +7,18 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import chat_format, mixing, quality
+from vellum.llm import chat_format, mixing, packing, quality, token_counts, token_files
 from vellum.llm.common import documents
+from vellum.llm.encode import vocabulary
 from vellum.sources.tables import table
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return vocabulary(public_tokenizers.path(name))
+
+
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     probe = spark.range(2).select(
@@ -21,17 +28,32 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.read_back(chat_format.render(chat_format.format_segments(turns))))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"), end_id=2)
+
+
+def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"), end_id=0)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"), limit=1024)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_quality_rules(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op3_token_files": op3_token_files,
+    "op5_pack_sequences": op5_pack_sequences,
     "op6_mix_sources": op6_mix_sources,
+    "op7_token_counts": op7_token_counts,
     "op9_quality_rules": op9_quality_rules,
 }
