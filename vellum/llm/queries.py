@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import chat_format, mixing, packing, quality, token_counts, token_files
+from vellum.llm import chat_format, mixing, packing, quality, substring_dedup, token_counts, token_files, toxicity
 from vellum.llm.common import documents
 from vellum.llm.encode import vocabulary
 from vellum.sources.tables import table
@@ -45,15 +45,30 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"), limit=1024)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    field = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs.select("doc_id", "text"), field)
+    return scored.select(
+        "doc_id", (toxicity.fold_of(F.col("doc_id")) == toxicity.HELD_OUT_FOLD).alias("held_out"),
+        "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_quality_rules(documents(spark, sf_dir))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op3_token_files": op3_token_files,
     "op5_pack_sequences": op5_pack_sequences,
     "op6_mix_sources": op6_mix_sources,
     "op7_token_counts": op7_token_counts,
+    "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
+    "op10_substring_dedup": op10_substring_dedup,
 }
