@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import chat_format, mixing, packing, quality, substring_dedup, token_counts, token_files, toxicity
+from vellum.llm import chat_format, jaccard, mixing, packing, quality, substring_dedup, token_counts, token_files, toxicity
 from vellum.llm.common import documents
 from vellum.llm.encode import vocabulary
 from vellum.sources.tables import table
@@ -32,6 +32,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"), end_id=2)
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"), end_id=0)
 
@@ -65,6 +69,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op3_token_files": op3_token_files,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_pack_sequences": op5_pack_sequences,
     "op6_mix_sources": op6_mix_sources,
     "op7_token_counts": op7_token_counts,
