@@ -92,8 +92,18 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
          + (2 * (start + 2 * source_size) + size <= 2 * target)::INT END)::BIGINT AS taken
 FROM queue"""
 
+_TOPK = """
+WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5"""
+
 ORACLES: dict[str, str] = {
     "op1_chat_format": _CHAT,
+    "op2_exact_topk": _TOPK,
     "op6_mix_sources": _MIX,
     "op9_quality_rules": _quality(),
 }

@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import chat_format, jaccard, mixing, packing, quality, substring_dedup, token_counts, token_files, toxicity
+from vellum.llm import chat_format, jaccard, mixing, packing, quality, substring_dedup, token_counts, token_files, topk, toxicity
 from vellum.llm.common import documents
 from vellum.llm.encode import vocabulary
 from vellum.sources.tables import table
@@ -28,6 +28,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.read_back(chat_format.render(chat_format.format_segments(turns))))
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_products(vectors.where("vec_id % 50 = 0"), vectors, k=5, scale=256)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"), end_id=2)
 
@@ -68,6 +73,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_exact_topk": op2_exact_topk,
     "op3_token_files": op3_token_files,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_pack_sequences": op5_pack_sequences,
