@@ -13,7 +13,7 @@ from vellum.llm.encode import vocabulary
 from vellum.sources.tables import table
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary_text(name: str) -> str:
     import public_tokenizers
 
     return vocabulary(public_tokenizers.path(name))
@@ -34,7 +34,7 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.token_files(documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"), end_id=2)
+    return token_files.token_files(documents(spark, sf_dir), vocabulary_text("word_bpe_49k.json"), end_id=2)
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"), end_id=0)
+    return packing.pack_documents(documents(spark, sf_dir), vocabulary_text("word_bpe_49k.json"), end_id=0)
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"), limit=1024)
+    return token_counts.count_tokens(documents(spark, sf_dir), vocabulary_text("byte_bpe_50k.json"), limit=1024)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
