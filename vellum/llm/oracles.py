@@ -65,22 +65,27 @@ SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(flat) AS turns_sha256, length
 FROM joined"""
 
 
-# Targets by filling: repeat, at most once per source, a share-out among the
-# sources below their ceiling.  MD5 gives both engines the same queue.
+# The level is the one among the candidates (totals left after filling some
+# sources, over the weights left) whose targets add up to all words.  MD5 gives
+# both engines the same queue.
 _MIX = r"""
-WITH RECURSIVE sized AS (
+WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
          md5(coalesce(doc_id::VARCHAR, '')) AS o FROM documents),
 src AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM sized GROUP BY source),
-lv AS (
-  SELECT *, 3.0 * source_size / w AS lvl, sum(source_size) OVER () AS total,
-         sum(w) OVER () - coalesce(sum(w) OVER b, 0) AS rest_w,
-         sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER b, 0) AS rest
-  FROM src WINDOW b AS (ORDER BY 3.0 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-level AS (SELECT coalesce(min(CASE WHEN rest::DOUBLE / rest_w <= lvl THEN rest::DOUBLE / rest_w END), 0) AS level FROM lv),
-target AS (SELECT source, source_size, least(3.0 * source_size, level * w)::DOUBLE AS target FROM lv, level),
+candidate AS (
+  SELECT a.source, (SELECT sum(source_size) FROM src)
+         - coalesce(sum(3 * b.source_size) FILTER (3.0 * b.source_size / b.w < 3.0 * a.source_size / a.w), 0) AS words,
+         coalesce(sum(b.w) FILTER (3.0 * b.source_size / b.w >= 3.0 * a.source_size / a.w), 0) AS weight
+  FROM src a, src b GROUP BY a.source, a.source_size, a.w),
+level AS (
+  SELECT any_value(level) AS level FROM (
+    SELECT c.words / c.weight AS level, abs(sum(least(3.0 * source_size, c.words / c.weight * w)) - sum(source_size)) AS off,
+           sum(source_size) AS total
+    FROM candidate c, src GROUP BY c.source, c.words, c.weight) WHERE off <= 1e-9 * total),
+target AS (SELECT source, source_size, least(3.0 * source_size, level * w)::DOUBLE AS target FROM src, level),
 queue AS (
   SELECT s.*, source_size, target,
          coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY o, doc_id, size
