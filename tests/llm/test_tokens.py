@@ -1,0 +1,145 @@
+import random
+from zlib import crc32
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tests.llm.helpers import clashing, docs_frame, random_text
+from vellum.llm import packing, simple8b, token_counts, token_files
+from vellum.llm.encode import ChunkEncoder, vocabulary
+
+WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_FILE = public_tokenizers.path("byte_bpe_50k.json")
+ODD = ["a", "b", "B", "é", "ñ", "İ", "ſ", " ", "  ", "\n", "\t", "\r", "\x0b", "\x1c", "\x85", "　", " ", "'s", "'ll",
+       "1", "²", "³", "中", "😀", "é", ".", "!", "<", "|", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "_", "aaaa"]
+TEXTS = [None, "", " ", "x", "x", "a  b\n\nc ", "naïve <|endoftext|> tail", "word " * 9000, "".join(ODD), "a" * 3000]
+
+
+@given(st.lists(st.one_of(st.integers(0, 1), st.integers(0, 49407), st.integers(0, 2**64 - 1), st.integers(2**60 - 2, 2**60 + 2)), max_size=600))
+@settings(max_examples=60, deadline=None)
+def test_simple8b_round_trip(values):
+    x = np.array(values, np.uint64)
+    w, offsets = simple8b.encode(x)
+    assert (simple8b.decode(w, offsets, len(x)) == x).all()
+    assert len(offsets) == -(-len(x) // simple8b.BLOCK) + 1 and offsets[-1] == len(w)
+
+
+def test_simple8b_packs_small_values():
+    assert len(simple8b.encode(np.zeros(128, np.uint64))[0]) == 3
+    assert len(simple8b.encode(np.full(128, 4095, np.uint64))[0]) == 26
+
+
+@given(st.lists(st.lists(st.sampled_from(ODD), max_size=25).map("".join), min_size=1, max_size=8))
+@settings(max_examples=150, deadline=None)
+def test_counts_and_ids_equal_the_library(texts):
+    want = [len(e.ids) for e in BYTE.encode_batch(texts, add_special_tokens=False)]
+    assert COUNTER.texts(pa.array(texts)).tolist() == want
+    ids, lengths = CHUNKS.encode(pa.array(texts))
+    ends = np.cumsum(lengths)
+    assert [ids[e - n:e].tolist() for e, n in zip(ends, lengths)] == [e.ids for e in WORDS.encode_batch(texts, add_special_tokens=False)]
+
+
+BYTE, WORDS = Tokenizer.from_file(BYTE_FILE), Tokenizer.from_file(WORD_FILE)
+COUNTER, CHUNKS = token_counts.Counter(vocabulary(BYTE_FILE)), ChunkEncoder(vocabulary(WORD_FILE))
+
+
+def test_token_counts_edges(spark):
+    df = clashing(docs_frame(spark, TEXTS))
+    for r in token_counts.count_tokens(df, vocabulary(BYTE_FILE)).collect():
+        text = TEXTS[r.doc_id] or ""
+        n = len(BYTE.encode(text, add_special_tokens=False).ids)
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(text.encode()), n, n > 1024)
+    assert token_counts.count_tokens(docs_frame(spark, []), vocabulary(BYTE_FILE)).count() == 0
+
+
+def ids_of(text):
+    return WORDS.encode(text or "", add_special_tokens=False).ids
+
+
+def test_token_files_round_trip(spark, tmp_path):
+    ids = [5, None, 3, 3, 9, -4, 12, 11, 10, 7]
+    df = clashing(docs_frame(spark, TEXTS, ids=ids)).repartition(4)
+    path = str(tmp_path / "ids")
+    token_files.write_token_files(df, path, vocabulary(WORD_FILE), 2, segment_ids=500)
+    rows = token_files.read_token_files(spark, path).collect()
+    assert len(rows) == len(TEXTS)
+    rows.sort(key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == sorted(ids, key=lambda i: (i is not None, i or 0))
+    want = {}
+    for i, t in zip(ids, TEXTS):
+        want.setdefault(i, []).append(crc32(np.array(ids_of(t) + [2], "<u4").tobytes()))
+    at = 0
+    for r in rows:
+        assert r.start == at and r.ids_crc32 in want[r.doc_id]
+        at += r.n_tokens
+    assert spark.read.parquet(path).count() > 1
+    # the stored payloads alone hold the ids
+    stored = spark.read.parquet(path).orderBy("part", "segment").collect()
+    assert sum(len(token_files.unpack_segment(bytes(s.payload))[2]) for s in stored) == at
+
+
+def test_token_files_empty_table(spark):
+    assert token_files.token_files(docs_frame(spark, []), vocabulary(WORD_FILE), 2).count() == 0
+
+
+def check_packing(rows, texts, capacity=2048):
+    want = []
+    for i, t in enumerate(texts):
+        ids = ids_of(t) + [0]
+        for p in range(0, len(ids), capacity):
+            part = ids[p:p + capacity]
+            want.append((i, p // capacity, p, len(part), crc32(np.array(part, "<u4").tobytes())))
+    assert sorted(tuple(r)[:5] for r in rows) == want
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for b in bins.values():
+        end = 0
+        for offset, length in sorted(b):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    return len(bins), -(-sum(r.length for r in rows) // capacity)
+
+
+def test_packing_across_cells(spark):
+    rng = random.Random(1)
+    texts = TEXTS + [random_text(rng) * rng.randint(1, 12) for _ in range(150)]
+    s = packing.Settings(cell_pieces=40)
+    rows = packing.pack_documents(clashing(docs_frame(spark, texts)), vocabulary(WORD_FILE), 0, s).collect()
+    bins, bound = check_packing(rows, texts)
+    assert bins <= bound + 1
+
+
+def test_packing_empty_table_and_one_row(spark):
+    v = vocabulary(WORD_FILE)
+    assert packing.pack_documents(docs_frame(spark, []), v, 0).count() == 0
+    rows = packing.pack_documents(docs_frame(spark, [None]), v, 0).collect()
+    assert [(r.length, r.offset) for r in rows] == [(1, 0)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_crossover_keeps_every_piece_once_within_capacity(seed):
+    rng = np.random.default_rng(seed)
+    size = rng.integers(1, 1000, 300)
+    people = []
+    for _ in range(2):
+        p, room = np.zeros(300, np.int64), []
+        packing.best_fit(rng.permutation(300), size, p, room, 1000)
+        people.append(p)
+    child = packing.crossover(people[0], people[1], size, 1000, rng)
+    assert child.min() == 0 and np.bincount(child, weights=size).max() <= 1000 and len(child) == 300
+    best = packing.evolve(size, people, seed, packing.Settings(capacity=1000))
+    assert best.max() <= min(p.max() for p in people)
+
+
+def test_genetic_search_beats_best_fit_where_it_can():
+    size = np.random.default_rng(0).integers(600, 1100, 1500)
+    first, room = np.zeros(len(size), np.int64), []
+    packing.best_fit(np.argsort(-size, kind="stable"), size, first, room, 2048)
+    assert packing.evolve(size, [], 1, packing.Settings()).max() + 1 < len(room)

@@ -22,8 +22,8 @@ Python integers beyond.
 Defined results: vectors that are null, or hold null, NaN or infinite
 components, take no part; only vectors of equal dimension are compared; a query
 never finds rows with its own id; repeated rows of an id are candidates each,
-repeated queries one query; a null id can be found but not ask; scores beyond
-64 bits saturate.  Ties go to the smaller id (null last).
+repeated queries one query; a null id can be found but not ask; scores saturate
+at 64 bits before they are ranked.  Ties go to the smaller id (null last).
 """
 
 from __future__ import annotations
@@ -98,11 +98,17 @@ def unpack(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of the rows of ``a`` with the rows of ``b`` (float64 or Python integers)."""
+    """Exact inner products of the rows of ``a`` with the rows of ``b`` (float64 or Python integers), saturated."""
     if np.sqrt((a * a).sum(1).max(initial=0)) * np.sqrt((b * b).sum(1).max(initial=0)) < EXACT:
         return a @ b.T
     whole = np.vectorize(int, otypes=[object])
-    return whole(a) @ whole(b).T if a.size and b.size else np.zeros((len(a), len(b)), object)
+    exact = whole(a) @ whole(b).T if a.size and b.size else np.zeros((len(a), len(b)), object)
+    return np.minimum(np.maximum(exact, int(LONG.min)), int(LONG.max))
+
+
+def _below(x):
+    """``x`` where it is exact as a float, else a float that isn't above the integer it came from."""
+    return np.where(np.abs(x) < EXACT, x, np.nextafter(x, -np.inf))
 
 
 def search_block(q_ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, ids: np.ndarray, unnamed: np.ndarray,
@@ -114,7 +120,7 @@ def search_block(q_ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, ids:
     lengths = np.sqrt((vectors * vectors).sum(axis=1))
     order = np.argsort(-lengths, kind="stable")
     q_length = np.sqrt((queries * queries).sum(axis=1))
-    floor = floor.astype(float).copy()
+    floor = _below(floor.astype(float))
     best: list[list[tuple]] = [[] for _ in q_ids]
     unit_q = queries / np.where(q_length > 0, q_length, 1.0)[:, None]
     focus = np.argsort(-np.abs(unit_q), axis=1)[:, :COORDINATES]
@@ -126,7 +132,7 @@ def search_block(q_ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, ids:
         got.sort()
         best[q] = got[:k]
         if len(got) >= k:
-            floor[q] = max(floor[q], float(-best[q][-1][0]))
+            floor[q] = max(floor[q], float(_below(np.float64(-best[q][-1][0]))))
 
     for first in range(0, len(order), BUCKET):
         bucket = order[first:first + BUCKET]
@@ -167,7 +173,7 @@ def search_block(q_ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, ids:
                     keep(q, bucket[hit[good]], [int(s) for s in scores[good]])
     rows = [(q, i, -s) for q, found in enumerate(best) for s, _, _, i in found]
     return (np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64),
-            np.array([min(max(r[2], LONG.min), LONG.max) for r in rows], np.int64))
+            np.array([r[2] for r in rows], np.int64))
 
 
 def top_products(queries: DataFrame, vectors: DataFrame, k: int = 5, scale: int = 256) -> DataFrame:
