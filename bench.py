@@ -51,9 +51,9 @@ def _files(root: str, prefix: tuple[str, ...] = ()) -> tuple[int, int]:
 def _warm_up(spark) -> None:
     """Start the JVM code paths and a Python worker outside any timing."""
     from pyspark.sql import functions as F
-    from vellum.operators.extract import document_payload
+    from vellum.operators.extract import decoded_content
     spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().collect()
-    spark.range(8).select(document_payload(F.lit("<html>x</html>")).alias("p")).collect()
+    spark.range(8).select(decoded_content(F.lit(b"<html>x</html>")).alias("p")).collect()
 
 
 def _run(spark, key: str, i: int) -> float:

@@ -80,7 +80,7 @@ def test_t2_opens_files_by_path(spark, tmp_path):
     proc = read_table(spark, root.processed, PROCESSED_SCHEMA).collect()
     assert [(r.pdf_id, r.extracted_text.split()) for r in proc] == [("A_Manual-1", ["A", "one"])]
     q = read_table(spark, root.quarantine, QUARANTINE_SCHEMA).collect()
-    assert [(r.relative_path, r.reason) for r in q] == [("gone.pdf", "cannot open file")]
+    assert [(r.relative_path, r.reason) for r in q] == [("gone.pdf", "no such file")]
 
 
 def test_null_key_and_duplicates(spark, tmp_path):
@@ -182,3 +182,62 @@ def test_append_new_keeps_one_row_per_version_property(spark, tmp_path):
         assert sorted(got) == sorted(want)
 
     check()
+
+
+def test_listing_survives_unnormalized_roots_and_uris(spark, tmp_path):
+    _write(str(tmp_path / "docs" / "a" / "x.pdf"), "t")
+    for stage in (f"{tmp_path}//docs", f"{tmp_path}/./docs/", f"file://{tmp_path}/docs", f"file:{tmp_path}/docs/../docs"):
+        assert [r.relative_path for r in list_stage(spark, stage).collect()] == ["a/x.pdf"], stage
+
+
+def test_version_key_tells_the_repeated_hour_apart(spark, tmp_path):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    first = dt.datetime(2024, 11, 3, 5, 30, tzinfo=dt.timezone.utc).timestamp()
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        _write(str(tmp_path / "a.pdf"), "t", first)
+        _write(str(tmp_path / "b.pdf"), "t", first + 3600)
+        times = {r.last_modified for r in list_stage(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert times == {dt.datetime(2024, 11, 3, 5, 30), dt.datetime(2024, 11, 3, 6, 30)}
+
+
+def test_unknown_scheme_raises_and_is_not_an_absent_file():
+    import pytest
+
+    from vellum.sources.stage import _open_bytes
+    with pytest.raises(ValueError):
+        _open_bytes("nosuch://bucket/a.pdf")
+    assert _open_bytes("/no/such/file.pdf") is None
+
+
+def test_unopened_file_stays_on_the_work_list(spark, tmp_path):
+    stage, root = str(tmp_path / "stage"), steps.PipelineRoot(str(tmp_path / "root"))
+    _write(f"{stage}/a.pdf", "good")
+    _write(f"{stage}/b.pdf", "later")
+    steps.t1_register(spark, list_stage(spark, stage), root)
+    os.rename(f"{stage}/b.pdf", f"{stage}/b.bak")
+    os.makedirs(f"{stage}/b.pdf")  # there, but it can't be read
+    assert steps.t2_incremental(spark, root, lambda todo: todo) == 1
+    os.rmdir(f"{stage}/b.pdf")
+    os.rename(f"{stage}/b.bak", f"{stage}/b.pdf")
+    assert steps.t2_incremental(spark, root, lambda todo: todo) == 1
+    assert steps.t2_incremental(spark, root, lambda todo: todo) == 0
+    assert sorted(r.pdf_id for r in read_table(spark, root.processed, PROCESSED_SCHEMA).collect()) == ["a", "b"]
+
+
+def test_runs_without_news_write_nothing(spark, tmp_path):
+    stage, root = str(tmp_path / "stage"), steps.PipelineRoot(str(tmp_path / "root"))
+    _write(f"{stage}/a.pdf", "good")
+
+    def state():
+        files = sorted(f for d, _, fs in os.walk(root.root) for f in fs if f.endswith(".parquet"))
+        return files, sorted(os.listdir(f"{root.t2_checkpoint}/commits"))
+
+    seen = []
+    for _ in range(3):
+        steps.t1_register(spark, list_stage(spark, stage), root)
+        steps.t2_incremental(spark, root, lambda todo: todo)
+        seen.append(state())
+    assert seen[0] == seen[1] == seen[2]

@@ -15,11 +15,11 @@ def test_udfs_run_where_workers_cannot_import_the_package(tmp_path):
         from pyspark.sql import SparkSession, functions as F
         spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
                  .config("spark.ui.showConsoleProgress", "false").getOrCreate())
-        from vellum.operators.extract import document_payload
+        from vellum.operators.extract import decoded_content
         from vellum.sources.stage import upload, list_stage
-        df = spark.createDataFrame([("<html><title>t</title>x</html>",)], "c string")
-        got = df.select(document_payload(F.col("c")).alias("p")).collect()[0].p
-        assert got.metadata == '{{"title":"t"}}', got
+        df = spark.createDataFrame([(b"plain words",)], "c binary")
+        got = df.select(decoded_content(F.col("c")).alias("p")).collect()[0].p
+        assert got.pages == ["plain words"], got
         files = spark.createDataFrame([("a/b.pdf", "hello", None)], "relative_path string, content string, last_modified timestamp_ntz")
         assert upload(files, {str(tmp_path / 'stage')!r}) == 1
         assert [r.relative_path for r in list_stage(spark, {str(tmp_path / 'stage')!r}).collect()] == ["a/b.pdf"]

@@ -13,9 +13,3 @@ def json_path_text(json_text: Column | str, path: str) -> Column:
     """
     c = F.col(json_text) if isinstance(json_text, str) else json_text
     return F.try_variant_get(F.try_parse_json(c), path, "string")
-
-
-def variant_text(v: Column | str) -> Column:
-    """VARIANT as JSON text (VARIANT itself cannot be grouped, sorted or hashed)."""
-    c = F.col(v) if isinstance(v, str) else v
-    return F.to_json(c)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.functions.paths import file_name, is_pdf
+from vellum.session import new_workspace
 
 VERSION_KEY = ["relative_path", "last_modified"]
 
@@ -60,21 +61,41 @@ def raw_rows(listing: DataFrame) -> DataFrame:
     )
 
 
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The table's rows, or None if its folder isn't there; any other fault is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """CREATE TABLE IF NOT EXISTS: an empty Parquet folder with the schema."""
-    try:
-        spark.read.schema(schema).parquet(path).limit(0).collect()
-        return
-    except AnalysisException:
-        pass
-    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    if _stored(spark, path, schema) is None:
+        spark.createDataFrame([], schema).write.mode("append").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    table = _stored(spark, path, schema)
+    return spark.createDataFrame([], schema) if table is None else table
+
+
+def append_counted(rows: DataFrame, path: str, schema: T.StructType, label: str) -> int:
+    """Append ``rows`` and return their number; without rows nothing is written to the table.
+
+    The rows are computed once, into a folder of their own; their count comes
+    from its file footers.
+    """
+    spark = rows.sparkSession
+    aside = new_workspace(spark, label)
+    conform(rows, schema).write.parquet(aside)
+    held = spark.read.schema(schema).parquet(aside)
+    n = held.count()
+    if n:
+        held.write.mode("append").parquet(path)
+    return n
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -104,20 +125,22 @@ def new_versions(candidates: DataFrame, existing: DataFrame, key: list[str]) ->
 
 
 def append_new(spark: SparkSession, candidates: DataFrame, path: str, schema: T.StructType,
-               key: list[str] = VERSION_KEY, quarantine_path: str | None = None) -> None:
+               key: list[str] = VERSION_KEY, quarantine_path: str | None = None) -> int:
     """INSERT INTO path SELECT ... WHERE NOT EXISTS (same key): idempotent append.
 
-    Re-running with the same candidates appends nothing.  ``insert_ts`` is
-    stamped at write time (column default CURRENT_TIMESTAMP()).
+    Re-running with the same candidates appends nothing and writes no file.
+    ``insert_ts`` is stamped at write time (column default
+    CURRENT_TIMESTAMP()).  Returns the number of rows appended.
     """
     create_table(spark, path, schema)
     existing = read_table(spark, path, schema)
     rows = new_versions(candidates, existing, key).withColumn("insert_ts", F.current_timestamp())
-    conform(rows, schema).write.mode("append").parquet(path)
+    n = append_counted(rows, path, schema, "append")
     if quarantine_path is not None:
         bad = (candidates.where(null_key(key))
                .select("relative_path", "last_modified", F.lit("NULL version key").alias("reason")))
         quarantine(spark, bad, quarantine_path)
+    return n
 
 
 def quarantine(spark: SparkSession, bad: DataFrame, path: str) -> None:
@@ -125,13 +148,10 @@ def quarantine(spark: SparkSession, bad: DataFrame, path: str) -> None:
 
     Keys may be NULL here, so the anti-join uses NULL-safe equality.
     """
-    if bad.isEmpty():   # the usual case: one short probe instead of a join and a write
-        return
-    create_table(spark, path, QUARANTINE_SCHEMA)
     seen = read_table(spark, path, QUARANTINE_SCHEMA).alias("q")
     cols = ["relative_path", "last_modified", "reason"]
     cond = reduce(lambda a, b: a & b, [F.col(f"b.{c}").eqNullSafe(F.col(f"q.{c}")) for c in cols])
     rows = (bad.select(*cols).dropDuplicates(cols).alias("b")
             .join(seen, cond, "left_anti")
             .withColumn("insert_ts", F.current_timestamp()))
-    conform(rows, QUARANTINE_SCHEMA).write.mode("append").parquet(path)
+    append_counted(rows, path, QUARANTINE_SCHEMA, "quarantine")

@@ -1,31 +1,27 @@
 """Distributed document text extraction.
 
-The reference parses each file in a scalar function that returns a payload
-{metadata, page_count, chars, text}.  Here the same contract is an Arrow-batched
-pandas UDF: Spark spreads the files over executors (``repartition`` by path
-before the UDF, small Arrow batches since values are whole documents), each
-task decodes its files locally, and the structured payload comes back as a
-struct column.  Decoders are small per-file helpers picked by content sniffing:
-
-  * PDF  -- needs an optional PDF library (pypdf / PyPDF2); absent -> the file is quarantined
-  * HTML -- metadata = {"title": <title text>} when present; text = tags replaced by one space
-  * text -- UTF-8 text as one page
-
-Rules kept from the reference: metadata keys and values become strings
-(None stays null), a failing metadata read gives {}, each page is decoded on
-its own and a failing page contributes "" to the newline-joined text.  A file
-that cannot be opened at all is *not* allowed to fail the whole batch: its row
-carries ``parse_error`` and goes to the quarantine table.
+A file becomes a payload {metadata, page_count, chars, text}.  A decoder gives
+what it alone can know: the kind of file, its raw metadata (a map) and its
+pages (an array, null where a page failed).  The rest is built-in expressions:
+keys and values as strings, pages joined by newlines with failed ones empty,
+lengths, and for HTML the title and the text with every tag replaced by a space.
+
+Bytes or text that are already a column need a Python decoder for PDF only;
+HTML and plain text stay in the JVM.  Without a content column each task opens
+the files itself, one at a time, and yields batches bounded by their bytes.
+
+A file that is absent or can't be decoded carries ``parse_error`` for good.  A
+file that is there but couldn't be opened, or has no content yet, gets an error
+that starts with RETRY: it stays on the work list.
 """
 
 from __future__ import annotations
 
 import io
-import json
-import re
+from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,144 +29,152 @@ from vellum.functions.numbers import try_to_number
 from vellum.functions.paths import pdf_id
 from vellum.sources.stage import _open_bytes
 
-# Tag and title patterns of the HTML decoder, PDF magic bytes,
-# the page separator of the joined text.
-TAG_RE = re.compile(r"<[^>]+>")
-TITLE_RE = re.compile(r"<title>([^<]*)</title>")
-PDF_MAGIC = b"%PDF"
+# Tag and title patterns of the HTML decoder, the PDF header and
+# the bytes within which the format allows it, the page separator.
+TAG = r"<[^>]+>"
+TITLE = r"(?is)<title(?:\s[^>]*)?>([^<]*)</title>"
+PDF_MAGIC = b"%PDF-"
+PDF_HEADER_WITHIN = 1024
 PAGE_JOIN = "\n"
 
-PAYLOAD_TYPE = T.StructType([
-    T.StructField("metadata", T.StringType()),     # JSON object text, string -> string|null
-    T.StructField("page_count", T.LongType()),
-    T.StructField("chars", T.LongType()),
-    T.StructField("text", T.StringType()),
-    T.StructField("parse_error", T.StringType()),
-])
+RETRY = "retry: "
+DECODED = T.StructType([
+    T.StructField("kind", T.StringType()), T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("pages", T.ArrayType(T.StringType())), T.StructField("parse_error", T.StringType())])
+OUTPUT_BYTES = 32 << 20
+FILES_BYTES_PER_TASK = 64 << 20
 
 
-class UnreadableFile(Exception):
-    pass
-
-
-def _as_bytes(content) -> bytes:
-    if content is None:
-        raise UnreadableFile("no content")
-    if isinstance(content, str):
-        return content.encode("utf-8")
-    return bytes(content)
-
-
-def _html_doc(raw: bytes):
-    html = raw.decode("utf-8", errors="replace")
-    m = TITLE_RE.search(html)
-    meta = {"title": m.group(1)} if m else {}
-    return meta, [lambda: TAG_RE.sub(" ", html)]
-
-
-def _text_doc(raw: bytes):
-    text = raw.decode("utf-8", errors="replace")
-    return {}, [lambda: text]
-
-
-def _pdf_doc(raw: bytes):
+def decode_pdf(raw: bytes) -> tuple[dict, list[str | None]]:
+    """Metadata and pages by whichever PDF library is installed; ValueError if it can't be opened."""
     try:
         from pypdf import PdfReader  # type: ignore
     except ImportError:
         try:
             from PyPDF2 import PdfReader  # type: ignore
         except ImportError as e:
-            raise UnreadableFile("no PDF decoder installed") from e
+            raise ValueError("no PDF decoder installed") from e
     try:
         reader = PdfReader(io.BytesIO(raw))
-        pages = reader.pages
-        n = len(pages)
-    except Exception as e:  # decoder cannot open the file
-        raise UnreadableFile(f"cannot open PDF: {type(e).__name__}") from e
-    try:
-        m = reader.metadata
-        meta = {str(k): (None if v is None else str(v)) for k, v in m.items()} if m else {}
-    except Exception:
-        meta = {}
-    return meta, [(lambda i=i: pages[i].extract_text()) for i in range(n)]
-
-
-def open_document(content):
-    """(metadata dict, list of page thunks) of one file; raises UnreadableFile."""
-    raw = _as_bytes(content)
-    if raw[:4] == PDF_MAGIC:
-        return _pdf_doc(raw)
-    head = raw[:512].lstrip().lower()
-    if head.startswith(b"<!doctype html") or head.startswith(b"<html") or b"<html" in head:
-        return _html_doc(raw)
-    return _text_doc(raw)
-
-
-def parse_payload(content) -> dict:
-    """Payload of one file: {metadata, page_count, chars, text, parse_error}."""
-    try:
-        meta, pages = open_document(content)
-    except UnreadableFile as e:
-        return {"metadata": None, "page_count": None, "chars": None, "text": None,
-                "parse_error": str(e)}
-    return assemble(meta, pages)
+        count = len(reader.pages)
+    except Exception as e:
+        raise ValueError(f"cannot open PDF: {type(e).__name__}") from e
 
-
-def assemble(meta: dict, pages: list) -> dict:
-    """Decode each page on its own; a failing page contributes ""."""
-    parts = []
-    for page in pages:
+    def attempt(read, otherwise):
         try:
-            parts.append(page() or "")
+            return read()
         except Exception:
-            parts.append("")
-    text = PAGE_JOIN.join(parts)
-    return {"metadata": json.dumps(meta, ensure_ascii=False, separators=(",", ":")),
-            "page_count": len(parts), "chars": len(text), "text": text, "parse_error": None}
-
+            return otherwise
 
-def _payload_batch(content: pd.Series) -> pd.DataFrame:
-    rows = [parse_payload(c) for c in content]
-    return pd.DataFrame(rows, columns=[f.name for f in PAYLOAD_TYPE.fields])
+    found = attempt(lambda: {k: None if v is None else f"{v}" for k, v in (reader.metadata or {}).items()}, {})
+    return found, [attempt(reader.pages[i].extract_text, None) for i in range(count)]
 
 
-def _payload_batch_at(urls: pd.Series) -> pd.DataFrame:
-    rows = []
-    for u in urls:
-        raw = _open_bytes(u)   # one file's bytes at a time, dropped after parsing
-        rows.append(parse_payload(raw) if raw is not None else
-                    {"metadata": None, "page_count": None, "chars": None, "text": None,
-                     "parse_error": "cannot open file"})
-    return pd.DataFrame(rows, columns=[f.name for f in PAYLOAD_TYPE.fields])
+def is_pdf_content(raw: bytes) -> bool:
+    return PDF_MAGIC in raw[:PDF_HEADER_WITHIN + len(PDF_MAGIC) - 1]
 
 
-# Marked nondeterministic so Catalyst neither duplicates the call (a filter on
-# one payload field would otherwise re-run the parser) nor moves it across the
-# repartition that spreads files over executors.
-document_payload = F.pandas_udf(_payload_batch, PAYLOAD_TYPE).asNondeterministic()
-
-# The same payload, opening each file by URL inside the task (as the
-# reference's function does): file bytes never become a column, so a batch of
-# large files holds one file's bytes at a time.
-document_payload_at = F.pandas_udf(_payload_batch_at, PAYLOAD_TYPE).asNondeterministic()
-
-
-def extract_documents(files: DataFrame, content_col: str = "content", url_col: str = "scoped_url",
-                      partitions: int | None = None) -> DataFrame:
+def decode(raw: bytes | None) -> tuple:
+    """(kind, metadata, pages, parse_error) of one file's bytes."""
+    if raw is None:
+        return None, None, None, "no such file"
+    if is_pdf_content(raw):
+        try:
+            return ("pdf", *decode_pdf(raw), None)
+        except ValueError as e:
+            return None, None, None, str(e)
+    return "text", {}, [raw.decode("utf-8", errors="replace")], None
+
+
+def _decode_content(content: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([decode(None if c is None else bytes(c)) for c in content],
+                        columns=["kind", "metadata", "pages", "parse_error"])
+
+
+decoded_content = F.pandas_udf(_decode_content, DECODED).asNondeterministic()
+
+
+def _decoded_at(files: DataFrame, url_col: str) -> DataFrame:
+    """``files`` with a ``decoded`` column, each file opened in its task."""
+    inner = DECODED
+    schema = T.StructType([*files.schema.fields, *inner.fields])
+
+    def opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            rows, held, first = [], 0, 0
+            for i, url in enumerate(frame[url_col]):
+                try:
+                    found = decode(_open_bytes(url))
+                except OSError as e:
+                    found = None, None, None, f"{RETRY}cannot open file: {type(e).__name__}"
+                rows.append(found)
+                held += sum(len(p) for p in found[2] or () if p)
+                if held >= OUTPUT_BYTES or i + 1 == len(frame):
+                    part = frame.iloc[first:i + 1].reset_index(drop=True)
+                    yield pd.concat([part, pd.DataFrame(rows, columns=inner.names)], axis=1)
+                    rows, held, first = [], 0, i + 1
+
+    out = files.mapInPandas(opened, schema)
+    return out.select(*files.columns, F.struct(*inner.names).alias("decoded"))
+
+
+def text_as_decoded(text: Column) -> Column:
+    """What ``decode`` gives for a text that isn't a PDF, as an expression."""
+    return F.struct(F.lit("text").alias("kind"), F.create_map().cast("map<string,string>").alias("metadata"),
+                    F.array(text).alias("pages"), F.lit(None).cast("string").alias("parse_error"))
+
+
+def payload(decoded: Column) -> Column:
+    """{metadata, page_count, chars, text, parse_error} of a decoded file."""
+    joined = F.array_join(F.transform(decoded["pages"], lambda p: F.coalesce(p, F.lit(""))), PAGE_JOIN)
+    is_html = (decoded["kind"] == "text") & F.lower(joined).rlike(r"<html|<!doctype html")
+    title = F.regexp_extract(joined, TITLE, 1)
+    has_title = is_html & joined.rlike(TITLE)
+    text = F.when(is_html, F.regexp_replace(joined, TAG, " ")).otherwise(joined)
+    metadata = F.when(has_title, F.create_map(F.lit("title"), title)).otherwise(decoded["metadata"])
+    good = decoded["parse_error"].isNull()
+    return F.struct(
+        # null values stay in the object: the contract tells a null value from a missing key
+        F.when(good, F.to_json(metadata, {"ignoreNullFields": "false"})).alias("metadata"),
+        F.when(good, F.size(decoded["pages"]).cast("long")).alias("page_count"),
+        F.when(good, F.length(text).cast("long")).alias("chars"),
+        F.when(good, text).alias("text"),
+        decoded["parse_error"].alias("parse_error"))
+
+
+def decode_files(files: DataFrame, content_col: str) -> DataFrame:
+    """``files`` with ``decoded`` from a content column; only PDF bytes go through Python."""
+    content = F.col(content_col)
+    rest = [c for c in files.columns if c != content_col]
+    if dict(files.dtypes)[content_col] == "binary":
+        header = F.instr(F.decode(F.substring(content, 1, PDF_HEADER_WITHIN + len(PDF_MAGIC) - 1), "ISO-8859-1"), PDF_MAGIC.decode()) > 0
+        text = F.make_valid_utf8(content.cast("string"))
+    else:
+        header = F.instr(F.substring(content, 1, PDF_HEADER_WITHIN + len(PDF_MAGIC) - 1), PDF_MAGIC.decode()) > 0
+        text = content
+    missing = F.struct(F.lit(None).cast("string").alias("kind"), F.lit(None).cast("map<string,string>").alias("metadata"),
+                       F.lit(None).cast("array<string>").alias("pages"), F.lit(f"{RETRY}no content").alias("parse_error"))
+    plain = files.where(~F.coalesce(header, F.lit(False))).select(
+        *rest, F.when(content.isNull(), missing).otherwise(text_as_decoded(text)).alias("decoded"))
+    pdfs = files.where(header).select(*rest, decoded_content(content.cast("binary")).alias("decoded"))
+    return plain.unionByName(pdfs)
+
+
+def extract_documents(files: DataFrame, content_col: str = "content", url_col: str = "scoped_url") -> DataFrame:
     """Parse every file; returns PROCESSED columns plus ``parse_error``.
 
-    ``files`` carries RAW columns (file_name, relative_path, file_url,
+    ``files`` carries RAW columns (file_name, relative_path, file_url, size,
     last_modified).  With a ``content_col`` column the bytes (or text) come
-    from it; without one, each task opens the files at ``url_col`` itself.
+    from it; without one, each task opens the files at ``url_col`` itself,
+    about FILES_BYTES_PER_TASK of them.
     """
-    spark = files.sparkSession
-    # one task per core of the cluster (defaultParallelism = total cores): the
-    # parse is CPU-bound, and the shuffle carries paths or bytes, not a size
-    # AQE could balance on
-    n = partitions or spark.sparkContext.defaultParallelism
-    payload = (document_payload(F.col(content_col)) if content_col in files.columns
-               else document_payload_at(F.col(url_col)))
-    parsed = files.repartition(n, "relative_path").withColumn("payload", payload)
+    if content_col in files.columns:
+        decoded = decode_files(files, content_col)
+    else:
+        total = files.agg(F.sum("size")).first()[0] or 0
+        tasks = max(1, -(-int(total) // FILES_BYTES_PER_TASK))
+        decoded = _decoded_at(files.repartition(tasks, "relative_path"), url_col)
+    parsed = decoded.withColumn("payload", payload(F.col("decoded")))
     return parsed.select(
         pdf_id("relative_path").alias("pdf_id"),
         "file_name", "relative_path", "file_url", "last_modified",

@@ -199,6 +199,7 @@ SELECT pdf_id, file_name, relative_path, last_modified, pdf_metadata, page_count
     "extract_documents": _with("processed") + f"SELECT {PROCESSED_COLS} FROM processed",
     "extract_sample": _EXTRACT_SAMPLE,
     "t2_incremental": _with("processed") + f"SELECT {PROCESSED_COLS} FROM processed",
+    "t2_retry": _with("processed") + f"SELECT {PROCESSED_COLS} FROM processed",
     "t2_replay": _with("processed") + f"SELECT {PROCESSED_COLS} FROM processed",
     "row_counts": _with("raw_catalog", "processed") + """
 SELECT 'raw' AS table_name, count(*) AS n_rows FROM raw_catalog

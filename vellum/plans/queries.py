@@ -21,7 +21,7 @@ from vellum.functions.paths import is_pdf, pdf_id, product_id
 from vellum.functions.semi import json_path_text
 from vellum.operators import curate, lake as lake_ops
 from vellum.operators.catalog import PROCESSED_SCHEMA, RAW_SCHEMA, VERSION_KEY, raw_rows, read_table
-from vellum.operators.extract import document_payload, extract_documents
+from vellum.operators.extract import decode_files, extract_documents, payload
 from vellum.plans import fixtures as fx
 from vellum.plans.final import final_integrated
 from vellum.plans.warehouse import curated_for, lake_for, processed_for
@@ -136,6 +136,17 @@ def q_t1_replay(spark, sf_dir):
     return _raw_out(spark, root)
 
 
+def q_t2_retry(spark, sf_dir):
+    """T1 + T2 with the content of some files missing, then T2 again with all of it there."""
+    root = steps.PipelineRoot.fresh(spark, "t2retry")
+    content = _content_fixture(spark, sf_dir)
+    late = F.col("relative_path").like("%7%")
+    steps.t1_register(spark, fx.stage_listing(spark, sf_dir), root)
+    steps.t2_incremental(spark, root, lambda todo: content(todo).withColumn("content", F.when(~late, F.col("content"))))
+    steps.t2_incremental(spark, root, content)
+    return _processed_out(spark, root)
+
+
 def _two_uploads(spark, sf_dir) -> tuple[steps.PipelineRoot, str]:
     """Register the early upload, capture the stage's change events, register the rest."""
     root = steps.PipelineRoot.fresh(spark, "uploads")
@@ -201,7 +212,7 @@ def q_extract_sample(spark, sf_dir):
     files = (raw_rows(fx.stage_listing(spark, sf_dir))
              .select("relative_path").orderBy("relative_path").limit(2))
     with_content = _content_fixture(spark, sf_dir)(files)
-    p = with_content.select("relative_path", document_payload(F.col("content")).alias("p"))
+    p = decode_files(with_content, "content").select("relative_path", payload(F.col("decoded")).alias("p"))
     parsed = F.to_json(F.struct(F.try_parse_json("p.metadata").alias("metadata"),
                                 F.col("p.page_count").alias("page_count"),
                                 F.col("p.chars").alias("chars"),
@@ -410,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "extract_documents": q_extract_documents,
     "extract_sample": q_extract_sample,
     "t2_incremental": q_t2_incremental,
+    "t2_retry": q_t2_retry,
     "t2_replay": q_t2_replay,
     "row_counts": q_row_counts,
     "pipeline_end_to_end": q_pipeline_end_to_end,

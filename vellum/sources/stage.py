@@ -8,6 +8,8 @@ File bytes are read later, on executors, only for files that need parsing.
 
 from __future__ import annotations
 
+import os
+import posixpath
 import re
 
 import pandas as pd
@@ -16,58 +18,84 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _root_tail(stage_dir: str) -> str:
-    """Stage folder without scheme/authority prefix, as it appears inside listed paths."""
-    s = stage_dir.rstrip("/")
-    s = re.sub(r"^file:(//)?", "", s)
-    s = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*://", "", s)
-    return s
+SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
+
+
+def _root_path(stage_dir: str) -> str:
+    """Stage folder as listed paths begin: no scheme or authority, absolute, normalized."""
+    path = re.sub(SCHEME, "", stage_dir)
+    if path == stage_dir and not path.startswith("/"):
+        path = os.path.abspath(path)
+    return posixpath.normpath("/" + path.lstrip("/")).rstrip("/")
+
+
+def utc_time(instant: F.Column) -> F.Column:
+    """An instant as UTC wall-clock time; counted from the epoch, so no session zone or repeated hour touches it."""
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def list_stage(spark: SparkSession, stage_dir: str) -> DataFrame:
-    """DIRECTORY(@stage): every file under ``stage_dir``, listed afresh on each call."""
-    tail = _root_tail(stage_dir)
+    """DIRECTORY(@stage): every file under ``stage_dir``, listed afresh on each call.
+
+    A listed path that isn't below the stage's root stops the listing: a file
+    must never drop out of it silently.
+    """
+    root = _root_path(stage_dir) + "/"
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", "true")
              .load(stage_dir))
+    path = F.regexp_replace("path", SCHEME, "")
+    below = F.when(path.startswith(root), F.substring(path, F.lit(len(root) + 1), F.length(path)))
     return files.select(
-        F.regexp_extract("path", "^.*?" + re.escape(tail) + "/(.*)$", 1).alias("relative_path"),
+        F.coalesce(below, F.raise_error(F.concat(F.lit(f"listed outside the stage {root}: "), F.col("path")))).alias("relative_path"),
         F.col("path").alias("file_url"),
         F.col("path").alias("scoped_url"),
         F.col("length").cast("bigint").alias("size"),
-        # the version key's mtime as UTC wall-clock time, whatever the session time zone
-        F.convert_timezone(None, F.lit("UTC"), F.col("modificationTime").cast("timestamp_ntz"))
-        .alias("last_modified"),
+        utc_time(F.col("modificationTime")).alias("last_modified"),
     )
 
 
-def _open_bytes(url: str) -> bytes | None:
+# Schemes of Hadoop listings and the Arrow file systems that open them.
+ARROW_SCHEMES = {"s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs",
+                 "abfs": "abfs", "abfss": "abfss"}
+
+
+def _open_bytes(url: str | None) -> bytes | None:
+    """The file's bytes; None if there is no such file.
+
+    A scheme without a reader raises ValueError and a file that is there but
+    can't be read OSError: neither may pass for an absent file.
+    """
     import pyarrow.fs as pafs
 
     if url is None:
         return None
+    local = _local(url)
+    if local is None:
+        scheme = url.split(":", 1)[0]
+        if scheme not in ARROW_SCHEMES:
+            raise ValueError(f"no reader for {scheme}: files")
+        fs, path = pafs.FileSystem.from_uri(ARROW_SCHEMES[scheme] + url[len(scheme):])
+    else:
+        fs, path = pafs.LocalFileSystem(), local
     try:
-        if url.startswith("file:") or "://" not in url:
-            local = re.sub(r"^file:(//)?", "", url)
-            with pafs.LocalFileSystem().open_input_stream(local) as f:
-                return f.read()
-        fs, path = pafs.FileSystem.from_uri(url)
         with fs.open_input_stream(path) as f:
             return f.read()
-    except (OSError, ValueError):
+    except FileNotFoundError:
         return None
 
 
 @F.pandas_udf(T.BinaryType())
 def read_file_bytes(urls: pd.Series) -> pd.Series:
-    """Bytes of each file, read on the executor that parses it; unreadable -> NULL."""
+    """Bytes of each file, read on the executor that parses it; absent -> NULL."""
     return pd.Series([_open_bytes(u) for u in urls], dtype=object)
 
 
 def _local(url: str) -> str | None:
     if url.startswith("file:"):
         return re.sub(r"^file:(//)?", "", url)
-    return None if "://" in url else url
+    return None if re.match(SCHEME, url) else url
 
 
 def upload(files: DataFrame, stage_dir: str) -> int:

@@ -22,15 +22,14 @@ import datetime as dt
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellum.operators.catalog import (PROCESSED_SCHEMA, RAW_SCHEMA, VERSION_KEY, append_new,
-                                      conform, create_table, new_versions, quarantine, raw_rows,
-                                      read_table)
-from vellum.operators.extract import extract_documents
+from vellum.operators.catalog import (PROCESSED_SCHEMA, QUARANTINE_SCHEMA, RAW_SCHEMA, VERSION_KEY,
+                                      append_new, conform, create_table, new_versions, quarantine,
+                                      raw_rows, read_table)
+from vellum.operators.extract import RETRY, extract_documents
 from vellum.session import new_workspace
 
 HISTORY_SCHEMA = T.StructType([
@@ -81,32 +80,58 @@ def detect_new_files(listing: DataFrame, raw: DataFrame) -> DataFrame:
     return new_versions(raw_rows(listing), raw, VERSION_KEY)
 
 
-def t1_register(spark: SparkSession, listing: DataFrame, root: PipelineRoot) -> None:
-    append_new(spark, raw_rows(listing), root.raw, RAW_SCHEMA, VERSION_KEY, root.quarantine)
+def t1_register(spark: SparkSession, listing: DataFrame, root: PipelineRoot) -> int:
+    """Returns the number of versions registered."""
+    return append_new(spark, raw_rows(listing), root.raw, RAW_SCHEMA, VERSION_KEY, root.quarantine)
+
+
+PARSED_SCHEMA = T.StructType([*PROCESSED_SCHEMA.fields, T.StructField("parse_error", T.StringType())])
 
 
 def _process_batch(spark: SparkSession, root: PipelineRoot, content_for: ContentFn,
-                   batch: DataFrame) -> None:
+                   batch: DataFrame) -> int:
+    """Parse the batch's versions that aren't in PROCESSED; returns the rows appended.
+
+    Parsed rows are written once, then dealt to PROCESSED and quarantine from
+    there.  A file that is opened and undecodable, or absent, is quarantined
+    for good; one that couldn't be opened is quarantined with a RETRY reason.
+    """
     done = read_table(spark, root.processed, PROCESSED_SCHEMA)
     todo = new_versions(batch, done, VERSION_KEY)
-    parsed = extract_documents(content_for(todo)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        good = parsed.where(F.col("parse_error").isNull()).withColumn("insert_ts", F.current_timestamp())
+    aside = new_workspace(spark, "parsed")
+    parsed = extract_documents(content_for(todo)).withColumn("insert_ts", F.current_timestamp())
+    conform(parsed, PARSED_SCHEMA).write.parquet(aside)
+    parsed = spark.read.schema(PARSED_SCHEMA).parquet(aside)
+    good = parsed.where(F.col("parse_error").isNull())
+    n = good.count()
+    if n:
         conform(good, PROCESSED_SCHEMA).write.mode("append").parquet(root.processed)
-        bad = parsed.where(F.col("parse_error").isNotNull()).select(
-            "relative_path", "last_modified", F.col("parse_error").alias("reason"))
-        quarantine(spark, bad, root.quarantine)
-    finally:
-        parsed.unpersist()
+    bad = parsed.where(F.col("parse_error").isNotNull()).select(
+        "relative_path", "last_modified", F.col("parse_error").alias("reason"))
+    quarantine(spark, bad, root.quarantine)
+    return n
+
+
+def retry_failed(spark: SparkSession, root: PipelineRoot, content_for: ContentFn) -> int:
+    """Try again every RAW version that is quarantined for a retry and not in PROCESSED."""
+    failed = (read_table(spark, root.quarantine, QUARANTINE_SCHEMA)
+              .where(F.col("reason").startswith(RETRY)).select(*VERSION_KEY).distinct())
+    raw = read_table(spark, root.raw, RAW_SCHEMA).join(failed, VERSION_KEY, "left_semi")
+    done = read_table(spark, root.processed, PROCESSED_SCHEMA)
+    if new_versions(raw, done, VERSION_KEY).isEmpty():
+        return 0
+    return _process_batch(spark, root, content_for, raw)
 
 
 def t2_incremental(spark: SparkSession, root: PipelineRoot, content_for: ContentFn,
-                   max_files_per_trigger: int | None = None, checkpoint: str | None = None,
+                   max_files_per_trigger: int | None = 1000, checkpoint: str | None = None,
                    every: str | None = None):
-    """Run T2 until RAW is caught up (trigger availableNow), then return.
+    """Retry what failed before, run T2 until RAW is caught up (trigger availableNow), then
+    return the number of rows appended.  A batch holds ``max_files_per_trigger`` RAW files at most.
 
     ``every="1 minute"`` instead starts it as a standing query on that
-    processing-time schedule and returns the StreamingQuery handle.
+    processing-time schedule and returns the StreamingQuery handle; new files
+    still need T1 to register them.
     """
     create_table(spark, root.raw, RAW_SCHEMA)
     create_table(spark, root.processed, PROCESSED_SCHEMA)
@@ -114,13 +139,14 @@ def t2_incremental(spark: SparkSession, root: PipelineRoot, content_for: Content
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(root.raw)
+    added = [retry_failed(spark, root, content_for)]
     query = (stream.writeStream
-             .foreachBatch(lambda df, _epoch: _process_batch(df.sparkSession, root, content_for, df))
+             .foreachBatch(lambda df, _epoch: added.append(_process_batch(df.sparkSession, root, content_for, df)))
              .option("checkpointLocation", checkpoint or root.t2_checkpoint))
     if every:
         return query.trigger(processingTime=every).start()
     query.trigger(availableNow=True).start().awaitTermination()
-    return None
+    return sum(added)
 
 
 def t3_views(spark: SparkSession, root: PipelineRoot, curated: DataFrame,
@@ -137,11 +163,6 @@ def t3_views(spark: SparkSession, root: PipelineRoot, curated: DataFrame,
     return views
 
 
-def _rows_since(spark: SparkSession, path: str, schema: T.StructType, since: dt.datetime) -> int:
-    """Rows a step appended: those stamped at or after its start (insert_ts is set at write time)."""
-    return read_table(spark, path, schema).where(F.col("insert_ts") >= F.lit(since)).count()
-
-
 def _write_history(spark: SparkSession, root: PipelineRoot, rows: list[tuple]) -> None:
     if rows:
         spark.createDataFrame(rows, HISTORY_SCHEMA).coalesce(1).write.mode("append").parquet(root.history)
@@ -157,19 +178,19 @@ def run_once(spark: SparkSession, root: PipelineRoot, listing: DataFrame, conten
     written together when the run ends.  A failed step is logged and stops the
     run (later steps do not start)."""
     steps = [
-        ("t1_register", lambda: t1_register(spark, listing, root), (root.raw, RAW_SCHEMA)),
-        ("t2_extract", lambda: t2_incremental(spark, root, content_for), (root.processed, PROCESSED_SCHEMA)),
+        ("t1_register", lambda: t1_register(spark, listing, root)),
+        ("t2_extract", lambda: t2_incremental(spark, root, content_for)),
     ]
     history: list[tuple] = []
     try:
-        for name, fn, (path, schema) in steps:
+        for name, fn in steps:
             started = _now()
             try:
-                fn()
+                n = fn()
             except Exception as e:
-                history.append((name, "FAILED", started, _now(), None, f"{type(e).__name__}: {e}"[:1000]))
+                history.append((name, "FAILED", started, _now(), None, f"{type(e).__name__}: {e}"))
                 raise
-            history.append((name, "SUCCEEDED", started, _now(), _rows_since(spark, path, schema, started), None))
+            history.append((name, "SUCCEEDED", started, _now(), n, None))
         started = _now()
         views = t3_views(spark, root, curated, stats_by_view)
         history.append(("t3_model", "SUCCEEDED", started, _now(), 0, None))
