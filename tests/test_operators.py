@@ -3,7 +3,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from vellum.operators import lake
-from vellum.operators.curate import flatten_json, media_url_lists
+from vellum.operators.curate import curated_feedback, flatten_json, product_media
 from vellum.operators.joins import left_join_hot_safe, left_join_single_row
 
 
@@ -93,18 +93,58 @@ def test_csv_unload_needs_schema(spark, tmp_path):
         lake.external_table(spark, root, "csv")
 
 
-def test_media_url_lists_split_a_hot_product_and_keep_every_url(spark):
-    rows = [("hot", f"http://m/{i:03d}") for i in range(40)] + [("cold", "http://c/1"), ("cold", "http://c/0")]
-    media = spark.createDataFrame(rows, "product_id string, url string")
-    out = media_url_lists(media, chunk_size=8).collect()
-    hot = [r for r in out if r.product_id == "hot"]
-    assert {r.n_chunks for r in hot} == {5} and 1 < len(hot) <= 5
-    assert sorted(u for r in hot for u in r.media_urls.split(",")) == sorted(u for p, u in rows if p == "hot")
-    assert sum(r.n_urls for r in hot) == 40 and max(r.n_urls for r in hot) < 40
-    for r in hot:
-        assert r.media_urls.split(",") == sorted(r.media_urls.split(","))
-    cold = [r for r in out if r.product_id == "cold"]
-    assert len(cold) == 1 and cold[0].media_urls == "http://c/0,http://c/1"
+def test_product_media_keeps_every_url_of_a_hot_product(spark):
+    rows = [("hot", f"http://m/{i:03d}") for i in range(2500)] + [("hot", "http://m/000"), ("cold", "http://c/1"), (None, "u")]
+    out = product_media(spark.createDataFrame(rows, "product_id string, url string")).collect()
+    assert {(r.product_id, r.url) for r in out} == set(rows) and sum(r.n_files for r in out) == len(rows)
+
+
+def test_curated_keeps_reviews_of_unknown_products(spark):
+    make = spark.createDataFrame
+    out = curated_feedback(
+        make([(1, "p", 10, "good"), (2, "x", 11, "lost?"), (3, None, None, "none")], "review_id long, product_id string, order_id long, review_text string"),
+        make([("p", "b", "m", "c")], "product_id string, brand string, model_name string, category string"),
+        make([(10, None, 5)], "order_id long, review_date date, customer_id long"),
+        make([(1, 4)], "review_id long, rating int"),
+        make([(5, "FRANCE", None)], "customer_id long, reviewer_location_name string, reviewer_geo_point struct<lon:double,lat:double>"),
+        make([("x", "u1"), ("x", "u2")], "product_id string, url string"),
+        make([("p", 2.0), ("p", 3.0)], "product_id string, qty double")).collect()
+    got = {r.review_id: (r.product_id, r.brand, r.media_count, r.first_media_url, r.return_count, r.return_qty) for r in out}
+    assert got == {1: ("p", "b", 0, "NO MEDIA", 2, 5.0), 2: ("x", None, 2, "u1", 0, 0.0), 3: (None, None, 0, "NO MEDIA", 0, 0.0)}
+
+
+def test_a_file_is_loaded_once_and_a_corrected_record_wins(spark, tmp_path):
+    import os
+
+    from vellum.operators import layers
+    from vellum.sources import domains
+    d = {x.name: x for x in domains.DOMAINS}
+    sales, back = tmp_path / "sales", tmp_path / "returns"
+    sales.mkdir()
+    back.mkdir()
+    (sales / "a.csv").write_text("order_id,customer_id,order_date,total_price\n1,7,2024-01-01T00:00:00,1.0\n,9,2024-01-01T00:00:00,1.0\n")
+    (back / "a.csv").write_text("order_id,product_id,quantity\n1,p,2.0\n1,p,3.0\n")
+    os.utime(sales / "a.csv", (1_700_000_000,) * 2)
+    raw = {n: str(tmp_path / "raw" / n) for n in ("sales_transactions", "returns_issues")}
+    for _ in range(2):
+        loaded = [domains.copy_into(spark, d[n], str(p), raw[n]) for n, p in (("sales_transactions", sales), ("returns_issues", back))]
+    assert loaded == [0, 0]
+    assert sorted(r.qty for r in layers.stg_returns(spark.read.parquet(raw["returns_issues"])).collect()) == [2.0, 3.0]
+    (sales / "b.csv").write_text("order_id,customer_id,order_date,total_price\n1,8,2024-01-02T00:00:00,1.0\n")
+    assert domains.copy_into(spark, d["sales_transactions"], str(sales), raw["sales_transactions"]) == 1
+    table = spark.read.parquet(raw["sales_transactions"])
+    assert [r.customer_id for r in layers.stg_sales(table).collect()] == [8]
+    assert layers.without_key(table, "order_id").count() == 1
+
+
+def test_partial_refresh_drops_vanished_months_and_an_empty_one_changes_nothing(spark, tmp_path):
+    facts = spark.createDataFrame([(2020, 1, 1, 5, 0), (2020, 1, 2, 7, 1)], "year int, quarter int, month int, arr_delay int, cancelled int")
+    root = str(tmp_path / "mv")
+    lake.refresh_monthly_aggregate(spark, facts, root)
+    lake.refresh_monthly_aggregate(spark, facts, root, [])
+    assert spark.read.parquet(root).count() == 2
+    lake.refresh_monthly_aggregate(spark, facts.where("month = 1"), root, [(2020, 1, 2)])
+    assert [(r.month, r.sum_arr_delay) for r in spark.read.parquet(root).collect()] == [(1, 5)]
 
 
 def test_copy_into_keeps_bad_rows_visible(spark, tmp_path):
@@ -133,23 +173,3 @@ def test_hot_safe_left_join_property(spark):
         assert _rows(got) == _rows(want)
 
     check()
-
-
-def test_media_url_lists_property(spark):
-    from hypothesis import given, settings, strategies as st
-
-    @settings(max_examples=10, deadline=None)
-    @given(st.lists(st.tuples(st.sampled_from(["p", "q", "r"]), st.integers(0, 60)), max_size=40, unique=True),
-           st.integers(1, 7))
-    def check(rows, chunk):
-        media = spark.createDataFrame([(p, f"u{u:03d}") for p, u in rows], "product_id string, url string")
-        out = media_url_lists(media, chunk_size=chunk).collect()
-        listed = sorted((r.product_id, u) for r in out for u in r.media_urls.split(","))
-        assert listed == sorted((p, f"u{u:03d}") for p, u in rows)
-        for r in out:
-            urls = r.media_urls.split(",")
-            assert urls == sorted(urls) and len(urls) == r.n_urls
-            n = sum(1 for p, _ in rows if p == r.product_id)
-            assert r.n_chunks == -(-n // chunk) and 0 <= r.chunk < r.n_chunks
-
-    check()

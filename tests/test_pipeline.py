@@ -119,7 +119,7 @@ def test_run_once_twice_logs_rows_added(spark, sf_small, tmp_path):
     args = (fx.stage_listing(spark, sf_small), Q._content_fixture(spark, sf_small), curated_for(spark, sf_small),
             {"final_integrated_part": Q._stats_part(spark, sf_small)})
     views = steps.run_once(spark, root, *args)
-    assert views["final_integrated_part"].count() == 68
+    assert views["final_integrated_part"].count() == 61
     steps.run_once(spark, root, *args)
     hist = steps.run_history(spark, root).collect()
     assert len(hist) == 6 and all(r.state == "SUCCEEDED" for r in hist)

@@ -47,26 +47,13 @@ def media_summary(media: DataFrame) -> DataFrame:
                  F.max("url").alias("last_media_url")))
 
 
-def url_chunk(url: F.Column, n_chunks: F.Column) -> F.Column:
-    """Chunk of a URL: first 32 bits of its md5, modulo the product's chunk count."""
-    return F.pmod(F.conv(F.substring(F.md5(url), 1, 8), 16, 10).cast("bigint"), n_chunks)
+def product_media(media: DataFrame) -> DataFrame:
+    """CURATED_PRODUCT_MEDIA: every media URL of every product, one row each.
 
-
-def media_url_lists(media: DataFrame, chunk_size: int = 1000) -> DataFrame:
-    """Every media URL of a product as comma lists of bounded length.
-
-    A product with n URLs gets ceil(n / chunk_size) chunks; a URL's chunk comes
-    from its md5, so each list holds about ``chunk_size`` URLs however hot the
-    product is, and no value grows with the group.  All URLs are kept.  The
-    counts are a map-side combined aggregate; the join back to the media rows
-    is an inner join, whose skewed side AQE can split.
+    The list of a product's URLs is the rows under its key, so no value and no
+    group grows with a hot product; equal URLs are combined before the shuffle.
     """
-    counts = (media.groupBy("product_id").agg(F.count(F.lit(1)).alias("media_count"))
-              .withColumn("n_chunks", F.ceil(F.col("media_count") / F.lit(chunk_size)).cast("bigint")))
-    chunked = media.join(counts, "product_id").withColumn("chunk", url_chunk(F.col("url"), F.col("n_chunks")))
-    return (chunked.groupBy("product_id", "chunk", "n_chunks")
-            .agg(F.count(F.lit(1)).alias("n_urls"),
-                 F.expr("listagg(url, ',') WITHIN GROUP (ORDER BY url)").alias("media_urls")))
+    return media.groupBy("product_id", "url").agg(F.count(F.lit(1)).alias("n_files"))
 
 
 def returns_summary(returns: DataFrame) -> DataFrame:
@@ -87,7 +74,7 @@ def customer_locations(customers: DataFrame, nations: DataFrame) -> DataFrame:
 def curated_feedback(reviews: DataFrame, products: DataFrame, sales: DataFrame,
                      ratings: DataFrame, locations: DataFrame,
                      media: DataFrame, returns: DataFrame) -> DataFrame:
-    """CURATED_PRODUCT_FEEDBACK at review grain.
+    """CURATED_PRODUCT_FEEDBACK at review grain: every review once, whether or not its product is known.
 
     reviews(review_id, product_id, order_id, review_text)
     products(product_id, brand, model_name, category)
@@ -96,18 +83,19 @@ def curated_feedback(reviews: DataFrame, products: DataFrame, sales: DataFrame,
     locations(customer_id, reviewer_location_name, reviewer_geo_point)
     media(product_id, url), returns(product_id, qty)   -- raw child rows
     """
-    r = (reviews.join(products, "product_id")
-         .join(ratings, "review_id", "left")
-         .join(sales, "order_id", "left")
-         .join(locations, "customer_id", "left")
-         .join(media_summary(media), "product_id", "left")
-         .join(returns_summary(returns), "product_id", "left"))
+    # one table per key of the review, so that the text passes three exchanges
+    of_product = (products.select("product_id", "brand", "model_name", "category")
+                  .join(media_summary(media), "product_id", "full").join(returns_summary(returns), "product_id", "full"))
+    of_order = sales.join(locations, "customer_id", "left")
+    r = (reviews.join(of_product, "product_id", "left")
+         .join(of_order, "order_id", "left")
+         .join(ratings, "review_id", "left"))
     return r.select(
         "product_id", "brand", "model_name", "category", "review_id",
         F.col("review_date").cast("date").alias("review_date"),
         "rating", "review_text", "reviewer_location_name", "reviewer_geo_point",
         F.coalesce("media_count", F.lit(0)).cast("bigint").alias("media_count"),
-        F.coalesce("first_media_url", F.lit(NO_MEDIA)).alias("media_url"),
+        F.coalesce("first_media_url", F.lit(NO_MEDIA)).alias("first_media_url"),
         F.coalesce("return_count", F.lit(0)).cast("bigint").alias("return_count"),
         F.coalesce("return_qty", F.lit(0.0)).cast("double").alias("return_qty"),
     )

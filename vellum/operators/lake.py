@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vellum.session import new_workspace
+
 PARTITION_COLS = ["year", "quarter", "month"]
 
 
@@ -71,17 +73,24 @@ def monthly_aggregate(facts: DataFrame) -> DataFrame:
 
 def refresh_monthly_aggregate(spark: SparkSession, facts: DataFrame, mv_root: str,
                               months: list[tuple[int, int, int]] | None = None) -> None:
-    """Materialize the monthly aggregate.  ``months`` limits the refresh to the
-    months whose facts changed; dynamic partition overwrite replaces just those."""
-    src = facts
-    if months:
-        cond = None
-        for y, q, m in months:
-            c = (F.col("year") == y) & (F.col("quarter") == q) & (F.col("month") == m)
-            cond = c if cond is None else (cond | c)
-        src = facts.where(cond)
-    (monthly_aggregate(src).coalesce(1).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic" if months else "static")
+    """Materialize the monthly aggregate, all of it or the ``months`` whose facts changed.
+
+    A month without facts any more loses its row; an empty list changes nothing.
+    The new table is written aside first, since it is read from the old one.
+    """
+    if months is None:
+        monthly_aggregate(facts).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+            .partitionBy(*PARTITION_COLS).parquet(mv_root)
+        return
+    if not months:
+        return
+    named = spark.createDataFrame(months, ", ".join(f"{c} int" for c in PARTITION_COLS))
+    new = monthly_aggregate(facts.join(F.broadcast(named), list(PARTITION_COLS), "left_semi"))
+    old = external_table(spark, mv_root)
+    aside = new_workspace(spark, "monthly")
+    (old.join(F.broadcast(named), list(PARTITION_COLS), "left_anti").select(*new.columns).unionByName(new)
+     .write.parquet(aside))
+    (spark.read.schema(new.schema).parquet(aside).write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy(*PARTITION_COLS).parquet(mv_root))
 
 

@@ -1,47 +1,60 @@
 """RAW -> STG -> CURATED for the five retail domains.
 
 RAW holds what COPY INTO loaded (typed, bad rows kept in the corrupt-record
-column).  STG keeps the good rows, casts keys, deduplicates each domain on its
-key (a re-delivered file adds nothing) and reads product attributes out of the
-product JSON.  CURATED is the review-grain table built from STG.  Each layer is
-written as Parquet, so later layers read files, not lineage.
+column, every row with its file and load time).  STG keeps the good rows, casts
+keys and keeps each key's latest record (load time, then file, then content, so
+the choice is fixed); rows without their key go to a quarantine table.  Returns
+have no key of their own: their files are loaded once, and each row counts.
+CURATED is the review-grain table built from STG.  Each layer is written as
+Parquet, so later layers read files, not lineage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.operators.curate import curated_feedback, customer_locations
+from vellum.operators.curate import curated_feedback, customer_locations, product_media
 from vellum.sources.domains import CORRUPT
 
 
+KEYS = {"product_master": "product_id", "sales_transactions": "order_id",
+        "customer_reviews": "review_id", "media_metadata": "media_id"}
+
+
 def _good(raw: DataFrame) -> DataFrame:
     return raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
+def latest(raw: DataFrame, key: str, columns: list[Column]) -> DataFrame:
+    """The good rows' ``columns``, one row per key: the one loaded last."""
+    names = raw.select(*columns).columns
+    rows = _good(raw).where(F.col(key).isNotNull()).select(*columns, "load_time", "load_file")
+    rank = F.struct("load_time", "load_file", *names)
+    return rows.groupBy(names[0]).agg(F.max(rank).alias("r")).select(*(F.col(f"r.{n}").alias(n) for n in names))
+
+
+def without_key(raw: DataFrame, key: str) -> DataFrame:
+    """Good rows that have no key, as JSON text with where they came from."""
+    rows = _good(raw).where(F.col(key).isNull())
+    return rows.select("load_file", "load_time", F.to_json(F.struct(*(c for c in rows.columns if not c.startswith("load_")))).alias("row"))
+
+
 def stg_products(raw: DataFrame) -> DataFrame:
-    return (_good(raw).where(F.col("product_id").isNotNull())
-            .select(F.col("product_id").cast("string").alias("product_id"),
-                    "brand", F.col("name").alias("model_name"), "category")
-            .dropDuplicates(["product_id"]))
+    return latest(raw, "product_id", [F.col("product_id").cast("string").alias("product_id"),
+                                      F.col("brand"), F.col("name").alias("model_name"), F.col("category")])
 
 
 def stg_sales(raw: DataFrame) -> DataFrame:
-    return (_good(raw).where(F.col("order_id").isNotNull())
-            .select("order_id", F.col("order_date").cast("date").alias("review_date"), "customer_id")
-            .dropDuplicates(["order_id"]))
+    return latest(raw, "order_id", [F.col("order_id"), F.col("order_date").cast("date").alias("review_date"), F.col("customer_id")])
 
 
 def stg_reviews(raw: DataFrame) -> DataFrame:
-    return (_good(raw).where(F.col("review_id").isNotNull())
-            .select("review_id", "product_id", "order_id", "rating", "review_text")
-            .dropDuplicates(["review_id"]))
+    return latest(raw, "review_id", [F.col(c) for c in ("review_id", "product_id", "order_id", "rating", "review_text")])
 
 
 def stg_media(raw: DataFrame) -> DataFrame:
-    return (_good(raw).where(F.col("media_id").isNotNull())
-            .dropDuplicates(["media_id"]).select("product_id", "url"))
+    return latest(raw, "media_id", [F.col(c) for c in ("media_id", "product_id", "url")]).drop("media_id")
 
 
 def stg_returns(raw: DataFrame) -> DataFrame:
@@ -61,7 +74,10 @@ def build_stg(spark: SparkSession, raw_tables: dict[str, str], stg_root: str) ->
     out = {}
     for name, fn in STG.items():
         out[name] = f"{stg_root}/{name}"
-        fn(spark.read.parquet(raw_tables[name])).write.mode("overwrite").parquet(out[name])
+        raw = spark.read.parquet(raw_tables[name])
+        fn(raw).write.mode("overwrite").parquet(out[name])
+        if name in KEYS:
+            without_key(raw, KEYS[name]).write.mode("overwrite").parquet(f"{stg_root}/{name}_quarantine")
     return out
 
 
@@ -76,4 +92,5 @@ def build_curated(spark: SparkSession, stg: dict[str, str], customers: DataFrame
         customer_locations(customers, nations),
         read("media_metadata"), read("returns_issues"))
     curated.write.mode("overwrite").parquet(path)
+    product_media(read("media_metadata")).write.mode("overwrite").parquet(f"{path.rsplit('/', 1)[0]}/product_media")
     return path

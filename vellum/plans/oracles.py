@@ -51,22 +51,23 @@ CTE = {
   SELECT CAST(l_partkey AS VARCHAR) AS product_id, count(*) AS return_count, sum(l_quantity) AS return_qty
   FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1""",
     "curated": """
-  SELECT CAST(p.p_partkey AS VARCHAR) AS product_id, p.p_brand AS brand, p.p_name AS model_name,
+  SELECT d.product_id, p.p_brand AS brand, p.p_name AS model_name,
          p.p_type AS category, d.doc_id AS review_id, CAST(o.o_orderdate AS DATE) AS review_date,
          l.quality AS rating, d.text AS review_text, n.n_name AS reviewer_location_name,
          CASE WHEN c.c_nationkey IS NOT NULL THEN
            'POINT(' || CAST(CAST(c.c_nationkey AS DOUBLE) * 10.0 - 120.0 AS VARCHAR) || ' ' ||
            CAST(CAST(c.c_nationkey AS DOUBLE) * 3.0 - 36.0 AS VARCHAR) || ')' END AS reviewer_geo_point,
-         coalesce(m.media_count, 0) AS media_count, coalesce(m.first_media_url, 'NO MEDIA') AS media_url,
+         coalesce(m.media_count, 0) AS media_count, coalesce(m.first_media_url, 'NO MEDIA') AS first_media_url,
          coalesce(r.return_count, 0) AS return_count, CAST(coalesce(r.return_qty, 0.0) AS DOUBLE) AS return_qty
-  FROM documents d
-  JOIN part p ON CAST(p.p_partkey AS VARCHAR) = CAST(d.doc_id % 150 AS VARCHAR)
+  FROM (SELECT *, CASE WHEN doc_id % 11 = 0 THEN 'gone-' ELSE '' END || CAST(doc_id % 150 AS VARCHAR) AS product_id
+        FROM documents) d
+  LEFT JOIN part p ON CAST(p.p_partkey AS VARCHAR) = d.product_id
   LEFT JOIN labels l ON l.doc_id = d.doc_id
   LEFT JOIN orders o ON o.o_orderkey = d.doc_id
   LEFT JOIN customer c ON c.c_custkey = o.o_custkey
   LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
-  LEFT JOIN media_summary m ON m.product_id = CAST(p.p_partkey AS VARCHAR)
-  LEFT JOIN returns_summary r ON r.product_id = CAST(p.p_partkey AS VARCHAR)""",
+  LEFT JOIN media_summary m ON m.product_id = d.product_id
+  LEFT JOIN returns_summary r ON r.product_id = d.product_id""",
 }
 
 _DEPS = {
@@ -137,12 +138,8 @@ SELECT year, quarter,
        CAST(sum(cancelled) AS DOUBLE) / count(cancelled) AS cancel_rate
 FROM ontime WHERE year = 1999 AND quarter = 3 GROUP BY year, quarter"""
 
-_MEDIA_LISTS = """
-WITH m AS (SELECT CAST(page_id % 100 AS VARCHAR) AS product_id, url FROM pages),
-c AS (SELECT product_id, CAST(ceil(count(*) / 1000) AS BIGINT) AS n_chunks FROM m GROUP BY product_id)
-SELECT product_id, CAST(('0x' || substr(md5(url), 1, 8)) AS BIGINT) % n_chunks AS chunk, n_chunks,
-       count(*) AS n_urls, string_agg(url, ',' ORDER BY url) AS media_urls
-FROM m JOIN c USING (product_id) GROUP BY 1, 2, 3"""
+_CURATED_MEDIA = """
+SELECT CAST(page_id % 100 AS VARCHAR) AS product_id, url, count(*) AS n_files FROM pages GROUP BY ALL"""
 
 _DOMAIN_COUNTS = """
 SELECT 'product_master' AS domain, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_rejected FROM part
@@ -206,12 +203,13 @@ SELECT 'raw' AS table_name, count(*) AS n_rows FROM raw_catalog
 UNION ALL SELECT 'processed', count(*) FROM processed""",
     "pipeline_end_to_end": _final_sql("stats"),
     "media_by_product": _with("media_summary") + "SELECT * FROM media_summary",
-    "media_url_lists": _MEDIA_LISTS,
+    "curated_media": _CURATED_MEDIA,
     "returns_by_product": _with("returns_summary") + "SELECT * FROM returns_summary",
     "curated_feedback": _with("curated") + "SELECT * FROM curated",
     "geo_points": _GEO,
     "flatten_product_json": _FLATTEN,
     "load_raw_domains": _DOMAIN_COUNTS,
+    "reload_domains": _with("curated") + "SELECT * FROM curated",
     "layered_curation": _with("curated") + "SELECT * FROM curated",
     "stats_part": _with("stats") + "SELECT * FROM stats",
     "stats_nopart": _with("stats") + "SELECT * FROM stats",

@@ -40,7 +40,6 @@ STATS_YEAR, STATS_QUARTER = 1999, 3
 EMPTY_STATS_YEAR = 1899
 REVIEW_YEARS = (1998, 1999)
 EARLY_UPLOAD_BEFORE = "2024-01-16"
-MEDIA_CHUNK = 1000
 
 
 def presentable(df: DataFrame) -> DataFrame:
@@ -279,8 +278,8 @@ def q_media_by_product(spark, sf_dir):
     return curate.media_summary(fx.media(spark, sf_dir))
 
 
-def q_media_url_lists(spark, sf_dir):
-    return curate.media_url_lists(fx.media(spark, sf_dir), MEDIA_CHUNK)
+def q_curated_media(spark, sf_dir):
+    return curate.product_media(fx.media(spark, sf_dir))
 
 
 def q_returns_by_product(spark, sf_dir):
@@ -312,17 +311,28 @@ def q_flatten_product_json(spark, sf_dir):
                        F.try_variant_get("node", "$.brand", "string").alias("brand"))
 
 
-def q_layered_curation(spark, sf_dir):
-    """Five domains staged and loaded (RAW), cleaned (STG), joined at review grain (CURATED)."""
+def _layered(spark, sf_dir, loads: int):
     from vellum.operators import layers
     root = new_workspace(spark, "layers")
-    raw = domains.stage_and_load(spark, sf_dir, root)
+    domains.stage(spark, sf_dir, f"{root}/stage")
+    for _ in range(loads):
+        raw = domains.load(spark, root)
     stg = layers.build_stg(spark, raw, f"{root}/stg")
     path = layers.build_curated(spark, stg, fx.customers(spark, sf_dir), fx.nations(spark, sf_dir),
                                 f"{root}/curated/product_feedback")
     return presentable(spark.read.parquet(path))
 
 
+def q_layered_curation(spark, sf_dir):
+    """Five domains staged and loaded (RAW), cleaned (STG), joined at review grain (CURATED)."""
+    return _layered(spark, sf_dir, 1)
+
+
+def q_reload_domains(spark, sf_dir):
+    """The same with every load run twice: files already loaded add nothing."""
+    return _layered(spark, sf_dir, 2)
+
+
 def q_load_raw_domains(spark, sf_dir):
     root = new_workspace(spark, "domains")
     return domains.load_counts(spark, domains.stage_and_load(spark, sf_dir, root))
@@ -427,13 +437,14 @@ QUERIES: dict[str, Query] = {
     "pipeline_end_to_end": q_pipeline_end_to_end,
     "run_history": q_run_history,
     "media_by_product": q_media_by_product,
-    "media_url_lists": q_media_url_lists,
+    "curated_media": q_curated_media,
     "returns_by_product": q_returns_by_product,
     "curated_feedback": q_curated_feedback,
     "geo_points": q_geo_points,
     "flatten_product_json": q_flatten_product_json,
     "load_raw_domains": q_load_raw_domains,
     "layered_curation": q_layered_curation,
+    "reload_domains": q_reload_domains,
     "stats_part": q_stats_part,
     "stats_nopart": q_stats_nopart,
     "stats_part_csv": q_stats_part_csv,

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vellum.operators.catalog import read_table
 from vellum.sources.tables import table
 
 CORRUPT = "_corrupt_record"
@@ -88,25 +89,50 @@ def stage(spark: SparkSession, sf_dir: str, stage_root: str) -> None:
             rows.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def copy_into(spark: SparkSession, d: Domain, stage_path: str, table_path: str) -> None:
-    """COPY INTO table FROM @stage: typed read, bad rows kept in the corrupt column."""
+LOAD_COLUMNS = [T.StructField("load_file", T.StringType()), T.StructField("load_time", T.TimestampType())]
+HISTORY_SCHEMA = T.StructType(LOAD_COLUMNS)
+
+
+def copy_into(spark: SparkSession, d: Domain, stage_path: str, table_path: str) -> int:
+    """COPY INTO table FROM @stage: typed read, bad rows kept in the corrupt column.
+
+    The load history (file and its modification time, beside the table) decides
+    what is new: a file is loaded once, and again only after it changed.  The
+    files' names come to the driver, the rows don't.  Every row keeps its file
+    and time.  Returns the number of files loaded.
+    """
+    history_path = f"{table_path}_load_history"
+    listed = (spark.read.format("binaryFile").load(f"{stage_path}/*.{'txt' if d.name == 'product_master' else d.fmt}")
+              .select(F.col("path").alias("load_file"), F.col("modificationTime").alias("load_time")))
+    history = read_table(spark, history_path, HISTORY_SCHEMA)
+    fresh = listed.join(history, ["load_file", "load_time"], "left_anti").collect()
+    if not fresh:
+        return 0
     schema = T.StructType(d.schema.fields + [T.StructField(CORRUPT, T.StringType())])
     reader = (spark.read.schema(schema).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT))
     if d.fmt == "csv":
         reader = reader.option("header", "true")
-    reader.format(d.fmt).load(stage_path).write.mode("append").parquet(table_path)
+    rows = reader.format(d.fmt).load([r.load_file for r in fresh])
+    rows.select("*", F.col("_metadata.file_path").alias("load_file"),
+                F.col("_metadata.file_modification_time").alias("load_time")).write.mode("append").parquet(table_path)
+    spark.createDataFrame(fresh, HISTORY_SCHEMA).write.mode("append").parquet(history_path)
+    return len(fresh)
 
 
-def stage_and_load(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
-    stage(spark, sf_dir, f"{root}/stage")
-    tables = {}
+def load(spark: SparkSession, root: str) -> dict[str, str]:
+    """Load what is new of every domain under ``root/stage`` into ``root/raw``."""
+    tables = {d.name: f"{root}/raw/{d.name}" for d in DOMAINS}
     for d in DOMAINS:
-        tables[d.name] = f"{root}/raw/{d.name}"
         copy_into(spark, d, f"{root}/stage/{d.name}", tables[d.name])
     return tables
 
 
+def stage_and_load(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    stage(spark, sf_dir, f"{root}/stage")
+    return load(spark, root)
+
+
 def load_counts(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     """Per domain: rows loaded and rows rejected (non-NULL corrupt column)."""
     parts = [
