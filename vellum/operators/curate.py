@@ -24,18 +24,21 @@ from vellum.functions.geo import st_point
 NO_MEDIA = "NO MEDIA"
 
 
-def flatten_json(df: DataFrame, json_col: str, path: list[str], keep: list[str]) -> DataFrame:
+def flatten_json(df: DataFrame, json_col: str, path: list[str], keep: list[str],
+                 fields: tuple[str, ...] = ()) -> DataFrame:
     """Explode nested arrays along ``path`` (keys of successive levels).
 
-    Output: ``keep`` columns, ``pos1..posN`` (position at each level, NULL when
-    the level had no element) and ``node`` (the innermost element, VARIANT).
+    Output: ``keep`` columns, for each level ``posN`` (position, NULL when the
+    level had no element) and ``NAME_N`` for each of ``fields`` (as text), and
+    ``node`` (the innermost element, VARIANT).
     """
     cur = df.select(*keep, F.try_parse_json(json_col).alias("node"))
-    pos_cols: list[str] = []
+    found: list[str] = []
     for i, key in enumerate(path, 1):
         child = F.try_variant_get("node", f"$.{key}", "array<variant>")
-        cur = cur.select(*keep, *pos_cols, F.posexplode_outer(child).alias(f"pos{i}", "node"))
-        pos_cols.append(f"pos{i}")
+        cur = cur.select(*keep, *found, F.posexplode_outer(child).alias(f"pos{i}", "node"))
+        cur = cur.select("*", *(F.try_variant_get("node", f"$.{f}", "string").alias(f"{f}_{i}") for f in fields))
+        found += [f"pos{i}", *(f"{f}_{i}" for f in fields)]
     return cur
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.operators.curate import curated_feedback, customer_locations, product_media
+from vellum.operators.curate import curated_feedback, customer_locations, flatten_json, product_media
 from vellum.sources.domains import CORRUPT
 
 
@@ -45,6 +45,14 @@ def stg_products(raw: DataFrame) -> DataFrame:
                                       F.col("brand"), F.col("name").alias("model_name"), F.col("category")])
 
 
+def stg_product_hierarchy(raw: DataFrame) -> DataFrame:
+    """One row per leaf of a product's 8-level hierarchy, with position and level of every node above it."""
+    rows = latest(raw.withColumn("hierarchy", F.to_json(F.struct("l1"))), "product_id",
+                  [F.col("product_id").cast("string").alias("product_id"), F.col("hierarchy")])
+    flat = flatten_json(rows, "hierarchy", [f"l{i}" for i in range(1, 9)], keep=["product_id"], fields=("level",))
+    return flat.withColumn("leaf", F.to_json("node")).drop("node", "level_8")
+
+
 def stg_sales(raw: DataFrame) -> DataFrame:
     return latest(raw, "order_id", [F.col("order_id"), F.col("order_date").cast("date").alias("review_date"), F.col("customer_id")])
 
@@ -63,6 +71,7 @@ def stg_returns(raw: DataFrame) -> DataFrame:
 
 STG = {
     "product_master": stg_products,
+    "product_hierarchy": stg_product_hierarchy,
     "sales_transactions": stg_sales,
     "customer_reviews": stg_reviews,
     "media_metadata": stg_media,
@@ -74,7 +83,7 @@ def build_stg(spark: SparkSession, raw_tables: dict[str, str], stg_root: str) ->
     out = {}
     for name, fn in STG.items():
         out[name] = f"{stg_root}/{name}"
-        raw = spark.read.parquet(raw_tables[name])
+        raw = spark.read.parquet(raw_tables["product_master" if name == "product_hierarchy" else name])
         fn(raw).write.mode("overwrite").parquet(out[name])
         if name in KEYS:
             without_key(raw, KEYS[name]).write.mode("overwrite").parquet(f"{stg_root}/{name}_quarantine")

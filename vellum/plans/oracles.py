@@ -113,11 +113,14 @@ SELECT * FROM (
 ) v {where} {order}"""
 
 
-_FLATTEN = """
-SELECT p_partkey, CAST(g.pos AS INTEGER) AS pos, CAST(p_size + g.pos AS INTEGER) AS value, p_brand AS brand
+# Inner arrays hold one element each, which names its level; every tenth product has an empty leaf array.
+_INNER = ", ".join(f"CAST(0 AS INTEGER) AS pos{i}" for i in range(1, 8)) + ", " + ", ".join(
+    f"CAST({i} AS INTEGER) AS level_{i}" for i in range(1, 8))
+_FLATTEN = f"""
+SELECT p_partkey, {_INNER}, CAST(g.pos AS INTEGER) AS pos, CAST(p_size + g.pos AS INTEGER) AS value, p_brand AS brand
 FROM part, (VALUES (0), (1)) g(pos) WHERE p_partkey % 10 <> 0
 UNION ALL
-SELECT p_partkey, CAST(NULL AS INTEGER), CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR)
+SELECT p_partkey, {_INNER}, CAST(NULL AS INTEGER), CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR)
 FROM part WHERE p_partkey % 10 = 0"""
 
 _MONTHLY = _with("ontime") + """

@@ -305,8 +305,10 @@ def q_geo_points(spark, sf_dir):
 
 def q_flatten_product_json(spark, sf_dir):
     levels = [f"l{i}" for i in range(1, fx.JSON_LEVELS + 1)]
-    flat = curate.flatten_json(fx.product_json(spark, sf_dir), "product_json", levels, keep=["p_partkey"])
-    return flat.select("p_partkey", F.col(f"pos{fx.JSON_LEVELS}").alias("pos"),
+    flat = curate.flatten_json(fx.product_json(spark, sf_dir), "product_json", levels, keep=["p_partkey"], fields=("level",))
+    inner = range(1, fx.JSON_LEVELS)
+    return flat.select("p_partkey", *(f"pos{i}" for i in inner), *(F.col(f"level_{i}").cast("int").alias(f"level_{i}") for i in inner),
+                       F.col(f"pos{fx.JSON_LEVELS}").alias("pos"),
                        F.try_variant_get("node", "$.value", "int").alias("value"),
                        F.try_variant_get("node", "$.brand", "string").alias("brand"))
 

@@ -5,7 +5,7 @@
   ontime_monthly  monthly aggregate table                 (the materialized view)
   ontime_csv_*    the facts as CSV, partitioned and flat   (the unload procedure's format)
   processed       PROCESSED document catalog              (what T2 produces)
-  curated         CURATED_PRODUCT_FEEDBACK                (the curation pipeline's table)
+  curated         CURATED_PRODUCT_FEEDBACK, review_year= folders (the curation pipeline's table)
 
 External tables are opened once and registered as temp views: the file listing
 is kept with the relation (as a catalog keeps partition metadata), so a query
@@ -16,6 +16,7 @@ whole table again.  ``refresh`` re-lists after the folders change.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vellum.operators.catalog import PROCESSED_SCHEMA, conform, raw_rows, read_table
 from vellum.operators.extract import extract_documents
@@ -90,7 +91,8 @@ def build_processed(spark: SparkSession, sf_dir: str) -> str:
 
 def build_curated(spark: SparkSession, sf_dir: str) -> str:
     path = new_workspace(spark, "curated") + "/curated_product_feedback"
-    curated(spark, sf_dir).write.mode("overwrite").parquet(path)
+    by_year = curated(spark, sf_dir).withColumn("review_year", F.year("review_date"))
+    by_year.hint("rebalance", "review_year").write.mode("overwrite").partitionBy("review_year").parquet(path)
     return path
 
 

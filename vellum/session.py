@@ -8,16 +8,21 @@ create one of our own.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings this pipeline relies on.  Sizes are defaults for local runs; on a
-# cluster the deployment's own values win (we only fill what is unset).
-DEFAULT_CONF = {
+# No web page and no progress bar: they are fixed when the context starts.
+START_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+}
+
+# Settings this pipeline relies on, filled in where the deployment (its
+# spark-defaults, submit options or an existing session) says nothing.
+DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -37,13 +42,16 @@ def build_session(master: str | None = None, app: str = "vellum",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    conf = START_CONF | (extra or {})
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    said = spark.sparkContext.getConf()
+    for k, v in DEFAULT_CONF.items():
+        if not said.contains(k) and k not in conf:
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     shared_root(spark)
     return spark
@@ -53,7 +61,8 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder for tables and checkpoints.
 
     Read from the session (``spark.checkpoint.dir``, or a directory already
-    set with ``setCheckpointDir``).  Set our own only where it is unset.
+    set with ``setCheckpointDir``).  Set our own only where it is unset, and
+    only in one process: executors elsewhere don't see a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -61,6 +70,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir()
