@@ -24,6 +24,7 @@ toxic ones among the training labels (0 if there are none).
 
 from __future__ import annotations
 
+from itertools import chain
 from typing import Iterator, NamedTuple
 
 import numpy as np
@@ -33,9 +34,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.common import whole_text
-from vellum.llm.encode import slices
+from vellum.llm.encode import ragged, slices
 
-SAMPLE = 4000
+SAMPLE = 2500
 STEPS = 25
 HELD_OUT_FOLD, FOLDS = 0, 5
 EDGE = "\"'`.,;:!?()[]{}<>|*#$%&-_~/\\“”‘’«»¡¿…"
@@ -142,36 +143,49 @@ def marginals(emit: np.ndarray, per_line: np.ndarray, moves: np.ndarray) -> tupl
     return p, w.sum(axis=1).reshape(2, 2), log_z
 
 
-def _label_words(lines: Lines, toxic: np.ndarray) -> tuple[np.ndarray, dict[str, int], list[list[int]]]:
-    """Words of toxic texts with a feature that is toxic beyond chance; feature numbers; features per word."""
-    text_of_line = np.repeat(np.arange(len(lines.per_text)), lines.per_text)
-    text = np.repeat(text_of_line, lines.per_line)
-    folded = [fold(w) for w in lines.words]
-    names: dict[str, int] = {}
-    of_word = [[names.setdefault(f, len(names)) for f in features(w)] for w in folded]
-    pair = np.unique(text * len(of_word) + lines.code)
-    doc, word = pair // max(len(of_word), 1), pair % max(len(of_word), 1)
+def _folded(lines: Lines) -> Lines:
+    """The same with words that fold alike as one."""
+    number: dict[str, int] = {}
+    to = np.array([number.setdefault(fold(w), len(number)) for w in lines.words], np.int32)
+    return lines._replace(words=list(number), code=to[lines.code] if len(to) else lines.code)
+
+
+def _distinct_pairs(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    both = np.unique(a.astype(np.int64) * max(n, 1) + b)
+    return (both // max(n, 1)).astype(np.int32), (both % max(n, 1)).astype(np.int32)
+
+
+def _label_words(lines: Lines, toxic: np.ndarray) -> tuple[np.ndarray, dict[str, int], np.ndarray, np.ndarray]:
+    """For folded lines: the label of every word in place; numbers of the features that three or more
+    texts have; and of each word's such features, as (word, feature) pairs."""
+    text = np.repeat(np.repeat(np.arange(len(lines.per_text), dtype=np.int32), lines.per_text), lines.per_line)
+    number: dict[str, int] = {}
+    of_word = [[number.setdefault(f, len(number)) for f in features(w)] for w in lines.words]
     sizes = np.fromiter(map(len, of_word), np.int64, len(of_word))
-    flat = np.fromiter((f for fs in of_word for f in fs), np.int64, int(sizes.sum()))
+    word = np.repeat(np.arange(len(of_word), dtype=np.int32), sizes)
+    feature = np.fromiter(chain.from_iterable(of_word), np.int32, int(sizes.sum()))
     first = np.cumsum(sizes) - sizes
-    repeat = sizes[word]
-    ends = np.cumsum(repeat)
-    total = int(ends[-1]) if len(ends) else 0
-    spread = flat[np.arange(total) + np.repeat(first[word] - (ends - repeat), repeat)]
-    both = np.unique(np.repeat(doc, repeat) * max(len(names), 1) + spread)
-    doc, feature = both // max(len(names), 1), both % max(len(names), 1)
-    hits = np.bincount(feature, weights=toxic[doc], minlength=len(names))
-    seen = np.bincount(feature, minlength=len(names))
+    del of_word
+    doc, in_doc = _distinct_pairs(text, lines.code, len(lines.words))
+    hits, seen = np.zeros(len(number)), np.zeros(len(number))
+    for t in np.array_split(np.arange(len(lines.per_text)), max(1, len(doc) // 500_000)):
+        if not len(t):
+            continue
+        some = slice(*np.searchsorted(doc, [t[0], t[-1] + 1]))
+        at = ragged(first[in_doc[some]], sizes[in_doc[some]])
+        d, f = _distinct_pairs(np.repeat(doc[some], sizes[in_doc[some]]), feature[at], len(number))
+        hits += np.bincount(f, weights=toxic[d], minlength=len(number))
+        seen += np.bincount(f, minlength=len(number))
     base = float(np.clip(toxic.mean(), 1e-6, 1 - 1e-6))
     share = np.clip(hits / np.maximum(seen, 1), 1e-9, 1 - 1e-9)
     divergence = seen * (share * np.log(share / base) + (1 - share) * np.log((1 - share) / (1 - base)))
-    telling = (share > 0.5) & (divergence > np.log(100.0 * max(len(names), 1)))
-    word_telling = np.array([any(telling[f] for f in fs) for fs in of_word], bool) if of_word else np.zeros(0, bool)
-    label = word_telling[lines.code] & (toxic[text] > 0)
+    telling = (share > 0.5) & (divergence > np.log(100.0 * max(len(number), 1)))
+    telling_word = np.bincount(word, weights=telling[feature], minlength=len(sizes)) > 0
+    label = telling_word[lines.code] & (toxic[text] > 0)
     used = seen >= 3
-    keep = {f: i for i, f in enumerate(np.flatnonzero(used).tolist())}
-    names = {n: keep[i] for n, i in names.items() if i in keep}
-    return label.astype(float), names, [[keep[f] for f in fs if f in keep] for fs in of_word]
+    renumber = np.cumsum(used) - 1
+    kept = used[feature]
+    return label.astype(float), {n: int(renumber[i]) for n, i in number.items() if used[i]}, word[kept], renumber[feature[kept]]
 
 
 def train(texts: list[str], toxic: list[int], steps: int = STEPS) -> Field:
@@ -181,10 +195,9 @@ def train(texts: list[str], toxic: list[int], steps: int = STEPS) -> Field:
     if not 0 < base < 1:
         return Field({}, 0.0, np.zeros((2, 2)), np.zeros(0), base)
     lines = read_lines(pa.array(texts, pa.string()))
-    label, names, of_word = _label_words(lines, y)
-    sizes = np.fromiter(map(len, of_word), np.int64, len(of_word))
-    flat = np.fromiter((f for fs in of_word for f in fs), np.int64, int(sizes.sum()))
-    word_of = np.repeat(np.arange(len(of_word)), sizes)
+    folded = _folded(lines)
+    label, names, word_of, flat = _label_words(folded, y)
+    n_words = len(folded.words)
     line_of = np.repeat(np.arange(len(lines.per_line)), lines.per_line)
     follows = np.flatnonzero(line_of[1:] == line_of[:-1]) + 1 if len(line_of) else np.zeros(0, np.int64)
     seen_moves = np.bincount((label[follows - 1] * 2 + label[follows]).astype(int), minlength=4).reshape(2, 2)
@@ -193,9 +206,9 @@ def train(texts: list[str], toxic: list[int], steps: int = STEPS) -> Field:
     m1, m2 = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
         weight, bias, moves = theta[:len(names)], theta[len(names)], theta[len(names) + 1:].reshape(2, 2)
-        per_word = bias + np.bincount(word_of, weights=weight[flat], minlength=len(of_word))
-        p, expected, _ = marginals(per_word[lines.code], lines.per_line, moves)
-        error = np.bincount(lines.code, weights=p - label, minlength=len(of_word))
+        per_word = bias + np.bincount(word_of, weights=weight[flat], minlength=n_words)
+        p, expected, _ = marginals(per_word[folded.code], lines.per_line, moves)
+        error = np.bincount(folded.code, weights=p - label, minlength=n_words)
         grad = np.concatenate([np.bincount(flat, weights=error[word_of], minlength=len(names)), [error.sum()],
                                (expected - seen_moves).ravel()]) + 0.01 * theta
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad ** 2
