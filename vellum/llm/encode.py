@@ -1,13 +1,22 @@
 """Whole texts to token ids with the tokenizers library, inside Arrow batches.
 
-Both vocabularies drop or split at white space, so the ids of a text are the
-ids of its ASCII-white-space chunks in a row.  Equal chunks are encoded once
-and kept for the task's next batches, up to a bound; the documents' ids are
-then gathered with numpy.
+The vocabulary drops white space, so the ids of a text are the ids of its
+ASCII-white-space chunks in a row.  Equal chunks are encoded once and kept for
+the task's next batches, up to a bound; the documents' ids are then gathered
+with numpy.
+
+A chunk that is one word of Latin letters between plain marks goes straight to
+the library's BPE model: normalising and pre-tokenising do nothing to such a
+word but lower it, and cut it off its marks.  Every other chunk takes the
+library's whole way.
 """
 
 from __future__ import annotations
 
+import gc
+import re
+from contextlib import contextmanager
+from itertools import chain
 from typing import Iterator
 
 import numpy as np
@@ -15,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 8 << 20
-KEPT_CHUNKS = 300_000
+KEPT_CHUNKS = 400_000
 
 
 def vocabulary(path: str) -> str:
@@ -38,6 +47,18 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa.
         first = last
 
 
+@contextmanager
+def no_cycles():
+    """Work that makes many small objects and no cycles, without the collector walking them over and over."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions start..start+length of every run, one run after the other."""
     ends = np.cumsum(lengths)
@@ -45,6 +66,18 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
 
 
+# Letters whose lower case and composed form are plain; no apostrophe before a
+# word (it could begin a contraction) and nothing that could hold a special string.
+_PLAIN = re.compile(r"([!-&(-/:;=?@\[-`{}~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\[-`{}~]*)").fullmatch
+
+
+def byte_letters() -> list[str]:
+    """The public byte alphabet: printable bytes stand for themselves, the others follow from 256 on."""
+    plain = {b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
 class ChunkEncoder:
     def __init__(self, vocabulary_text: str):
         import os
@@ -55,16 +88,34 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_str(vocabulary_text)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.letters = {b: c for b, c in enumerate(byte_letters())}
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
+        self.words: dict[str, list[int]] = {"": []}
         self.starts, self.lengths, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def _learn(self, chunks: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        model, words = self.tokenizer.model, self.words
+        found: list[list[int] | None] = []
+        for c in chunks:
+            m = _PLAIN(c)
+            if m is None:
+                found.append(None)
+                continue
+            before, word, after = m.groups()
+            word = word.lower()
+            for w in (before, word, after):
+                if w not in words:
+                    letters = w if w.isascii() else w.encode("utf-8").decode("latin-1").translate(self.letters)
+                    words[w] = [t.id for t in model.tokenize(letters)]
+            found.append(words[before] + words[word] + words[after])
+        rest = [i for i, f in enumerate(found) if f is None]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False)):
+            found[i] = e.ids
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        new = np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum()))
+        new = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
         first = len(self.place)
         self.place.update(zip(chunks, range(first, first + len(chunks))))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
@@ -77,11 +128,13 @@ class ChunkEncoder:
         per_text = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         coded = parts.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(self.place) + len(distinct) > KEPT_CHUNKS:
-            self._forget()
-        new = [c for c in distinct if c not in self.place]
-        if new:
-            self._learn(new)
+        with no_cycles():
+            new = [c for c in distinct if c not in self.place]
+            if len(self.place) + len(new) > KEPT_CHUNKS:
+                self._forget()
+                new = distinct
+            if new:
+                self._learn(new)
         at = np.fromiter((self.place[c] for c in distinct), np.int64, len(distinct))
         chunk = at[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int64)
         counts = self.lengths[chunk]

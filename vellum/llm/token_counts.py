@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.common import whole_text
-from vellum.llm.encode import slices
+from vellum.llm.encode import byte_letters, slices
 
 KEPT = 300_000
 COUNT_SCHEMA = "doc_id long, n_bytes long, n_tokens long"
@@ -42,11 +42,7 @@ class ByteBpe:
 
         spec = json.loads(vocabulary_text)
         vocab = spec["model"]["vocab"]
-        # the public byte alphabet: printable bytes stand for themselves, the others follow from 256 on
-        plain = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
-        others = [b for b in range(256) if b not in plain]
-        letter = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
-        self.symbol = np.array([vocab[letter[b]] for b in range(256)], np.int64)
+        self.symbol = np.array([vocab[c] for c in byte_letters()], np.int64)
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         self.base = np.int64(len(vocab) + 1)
         keys = np.array([vocab[a] * int(self.base) + vocab[b] for a, b in pairs], np.int64)
