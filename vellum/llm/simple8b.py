@@ -18,6 +18,7 @@ BLOCK = 128
 # (1 to 14).
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
+_LIMITS = np.array([1 << w for w in WIDTHS], dtype=np.uint64)
 SELECTOR_COUNT = np.array([1, *COUNTS, 0], dtype=np.int64)
 
 
@@ -30,37 +31,43 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64)
     grid = np.zeros(blocks * BLOCK, np.uint64)
     grid[:n] = values
-    column = np.arange(BLOCK, dtype=np.int16)[None, :]
-    size = np.minimum(BLOCK, n - BLOCK * np.arange(blocks)).astype(np.int16)[:, None]
-    left = size - column
-    lanes = grid.reshape(blocks, BLOCK)
-    take = np.ones((blocks, BLOCK), np.int16)
-    selector = np.zeros((blocks, BLOCK), np.uint8)  # 0 where nothing fits: an escape
+    # one column per block, so that steps along a block run over whole rows
+    place = np.arange(BLOCK, dtype=np.uint8)[:, None]
+    size = np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
+    left = np.maximum(size[None, :] - place, 0).astype(np.uint8)
+    # how many of the widths are too narrow for each value
+    narrow = np.searchsorted(_LIMITS, grid, side="right").astype(np.uint8)
+    lanes = np.ascontiguousarray(narrow.reshape(blocks, BLOCK).T)
+    take = np.ones((BLOCK, blocks), np.uint8)
+    selector = np.zeros((BLOCK, blocks), np.uint8)  # 0 where nothing fits: an escape
     for s in range(len(COUNTS), 0, -1):  # from few wide values to many narrow ones; the last that fits packs most
-        wide = lanes >= np.uint64(1 << WIDTHS[s - 1])
-        next_wide = np.minimum.accumulate(np.where(wide, column, np.int16(BLOCK))[:, ::-1], axis=1)[:, ::-1]
-        want = np.minimum(np.int16(COUNTS[s - 1]), left)
-        good = (next_wide - column >= want) & (want >= 1)
+        next_wide = np.where(lanes >= s, place, np.uint8(BLOCK))
+        for i in range(BLOCK - 2, -1, -1):
+            np.minimum(next_wide[i], next_wide[i + 1], out=next_wide[i])
+        want = np.minimum(np.uint8(COUNTS[s - 1]), left)
+        good = (next_wide - place >= want) & (want > 0)
+        if not good.any():
+            continue
         np.copyto(take, want, where=good)
         np.copyto(selector, np.uint8(s), where=good)
     # every lane walks its own block, one word a step
-    at, limit, row = np.zeros(blocks, np.int64), size[:, 0], np.arange(blocks)
+    at, row = np.zeros(blocks, np.int64), np.arange(blocks)
     order, starts = [], []
     step = 0
     while len(row):
         here = at[row]
         order.append(row * (2 * BLOCK) + step)
         starts.append(row * BLOCK + here)
-        at[row] = here + take[row, here]
-        row = row[at[row] < limit[row]]
+        at[row] = here + take[here, row]
+        row = row[at[row] < size[row]]
         step += 1
     order, starts = np.concatenate(order), np.concatenate(starts)
     starts = starts[np.argsort(order, kind="stable")]
-    sel = selector.reshape(-1)[starts]
+    sel = selector[starts % BLOCK, starts // BLOCK]
     width = 1 + (sel == 0)
-    place = np.cumsum(width) - width
+    to = np.cumsum(width) - width
     words = np.zeros(int(width.sum()), np.uint64)
-    flat_take = take.reshape(-1)[starts]
+    flat_take = take[starts % BLOCK, starts // BLOCK]
     padded = np.concatenate([grid, np.zeros(64, np.uint64)])
     for s in range(1, len(COUNTS) + 1):
         mine = np.flatnonzero(sel == s)
@@ -70,9 +77,9 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         v = padded[starts[mine][:, None] + k[None, :]]
         v[k[None, :] >= flat_take[mine][:, None]] = 0
         packed = np.bitwise_or.reduce(v << (k * WIDTHS[s - 1]).astype(np.uint64)[None, :], axis=1)
-        words[place[mine]] = packed | np.uint64(s << 60)
+        words[to[mine]] = packed | np.uint64(s << 60)
     raw = np.flatnonzero(sel == 0)
-    words[place[raw] + 1] = grid[starts[raw]]
+    words[to[raw] + 1] = grid[starts[raw]]
     per_block = np.bincount(starts // BLOCK, weights=width, minlength=blocks).astype(np.int64)
     return words, np.concatenate([[0], np.cumsum(per_block)])
 
