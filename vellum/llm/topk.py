@@ -87,7 +87,8 @@ def pack(rows: DataFrame) -> DataFrame:
             yield flush(dim)
 
     ordered = rows.repartitionByRange(F.col("length").desc(), "vec_id").sortWithinPartitions(F.col("length").desc(), "vec_id")
-    return ordered.mapInPandas(blocks, BLOCK_SCHEMA)
+    # few rows in many partitions would give many small blocks
+    return ordered.coalesce(max(1, -(-rows.count() // BLOCK))).mapInPandas(blocks, BLOCK_SCHEMA)
 
 
 def unpack(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,25 +187,35 @@ def top_products(queries: DataFrame, vectors: DataFrame, k: int = 5, scale: int
     rows = prepared(vectors)
     asked = prepared(queries).where("vec_id is not null").dropDuplicates(["vec_id", "v"])
     blocks = written(pack(rows), "topk-blocks")
-    q_blocks = written(pack(asked), "topk-queries")
     seed = [(r.vec_id, r.v) for r in rows.orderBy(F.col("length").desc(), "vec_id").limit(SEED_ROWS).collect()]
-    grid_q, grid_v = max(q_blocks.count(), 1), max(blocks.count(), 1)
     result = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
+    def started(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Query blocks with each query's first threshold, from the seed."""
+        for frame in frames:
+            floors = []
+            for _, q in frame.iterrows():
+                q_ids, _, asking = unpack(q)
+                floor = np.full(len(q_ids), -np.inf)
+                same = [(i, v) for i, v in seed if len(v) == q["dim"]]
+                if same:
+                    ids = np.array([LONG.max if i is None else i for i, _ in same], np.int64)
+                    at, _, score = search_block(q_ids, asking, floor, ids, np.array([i is None for i, _ in same]),
+                                                np.array([v for _, v in same], np.float64).reshape(len(same), -1), k)
+                    low = np.full(len(q_ids), np.inf)
+                    np.minimum.at(low, at, score.astype(float))
+                    floor = np.where(np.bincount(at, minlength=len(q_ids)) >= k, low, -np.inf)
+                floors.append(floor.tobytes())
+            yield frame.assign(floors=floors)
+
+    q_blocks = written(pack(asked).mapInPandas(started, BLOCK_SCHEMA + ", floors binary"), "topk-queries")
+    grid_q, grid_v = max(q_blocks.count(), 1), max(blocks.count(), 1)
+
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, q in left.iterrows():
             q_ids, _, asking = unpack(q)
-            floor = np.full(len(q_ids), -np.inf)
-            same = [(i, v) for i, v in seed if len(v) == q["dim"]]
-            if same:
-                s_ids = np.array([LONG.max if i is None else i for i, _ in same], np.int64)
-                s_none = np.array([i is None for i, _ in same])
-                at, _, score = search_block(q_ids, asking, floor, s_ids, s_none, np.array([v for _, v in same]), k)
-                full = np.bincount(at, minlength=len(q_ids)) >= k
-                low = np.full(len(q_ids), np.inf)
-                np.minimum.at(low, at, score.astype(float))
-                floor = np.where(full, low, -np.inf)
+            floor = np.frombuffer(q["floors"], np.float64)
             for _, b in right.iterrows():
                 if b["dim"] != q["dim"]:
                     continue
