@@ -1,5 +1,6 @@
 import collections
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -222,3 +223,63 @@ def test_substring_dedup_ids_and_empty_table(spark):
     rows = substring_dedup.dedup_substrings(docs_frame(spark, [text, text, text, text + " More here."], ids=[3, None, 3, 3])).collect()
     assert sorted((r.doc_id is None, r.text) for r in rows) == [(False, "")] * 2 + [(False, " More here.".strip()), (True, text)]
     assert substring_dedup.dedup_substrings(docs_frame(spark, [])).count() == 0
+
+
+def kinds_of_short_units(rng):
+    """name, a maker of texts of n words or characters each unlike any other."""
+    def fresh(n, alphabet="abcdefghijklmnopqrstuvwxyz"):
+        return ["".join(rng.choice(alphabet) for _ in range(7)) for _ in range(n)]
+
+    han = [chr(c) for c in range(0x4E00, 0x9FA0)]
+    return {
+        "title case": lambda n: " ".join(w.capitalize() for w in fresh(n)),
+        "names": lambda n: "\n".join(" ".join(w.capitalize() for w in fresh(2)) for _ in range(n // 2)),
+        "prices": lambda n: "\n".join("item {} {}".format(*fresh(2)) for _ in range(-(-n // 3))),
+        "menu": lambda n: "\n".join(" ".join(fresh(1 + i % 3)) for i in range(n // 2)),
+        "shouted": lambda n: " ".join(w.upper() + "!!" for w in fresh(n)),
+        "chinese": lambda n: "\n".join("".join(rng.choice(han) for _ in range(9)) + "，" + "".join(rng.choice(han) for _ in range(6)) + "。" for _ in range(n // 15 + 1)),
+        "japanese": lambda n: "".join("".join(rng.choice(han) + "ぁあかさたな"[i % 6] for i in range(5)) + "。" for _ in range(n // 10 + 1)),
+    }
+
+
+def test_passages_of_short_units_go(spark):
+    rng = random.Random(11)
+    word = re.compile(r"[a-z0-9]+|[぀-鿿]")
+    rows, passages = [], []
+    for kind, make in kinds_of_short_units(rng).items():
+        passage = make(54)
+        own = [(make(rng.randint(5, 40)), make(rng.randint(5, 40))) for _ in range(4)]
+        sep = "" if kind == "japanese" else "\n" if "\n" in passage else " "
+        passages += [(kind, passage, len(rows) + i, a, b) for i, (a, b) in enumerate(own)]
+        rows += [a + sep + passage + sep + b for a, b in own]
+        rows += [passage, passage]
+    got = {r.doc_id: r.text for r in substring_dedup.dedup_substrings(docs_frame(spark, rows)).collect()}
+    # eight words in a row that an earlier text holds are a repeat; everything else has to stay
+    held = {}
+    for i, t in enumerate(rows):
+        ws = word.findall(t.lower())
+        for k in range(len(ws) - 7):
+            held.setdefault(tuple(ws[k:k + 8]), i)
+    for i, t in enumerate(rows):
+        ws = word.findall(t.lower())
+        repeat = {x for k in range(len(ws) - 7) if held[tuple(ws[k:k + 8])] < i for x in range(k, k + 8)}
+        want = [w for k, w in enumerate(ws) if k not in repeat]
+        left = word.findall(got[i].lower())
+        assert len(left) - len(want) <= 2, (i, t, got[i])
+        rest = iter(left)
+        assert all(w in rest for w in want), (i, t, got[i])
+    for kind, passage, i, a, b in passages:
+        assert a in got[i] and b in got[i], kind
+    assert sum(t == "" for t in got.values()) == 2 * 7
+
+
+def test_unlike_short_units_between_repeats_stay(spark):
+    first, second = "One repeated passage of quite some words here.", "Another repeated passage of as many words there."
+    own = " ".join(w.capitalize() for w in words(random.Random(3), 30, "uvwxyz"))
+    got = substring_dedup.dedup_substrings(docs_frame(spark, [f"{first} {second}", f"{first} {own} {second}"])).collect()
+    assert {r.doc_id: r.text.strip() for r in got} == {0: f"{first} {second}", 1: own}
+
+
+def test_first_place_of_a_rhythm_stays(spark):
+    got = substring_dedup.dedup_substrings(docs_frame(spark, ["FOO!! BAR!! " * 40])).collect()
+    assert 8 <= len(got[0].text.split()) <= 10

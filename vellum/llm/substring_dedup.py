@@ -3,12 +3,19 @@
 A text is cut into units that together are the text: at line ends, after a
 sentence end, and before a capitalised word, so that a passage set into the
 middle of a line still starts a unit.  A unit is normalised (lower case,
-letters and digits only, single spaces) and hashed to 128 bits.  Digests are
-grouped over all documents; the smallest doc_id that holds one keeps it, every
-other document loses it, and so does a later place in the same document.
-
-A unit goes only as part of a run of such units (shorter ones in between go
-along) that has ``min_words`` words, so chance repeats of short sentences stay.
+letters and digits only, single spaces) and hashed to 128 bits; letters of
+scripts without spaces count as a word each.  A unit below the floor of
+``MIN_UNIT_WORDS`` says little by itself, so it is hashed together with the units
+after it, across lines, until they have ``WINDOW_WORDS`` words or a unit above
+the floor is among them: lists, tables and title case are compared wherever in a
+text they begin.  Digests are grouped over all documents; the smallest doc_id
+that holds one keeps it, every other document loses it, and so does a later
+place in the same document (one that doesn't overlap the first).
+
+A unit goes only as part of a run of such units (fewer than ``MIN_UNIT_WORDS``
+words in between go along) that has ``min_words`` words, so chance repeats of
+short sentences stay.  What is left of a repeat: short units after its last
+sentence, up to two words in text of short units alone, none at a text's end.
 The result names what was cut as code-point spans of the original text.
 
 Scale: digests are combined before the shuffle (smallest and largest id per
@@ -24,6 +31,7 @@ dropped.  Columns other than doc_id and text pass through if named in ``keep``.
 
 from __future__ import annotations
 
+from itertools import chain
 from typing import Iterator
 
 import numpy as np
@@ -35,47 +43,90 @@ from vellum.llm.common import whole_text
 
 NO_ID = -(1 << 63)
 MIN_UNIT_WORDS = 4
+WINDOW_WORDS = 8  # of short units hashed together
+UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+
+
+def window_ends(sizes: list[int]) -> list[int | None]:
+    """For each unit, the last one hashed with it (itself if above the floor); none where nothing is hashed.
+
+    Where the text ends before a window is full, one digest covers the rest.
+    """
+    out: list[int | None] = []
+    ended = False
+    for i, size in enumerate(sizes):
+        if size >= MIN_UNIT_WORDS:
+            out.append(i)
+        elif not size or ended:
+            out.append(None)
+        else:
+            words, end = size, i
+            while words < WINDOW_WORDS and end + 1 < len(sizes):
+                end += 1
+                words += sizes[end]
+                if sizes[end] >= MIN_UNIT_WORDS:
+                    break
+            ended = words < WINDOW_WORDS and sizes[end] < MIN_UNIT_WORDS
+            out.append(end)
+    return out
 
 
 class Units:
     """Cuts and hashes texts; one per task."""
 
     def __init__(self):
+        import re
+
         import regex
         import xxhash
 
-        self.cuts = regex.compile(r"\n+|(?<=[.!?…])\s+|\s+(?=\p{Lu}(?:\p{Ll}|\s))").finditer
-        self.words = regex.compile(r"[\p{L}\p{N}\p{M}]+").findall
+        self.cuts = regex.compile(r"\n+|(?<=[.!?…])\s+|(?<=[。！？])(?![。！？])|\s+(?=\p{Lu}(?:\p{Ll}|\s))").finditer
+        self.words = regex.compile(rf"(?V1)[{UNSPACED}]\p{{M}}*|[[\p{{L}}\p{{N}}\p{{M}}]--[{UNSPACED}]]+").findall
+        # the same rules where there is nothing but ASCII
+        self.ascii_cuts = re.compile(r"\n+|(?<=[.!?])[\t-\r ]+|[\t-\r ]+(?=[A-Z][a-z\t-\r ])").finditer
+        self.ascii_words = re.compile(r"[a-z0-9]+").findall
         self.digest = xxhash.xxh3_128_intdigest
 
     def of(self, text: str) -> tuple[list[int], list[int], list[tuple[int, int] | None]]:
-        """Bounds of the units, their numbers of words, and digests of those long enough."""
-        bounds = [0, *(m.end() for m in self.cuts(text))]
+        """Bounds of the units, their numbers of words, and the digests that begin at them."""
+        cuts, words = (self.ascii_cuts, self.ascii_words) if text.isascii() else (self.cuts, self.words)
+        bounds = [0, *(m.end() for m in cuts(text))]
         if bounds[-1] < len(text):
             bounds.append(len(text))
-        sizes, digests = [], []
-        for a, b in zip(bounds, bounds[1:]):
-            words = self.words(text[a:b].lower())
-            sizes.append(len(words))
-            if len(words) < MIN_UNIT_WORDS:
+        found = [words(text[a:b].lower()) for a, b in zip(bounds, bounds[1:])]
+        sizes = [len(ws) for ws in found]
+        digests: list[tuple[int, int] | None] = []
+        first_end: dict[int, int] = {}
+        for i, end in enumerate(window_ends(sizes)):
+            if end is None:
                 digests.append(None)
-            else:
-                h = self.digest(" ".join(words).encode("utf-8"))
+                continue
+            h = self.digest(" ".join(found[i] if end == i else chain.from_iterable(found[i:end + 1])).encode("utf-8"))
+            if i > first_end.setdefault(h, end) or first_end[h] == end:
                 digests.append(((h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63)))
+            else:  # overlaps its first place, which stays whole
+                digests.append(None)
         return bounds, sizes, digests
 
 
 def repeated_spans(bounds: list[int], sizes: list[int], gone: list[bool], min_words: int) -> list[tuple[int, int]]:
-    """Spans of runs of units to cut: they begin and end with a gone unit, units between are gone or short."""
-    out, first, last, words = [], None, None, 0
-    for i, (n, g) in enumerate(zip([*sizes, MIN_UNIT_WORDS], [*gone, False])):
+    """Spans of runs of units to cut, given whose digest is gone: they begin and end with a unit under a
+    gone digest, and fewer than ``MIN_UNIT_WORDS`` words in a row between are not."""
+    if not any(gone):
+        return []
+    out, first, last, words, between, reach = [], None, None, 0, 0, -1
+    for i, (n, g, end) in enumerate(zip([*sizes, MIN_UNIT_WORDS], [*gone, False], [*window_ends(sizes), None])):
         if g:
+            reach = max(reach, end)
+        if i <= reach:
             first = i if first is None else first
-            last, words = i, words + n
-        elif n >= MIN_UNIT_WORDS and first is not None:
-            if words >= min_words:
-                out.append((bounds[first], bounds[last + 1]))
-            first, words = None, 0
+            last, words, between = i, words + n, 0
+        elif first is not None:
+            between += n
+            if between >= MIN_UNIT_WORDS:
+                if words >= min_words:
+                    out.append((bounds[first], bounds[last + 1]))
+                first, words, between = None, 0, 0
     return out
 
 
