@@ -116,6 +116,35 @@ def test_packing_across_cells(spark):
     assert bins <= bound + 1
 
 
+def stored_pieces(spark, tmp_path, sizes):
+    rows = [(i, i, 0, 0, n, 0) for i, n in enumerate(sizes)]
+    spark.createDataFrame(rows, packing.PIECE_SCHEMA).write.parquet(str(tmp_path / "pieces"))
+    return spark.read.parquet(str(tmp_path / "pieces"))
+
+
+@pytest.mark.parametrize("extra", [[], [40] * 3])
+def test_packing_ends_where_no_two_pieces_fit(spark, tmp_path, monkeypatch, extra):
+    levels, pack_cells = [], packing._pack_cells
+
+    def counted(parts, cells, level, s):
+        levels.append(cells)
+        assert len(levels) < 6, "repacking goes on"
+        return pack_cells(parts, cells, level, s)
+
+    monkeypatch.setattr(packing, "_pack_cells", counted)
+    rng = random.Random(3)
+    sizes = [rng.randint(1025, 1986) for _ in range(100)] + extra
+    rows = packing.pack_pieces(stored_pieces(spark, tmp_path, sizes), packing.Settings(cell_pieces=20)).collect()
+    assert sorted((r.doc_id, r.length) for r in rows) == list(enumerate(sizes))
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for b in bins.values():
+        ends = np.cumsum([n for _, n in sorted(b)])
+        assert [o for o, _ in sorted(b)] == [0, *ends[:-1]] and ends[-1] <= 2048
+    assert len(bins) == 100
+
+
 def test_packing_empty_table_and_one_row(spark):
     v = vocabulary(WORD_FILE)
     assert packing.pack_documents(docs_frame(spark, []), v, 0).count() == 0

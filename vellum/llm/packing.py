@@ -8,7 +8,9 @@ whole well-filled bins of one parent, dissolves the other parent's bins that
 hold any of their pieces, and best-fits the displaced pieces, longest first,
 into what room is left.  Between epochs each island's elite moves to the next
 island of its cell.  The best packing of a cell counts; its poorly filled bins
-are emptied and their pieces packed again across cells, until one cell is left.
+are emptied and their pieces packed again across cells, until one cell is left
+or a level saves fewer bins than it has cells.  Bins without room for the
+smallest of those pieces are not emptied.
 
 A cell's state is one row, of bounded size; pieces travel as numbers.  A cell
 whose packing meets the lower bound (tokens / capacity, rounded up) stops.
@@ -24,7 +26,7 @@ from typing import Iterator, NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -217,16 +219,27 @@ def _pack_cells(parts: DataFrame, cells: int, level: int, s: Settings) -> DataFr
 
 def pack_pieces(pieces: DataFrame, s: Settings = Settings()) -> DataFrame:
     """sequence_id and offset for every piece (columns of ``pieces_of``, which must be stored)."""
-    number: Column = F.concat_ws("-", "level", "cell", "bin")
+    place = ("uid", F.concat_ws("-", "level", "cell", "bin").alias("sequence"), "offset")
     full = pieces.where(F.col("length") >= s.capacity).select(
         "uid", F.concat(F.lit("full-"), F.col("uid").cast("string")).alias("sequence"), F.lit(0).cast("long").alias("offset"))
     todo, level, done = pieces.where(F.col("length") < s.capacity).select("uid", "length"), 0, []
-    while (n := todo.count()):
+    n, before, held = todo.count(), None, None
+    while n:
         cells = -(-n // s.cell_pieces)
         packed = written(_pack_cells(todo, cells, level, s), "packing-level")
-        again = (F.col("fill") < F.lit(s.repack_below * s.capacity)) if cells > 1 else F.lit(False)
-        done.append(packed.where(~again).select("uid", number.alias("sequence"), "offset"))
-        todo, level = packed.where(again).select("uid", "length"), level + 1
+        poor = F.col("fill") < F.lit(s.repack_below * s.capacity)
+        # every piece is at least one token long, so each bin has one piece at offset 0
+        bins, smallest = packed.agg(F.count_if(F.col("offset") == 0), F.min(F.when(poor, F.col("length")))).first()
+        if before is not None and bins > before:
+            done.append(held)  # the same pieces as the level before had them
+            break
+        if cells == 1 or smallest is None or before is not None and before - bins < cells:
+            done.append(packed.select(*place))
+            break
+        again = poor & (F.col("fill") + F.lit(smallest) <= F.lit(s.capacity))
+        done.append(packed.where(~again).select(*place))
+        todo, held, level = packed.where(again).select("uid", "length"), packed.where(again).select(*place), level + 1
+        n, before = packed.where(again).agg(F.count(F.lit(1)), F.count_if(F.col("offset") == 0)).first()
     placed = full
     for d in done:
         placed = placed.unionByName(d)
