@@ -147,6 +147,24 @@ def test_partial_refresh_drops_vanished_months_and_an_empty_one_changes_nothing(
     assert [(r.month, r.sum_arr_delay) for r in spark.read.parquet(root).collect()] == [(1, 5)]
 
 
+def test_copy_into_loads_files_of_any_name(spark, tmp_path):
+    import gzip
+
+    from vellum.sources import domains
+
+    d = next(x for x in domains.DOMAINS if x.name == "media_metadata")
+    stage = tmp_path / "stage"
+    stage.mkdir()
+    (stage / "a.csv").write_text("media_id,product_id,url\n1,p,u\n")
+    (stage / "b.csv.gz").write_bytes(gzip.compress(b"media_id,product_id,url\n2,p,u\n"))
+    (stage / "c.export").write_text("media_id,product_id,url\n3,p,u\n")
+    (stage / "_SUCCESS").write_text("")
+    raw = str(tmp_path / "raw")
+    assert domains.copy_into(spark, d, str(stage), raw) == 3
+    assert sorted(r.media_id for r in spark.read.parquet(raw).collect()) == [1, 2, 3]
+    assert domains.copy_into(spark, d, str(stage), raw) == 0
+
+
 def test_copy_into_keeps_bad_rows_visible(spark, tmp_path):
     from vellum.sources import domains
     stage = tmp_path / "media"

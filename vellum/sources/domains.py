@@ -97,12 +97,13 @@ def copy_into(spark: SparkSession, d: Domain, stage_path: str, table_path: str)
     """COPY INTO table FROM @stage: typed read, bad rows kept in the corrupt column.
 
     The load history (file and its modification time, beside the table) decides
-    what is new: a file is loaded once, and again only after it changed.  The
+    what is new: a file is loaded once, and again only after it changed.  Every
+    file that Spark doesn't hide counts, whatever its name.  The
     files' names come to the driver, the rows don't.  Every row keeps its file
     and time.  Returns the number of files loaded.
     """
     history_path = f"{table_path}_load_history"
-    listed = (spark.read.format("binaryFile").load(f"{stage_path}/*.{'txt' if d.name == 'product_master' else d.fmt}")
+    listed = (spark.read.format("binaryFile").load(stage_path)
               .select(F.col("path").alias("load_file"), F.col("modificationTime").alias("load_time")))
     history = read_table(spark, history_path, HISTORY_SCHEMA)
     fresh = listed.join(history, ["load_file", "load_time"], "left_anti").collect()
