@@ -1,6 +1,7 @@
 import collections
 import random
 import re
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -137,6 +138,12 @@ def test_components_of_edges(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+@pytest.mark.parametrize("one_task", [0, 120])
+def test_components_by_rounds(spark, monkeypatch, one_task):
+    monkeypatch.setattr(sys.modules[components.__module__], "ONE_TASK", one_task)
+    test_components_of_edges(spark)
+
+
 VECTORS = "vec_id long, embedding array<double>"
 
 
