@@ -7,8 +7,9 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import chat_format, jaccard, mixing, packing, quality, substring_dedup, token_counts, token_files, topk, toxicity
-from vellum.llm.common import documents
+from vellum.llm import (chat_format, chat_repair, jaccard, mixing, packing, prefix_trie, quality, secrets, substring_dedup,
+                        token_counts, token_files, topk, toxicity)
+from vellum.llm.common import documents, written
 from vellum.llm.encode import vocabulary
 from vellum.sources.tables import table
 
@@ -71,6 +72,44 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(documents(spark, sf_dir))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """The contract's damage to conversations: rows dropped, emptied, cut, repeated or given to the user."""
+    key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    kind = F.crc32(key.cast("binary")) % 20
+    role, text = (F.coalesce(c, F.lit(" ")) for c in ("role", "text"))
+    rows = turns.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1).alias("times"))
+    return rows.select("conv_id", "turn", "role", "text", F.explode(F.array_repeat(F.lit(0), F.col("times")))).drop("col")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    found = chat_repair.digests(chat_repair.repair(damaged(turns))).withColumnRenamed("conv_id", "found_id")
+    every = turns.select("conv_id").distinct()
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left").select(
+        "conv_id", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in numbers),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.find_secrets(documents(spark, sf_dir)))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = written(prefix_trie.turn_ids(table(spark, sf_dir, "conversations")), "trie-ids")
+    borrowed = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    every = ids.select("conv_id").distinct()
+    lenders = ids.where("place < 5").withColumnRenamed("conv_id", "lender")
+    lent = (every.join(lenders, F.col("conv_id") - F.col("conv_id") % 100 == F.col("lender"))
+            .where(F.col("place") < borrowed).select("conv_id", "place", "id", "chars"))
+    own = ids.where(F.col("place") >= borrowed).withColumn("place", F.col("place") + 5)
+    return prefix_trie.trie(prefix_trie.paths(lent.unionByName(own), every))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_exact_topk": op2_exact_topk,
@@ -82,4 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_secret_scan": op12_secret_scan,
+    "op13_prefix_trie": op13_prefix_trie,
 }
