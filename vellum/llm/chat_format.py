@@ -108,26 +108,31 @@ def format_segments(turns: DataFrame, t: ChatTemplate = INST) -> DataFrame:
 
 
 def render(segments: DataFrame, t: ChatTemplate = INST) -> DataFrame:
-    """One row per conversation: formatted string, loss spans (start, length in code points), verdict."""
-    grouped = segments.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn_no", "part", "segment", "loss"))).alias("s"),
+    """One row per conversation: formatted string, loss spans (start, length in code points; ``masks`` has
+    one per turn, from the turn's own start, null without loss), verdict."""
+    so_far = W.partitionBy("conv_id").orderBy("turn_no", "part").rowsBetween(W.unboundedPreceding, -1)
+    in_turn = W.partitionBy("conv_id", "turn_no").orderBy("part")
+    placed = segments.withColumn("start", F.coalesce(F.sum(F.length("segment")).over(so_far), F.lit(0)))
+    placed = placed.withColumn("within", F.col("start") - F.first("start").over(in_turn))
+    grouped = placed.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("turn_no", "part", "segment", "loss", "start", "within"))).alias("s"),
         F.min(F.when(~F.col("ok"), F.col("turn_no"))).alias("first_bad_turn"),
         F.max_by("role", "turn_no").alias("last_role"))
-    ends = F.aggregate("s", F.array(F.lit(0)), lambda acc, x: F.array_append(
-        acc, F.element_at(acc, -1) + F.length(x["segment"])))
-    spans = F.filter(F.transform("s", lambda x, i: F.when(x["loss"], F.struct(
-        F.get("ends", i).alias("start"), F.length(x["segment"]).alias("length")))), lambda x: x.isNotNull())
-    return (grouped.withColumn("ends", ends).select(
+    spans = F.transform(F.filter("s", lambda x: x["loss"]), lambda x: F.struct(
+        x["start"].cast("int").alias("start"), F.length(x["segment"]).alias("length")))
+    masks = F.transform(F.filter("s", lambda x: x["part"] == 1), lambda x: F.when(x["loss"], F.struct(
+        x["within"].cast("int").alias("start"), F.length(x["segment"]).alias("length"))))
+    return grouped.select(
         "conv_id", F.array_join(F.transform("s", lambda x: x["segment"]), "").alias("formatted"),
-        spans.alias("loss_spans"), "first_bad_turn",
-        (F.col("first_bad_turn").isNull() & F.col("last_role").isin(list(t.accepts))).alias("valid")))
+        spans.alias("loss_spans"), masks.alias("masks"), "first_bad_turn",
+        (F.col("first_bad_turn").isNull() & F.col("last_role").isin(list(t.accepts))).alias("valid"))
 
 
 def read_back(rendered: DataFrame, t: ChatTemplate = INST) -> DataFrame:
-    """conv_id, turns (role, text) and loss_text, from the rendered string and its loss spans."""
+    """conv_id, turns (role, text) and loss_text, from the rendered string and its masks."""
     opens = "|".join([*(_quote(m.opens) for m in t.marks.values()), r"<\|[A-Za-z0-9.*_+%-]+\|>"])
     closes = "|".join([*(_quote(m.closes) for m in t.marks.values()), r"<\|/[A-Za-z0-9.*_+%-]+\|>"])
-    turn = F.lit(rf"(?s)({opens}) (.*?) ({closes})\n")
+    turn = F.lit(rf"(?s)(?:{opens}) .*? (?:{closes})\n")
     named = F.create_map(*(F.lit(x) for name, m in t.marks.items() for x in (m.opens, name)))
 
     def role(mark: Column) -> Column:
@@ -135,13 +140,16 @@ def read_back(rendered: DataFrame, t: ChatTemplate = INST) -> DataFrame:
         return F.coalesce(F.get(F.array(named[mark]), F.lit(0)),
                           F.when(inner == "%", F.lit("")).otherwise(F.url_decode(inner)))
 
-    found = rendered.select("*", F.regexp_extract_all("formatted", turn, F.lit(1)).alias("opened"),
-                            F.regexp_extract_all("formatted", turn, F.lit(2)).alias("texts"))
-    return found.select(
+    # marks hold no space, so a turn's first and last space bound its text
+    pieces = F.regexp_extract_all("formatted", turn, F.lit(0))
+    text = lambda x: F.substring(
+        x, F.length(F.substring_index(x, " ", 1)) + 2,
+        F.length(x) - F.length(F.substring_index(x, " ", 1)) - F.length(F.substring_index(x, " ", -1)) - 2)
+    return rendered.select(
         "conv_id", "formatted", "valid", "first_bad_turn",
-        F.zip_with("opened", "texts", lambda m, x: F.struct(role(m).alias("role"), unescape(x, t).alias("text"))).alias("turns"),
-        F.array_join(F.transform("loss_spans", lambda s: unescape(
-            F.substring(F.col("formatted"), s["start"] + 1, s["length"]), t)), "").alias("loss_text"))
+        F.transform(pieces, lambda x: F.struct(role(F.substring_index(x, " ", 1)).alias("role"), unescape(text(x), t).alias("text"))).alias("turns"),
+        F.array_join(F.zip_with(pieces, "masks", lambda x, m: F.when(m.isNotNull(), unescape(
+            F.substring(x, m["start"] + 1, m["length"]), t))), "").alias("loss_text"))
 
 
 def digests(read: DataFrame) -> DataFrame:
