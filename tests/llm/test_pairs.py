@@ -232,6 +232,52 @@ def test_substring_dedup_ids_and_empty_table(spark):
     assert substring_dedup.dedup_substrings(docs_frame(spark, [])).count() == 0
 
 
+def test_substring_dedup_rows_without_an_id_or_with_a_shared_one(spark):
+    rng = random.Random(21)
+    passage = " ".join(sentence(rng, 9) for _ in range(8))
+    own = [" ".join(sentence(rng, 9) for _ in range(4)) for _ in range(6)]
+    rows = [(None, passage), (None, passage), (7, f"{own[0]} {passage} {own[1]}"), (8, own[2]), (8, f"{own[3]} {own[2]}"), (8, own[2])]
+    docs = docs_frame(spark, [t for _, t in rows], ids=[i for i, _ in rows]).coalesce(1)
+    got = sorted((r.doc_id or 0, r.text.strip()) for r in substring_dedup.dedup_substrings(docs, min_words=20).collect())
+    assert got == sorted([(0, passage), (0, ""), (7, f"{own[0]} {own[1]}"), (8, own[2]), (8, own[3]), (8, "")])
+    with pytest.raises(ValueError):
+        substring_dedup.dedup_substrings(docs, keep=("spans",))
+    kept = substring_dedup.dedup_substrings(docs.selectExpr("*", "lang AS doc", "source AS lost", "n_chars AS row"), keep=("doc", "lost", "row"))
+    assert kept.columns == ["doc_id", "doc", "lost", "row", "text", "spans", "n_units", "n_removed"] and kept.count() == 6
+
+
+def test_substring_dedup_of_sentences_against_a_list_of_sentences(spark):
+    """Texts are lists of known sentences: what goes is counted on the lists, without the operator's cutting."""
+    rng = random.Random(33)
+    pool = [sentence(rng, rng.randint(4, 9)) for _ in range(300)]
+    runs = [[rng.choice(pool) for _ in range(8)] for _ in range(5)]
+    texts = []
+    for i in range(120):
+        own = [sentence(rng, rng.randint(4, 9)) for _ in range(rng.randint(2, 9))]
+        if i % 3 == 0:
+            at = rng.randint(0, len(own))
+            own[at:at] = runs[i % 5]
+        if i % 4 == 1:
+            own.insert(rng.randint(0, len(own)), rng.choice(pool[:5]))  # alone it is too short to go
+        texts.append(own)
+    got = {r.doc_id: r.text for r in substring_dedup.dedup_substrings(docs_frame(spark, [" ".join(t) for t in texts]), min_words=20).collect()}
+    held = {}
+    for i, t in enumerate(texts):
+        for x in t:
+            held.setdefault(x, i)
+    for i, t in enumerate(texts):
+        left, run = [], []
+        for x in [*t, None]:
+            if x is not None and (held[x] < i or x in t[:t.index(x)]):
+                run.append(x)
+                continue
+            if sum(len(y.split()) for y in run) < 20:
+                left += run
+            run = []
+            left += [x] if x else []
+        assert got[i].split() == " ".join(left).split(), i
+
+
 def kinds_of_short_units(rng):
     """name, a maker of texts of n words or characters each unlike any other."""
     def fresh(n, alphabet="abcdefghijklmnopqrstuvwxyz"):

@@ -14,6 +14,10 @@ from vellum.llm.encode import vocabulary
 from vellum.sources.tables import table
 
 
+# Repeats below this many words are left: they are lines and sentences that many clean texts share.
+PASSAGE_WORDS = 20
+
+
 def vocabulary_text(name: str) -> str:
     import public_tokenizers
 
@@ -47,8 +51,9 @@ def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir)).select(
-        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+    return mixing.by_first_position(mixing.mix(documents(spark, sf_dir))).select(
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken",
+        *(F.round(c, 6).alias(c) for c in ("first_position", "last_position")))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +74,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.dedup_substrings(documents(spark, sf_dir))
+    return substring_dedup.dedup_substrings(documents(spark, sf_dir), min_words=PASSAGE_WORDS)
 
 
 def damaged(turns: DataFrame) -> DataFrame:

@@ -18,32 +18,37 @@ short sentences stay.  What is left of a repeat: short units after its last
 sentence, up to two words in text of short units alone, none at a text's end.
 The result names what was cut as code-point spans of the original text.
 
-Scale: digests are combined before the shuffle (smallest and largest id per
-digest), so a line in every document costs one row per task; the documents
-that lose something meet their digests on the digest, where a hot one can be
-split (no aggregate sits on the raw rows), and text is shuffled once.
-
-Defined results: null and empty texts come back empty with no spans; rows with
-one doc_id are versions of one document and aren't deduplicated against each
-other; a null doc_id ranks first.  A document may end up empty; no row is
-dropped.  Columns other than doc_id and text pass through if named in ``keep``.
+Scale: texts are cut and hashed once, into a table; the rest works on it.
+Digests are combined before the shuffle (smallest holders per digest), so a line
+in every document costs one row per task; the units whose digest is shared meet it
+on the digest, where a hot one can be split (no aggregate sits on the raw rows), and
+text is shuffled once.  A text is cut in one piece: the longest one bounds a task.
+
+Defined results: null and empty texts come back empty with no spans; every row
+is a document of its own: rows rank by doc_id, a null one first, and rows that
+share an id or have none by their place in the table as read.  A document may end
+up empty; no row is dropped.  Columns other than doc_id and text pass through if
+named in ``keep``; ``spans``, ``n_units`` and ``n_removed`` are refused there.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from itertools import chain
 from typing import Iterator
 
-import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import whole_text
+from vellum.llm.common import whole_text, written
+from vellum.llm.encode import slices
 
 NO_ID = -(1 << 63)
 MIN_UNIT_WORDS = 4
 WINDOW_WORDS = 8  # of short units hashed together
+CUT_BYTES = 2 << 20  # of text cut at a time
 UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
 
 
@@ -130,72 +135,91 @@ def repeated_spans(bounds: list[int], sizes: list[int], gone: list[bool], min_wo
     return out
 
 
-def unit_digests(docs: DataFrame) -> DataFrame:
-    """h1, h2, doc: every distinct unit digest of every document."""
+RESULT = ("spans", "n_units", "n_removed")
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units()
-        for batch in batches:
-            ids, found = [], []
-            for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text")):
-                own = {d for d in units.of(text.as_py())[2] if d is not None}
-                found.extend(own)
-                ids.extend([doc] * len(own))
-                if len(ids) >= 1 << 17:
-                    yield rows(ids, found)
-                    ids, found = [], []
-            if ids:
-                yield rows(ids, found)
-
-    def rows(ids, found):
-        both = np.array(found, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(ids, pa.int64())],
-                                          names=["h1", "h2", "doc"])
 
-    return _numbered(docs).select("doc", "text").mapInArrow(hashed, "h1 long, h2 long, doc long")
+def cut_units(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every row cut and hashed once, written: row (its number), doc (doc_id, NO_ID for null), kept, text, bounds,
+    sizes, h1 and h2 (digest that begins at each unit, null for none or one that stands earlier in the text), again (the units
+    of the latter kind)."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
+                       F.struct("doc_id", *(F.col(c) for c in keep if c not in ("doc_id", "text"))).alias("kept"), whole_text().alias("text"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    schema += ", bounds array<int>, sizes array<int>, h1 array<long>, h2 array<long>, again array<int>"
 
-
-def _numbered(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "doc_id",
-                       whole_text().alias("text"), *(F.col(c) for c in keep if c not in ("doc_id", "text")))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = Units()
+        ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
+        for batch in batches:
+            for first, texts in slices(batch.column("text"), CUT_BYTES):
+                found = [units.of(t) for t in texts.to_pylist()]
+                again, first_places = [], []
+                for _, _, digests in found:
+                    place = {d: i for i, d in reversed(list(enumerate(digests)))}
+                    again.append([i for i, d in enumerate(digests) if d is not None and place[d] < i])
+                    first_places.append([d if d is None or place[d] == i else None for i, d in enumerate(digests)])
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(first, len(texts)) for c in ("row", "doc", "kept")), texts,
+                     pa.array([b for b, _, _ in found], ints), pa.array([z for _, z, _ in found], ints),
+                     *(pa.array([[None if d is None else d[k] for d in ds] for ds in first_places], longs) for k in (0, 1)),
+                     pa.array(again, ints)],
+                    names=["row", "doc", "kept", "text", "bounds", "sizes", "h1", "h2", "again"])
+
+    return written(rows.mapInArrow(cut, schema), "units", compression="zstd")
+
+
+def lost_units(units: DataFrame) -> DataFrame:
+    """row, lost: the units of every row that begin a digest which an earlier row holds.
+
+    Rows rank by doc_id (null first), rows with one id by their place in the table.
+    """
+    digests = (units.select("row", "doc", F.posexplode(F.arrays_zip("h1", "h2")).alias("unit", "h"))
+               .where(F.col("h.h1").isNotNull()).select("row", "doc", "unit", "h.h1", "h.h2"))
+    shared = (digests.groupBy("h1", "h2")
+              .agg(F.min("doc").alias("keeper"), F.min("row").alias("a"), F.max("row").alias("z"))
+              .where(F.col("a") < F.col("z")).select("h1", "h2", "keeper"))
+    # a table, so that the join has plain exchanges on both sides and a hot digest can be split
+    hits = digests.join(written(shared, "shared-digests"), ["h1", "h2"])
+    gone = hits.where(F.col("doc") > F.col("keeper")).select("row", "unit")
+    twins = units.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(F.col("doc").alias("twin"))
+    if not twins.isEmpty():  # ids that several rows share, or none: the first of those rows keeps
+        same = hits.where(F.col("doc") == F.col("keeper")).join(twins, F.col("doc") == F.col("twin"), "left_semi")
+        first = same.groupBy("h1", "h2").agg(F.min("row").alias("first"))
+        gone = gone.unionByName(same.join(first, ["h1", "h2"]).where(F.col("row") > F.col("first")).select("row", "unit"))
+    return gone.groupBy("row").agg(F.collect_set("unit").alias("lost"))
 
 
 def dedup_substrings(docs: DataFrame, min_words: int = 8, keep: tuple[str, ...] = ()) -> DataFrame:
     """Per document: doc_id, text (what stays), spans (start, end of what went), n_units, n_removed."""
-    # smallest and largest holder of each digest; two different ones make it repeated
-    shared = (unit_digests(docs).groupBy("h1", "h2").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last"))
-              .where(F.col("keeper") < F.col("last")).select("h1", "h2", "keeper"))
-    lost = (unit_digests(docs).join(shared, ["h1", "h2"]).where(F.col("doc") > F.col("keeper"))
-            .groupBy("doc").agg(F.collect_set(F.struct("h1", "h2")).alias("lost")))
+    if set(RESULT) & set(keep):
+        raise ValueError(f"columns named {', '.join(RESULT)} can't be kept: the result has them")
     extra = tuple(c for c in keep if c not in ("doc_id", "text"))
-    rows = _numbered(docs, extra).join(lost.withColumnRenamed("doc", "lost_doc"), F.col("doc") == F.col("lost_doc"), "left")
-    rows = rows.select("doc_id", *extra, "text", "lost")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name not in ("text", "lost"))
-    schema += ", text string, spans array<struct<start:long,end:long>>, n_units long, n_removed long"
+    units = cut_units(docs, extra)
+    lost = lost_units(units).withColumnRenamed("row", "lost_row")
+    rows = units.join(lost, F.col("row") == F.col("lost_row"), "left").select("kept", "text", "bounds", "sizes", "again", "lost")
+    kept_type = rows.schema["kept"].dataType.simpleString()
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units()
         for batch in batches:
-            texts, spans, n_units, n_removed = [], [], [], []
-            for text, lost in zip(batch.column("text"), batch.column("lost")):
-                text = text.as_py()
-                bounds, sizes, digests = units.of(text)
-                away = {(x["h1"], x["h2"]) for x in lost.as_py() or ()}
-                gone, seen = [], set()
-                for d in digests:
-                    gone.append(d is not None and (d in away or d in seen))
-                    seen.add(d)
-                out = repeated_spans(bounds, sizes, gone, min_words)
-                ends = [0, *(e for _, e in out)]
-                starts = [*(s for s, _ in out), len(text)]
-                texts.append("".join(text[a:b] for a, b in zip(ends, starts)))
+            texts, spans, n_removed = batch.column("text").to_pylist(), [], []
+            for i, (again, lost) in enumerate(zip(batch.column("again").to_pylist(), batch.column("lost").to_pylist())):
+                out: list[tuple[int, int]] = []
+                if again or lost:
+                    bounds, sizes = batch.column("bounds")[i].as_py(), batch.column("sizes")[i].as_py()
+                    gone = [False] * len(sizes)
+                    for u in chain(again, lost or ()):
+                        gone[u] = True
+                    out = repeated_spans(bounds, sizes, gone, min_words)
+                if out:
+                    starts, text = [*(s for s, _ in out), len(texts[i])], texts[i]
+                    texts[i] = "".join(text[a:b] for a, b in zip([0, *(e for _, e in out)], starts))
                 spans.append([{"start": a, "end": b} for a, b in out])
-                n_units.append(len(sizes))
-                n_removed.append(sum(1 for b in bounds[:-1] if any(s <= b < e for s, e in out)) if out else 0)
-            kept = [batch.column(c) for c in ("doc_id", *extra)]
+                n_removed.append(sum(bisect_left(bounds, e) - bisect_left(bounds, s) for s, e in out))
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(texts, pa.string()), pa.array(spans, span_type), pa.array(n_units, pa.int64()), pa.array(n_removed, pa.int64())],
-                names=["doc_id", *extra, "text", "spans", "n_units", "n_removed"])
+                [batch.column("kept"), pa.array(texts, pa.string()), pa.array(spans, span_type),
+                 pc.list_value_length(batch.column("sizes")).cast(pa.int64()), pa.array(n_removed, pa.int64())],
+                names=["kept", "text", "spans", "n_units", "n_removed"])
 
-    return rows.mapInArrow(cut, schema)
+    found = rows.mapInArrow(cut, f"kept {kept_type}, text string, spans array<struct<start:long,end:long>>, n_units long, n_removed long")
+    return found.select(*(F.col("kept")[c].alias(c) for c in ("doc_id", *extra)), "text", *RESULT)
