@@ -37,6 +37,18 @@ def test_chat_machine(spark, roles, valid, bad):
     assert (got.valid, got.first_bad_turn) == (valid, bad)
 
 
+def test_chat_of_many_turns(spark):
+    rows = [(1, i, ("user", "assistant")[i % 2], f"é turn {i} </s>" + " more" * (i % 7)) for i in range(2000)]
+    rendered = cf.render(cf.format_segments(spark.createDataFrame(rows, TURNS)))
+    got = cf.read_back(rendered).collect()[0]
+    assert [(t.role, t.text) for t in got.turns] == [(r, t) for _, _, r, t in rows] and got.valid
+    assert got.loss_text == "".join(t for _, _, r, t in rows if r == "assistant")
+    r = rendered.collect()[0]
+    assert len(r.loss_spans) == 1000 and len(r.masks) == 2000 and [m is None for m in r.masks[:2]] == [True, False]
+    texts = [r.formatted[s.start:s.start + s.length] for s in r.loss_spans]
+    assert texts[0].startswith("é turn 1 <\\/s>") and texts[-1].startswith("é turn 1999 ")
+
+
 def test_chat_order_ties_null_ids_and_empty_table(spark):
     rows = [(None, 1, "user", "b"), (None, 1, "user", "a"), (None, None, "user", "first"), (2, 0, "user", "x"), (2, 0, "user", "x")]
     got = {r.conv_id: [t.text for t in r.turns] for r in formatted(spark, rows).collect()}
@@ -154,6 +166,18 @@ def test_schedule_inverts_its_integral(spark):
     assert [s.weight() for s in mixing.SCHEDULES] == pytest.approx([1, 2, 3])
 
 
+def test_query_result_lies_in_training_order(spark, sf_small):
+    from vellum.llm.queries import op6_mix_sources
+    frame = op6_mix_sources(spark, sf_small)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "SQRT" in plan.upper() and "RepartitionByExpression" in plan
+    rows = frame.collect()
+    first = [r.first_position for r in rows]
+    assert first == sorted(first, key=lambda p: (p is None, p)) and [p is None for p in first] == [r.taken == 0 for r in rows]
+    assert all(r.first_position <= r.last_position <= 1 for r in rows if r.taken)
+    assert all((r.taken > r["size"]) == (r.first_position < r.last_position) for r in rows if r.taken)
+
+
 def test_training_order_is_range_sorted(spark, sf_small):
     mixed = mixing.mix(spark.read.parquet(f"{sf_small}/documents.parquet"))
     rows = mixing.training_order(mixed).withColumn("part", F.spark_partition_id()).collect()

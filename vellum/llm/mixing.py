@@ -134,11 +134,18 @@ def mix(docs: DataFrame, schedules: tuple[Schedule, ...] = SCHEDULES, max_epochs
     begins = F.transform(F.sequence(F.lit(0), F.lit(max_epochs - 1)),
                          lambda e: F.col("mix_start") + e * F.col("source_size"))
     taken = F.filter(begins, lambda b: (F.col("size") > 0) & (2 * b + F.col("size") <= 2 * F.col("target")))
-    queued = queued.withColumn("mix_begins", taken)
-    return queued.select(
+    placed = queued.withColumn("mix_positions", F.transform(taken, position))
+    return placed.select(
         "doc_id", "source", *(c for c in keep if c not in ("doc_id", "source")), "size", "source_size", "target",
-        (F.size("mix_begins") * F.col("size")).cast("long").alias("taken"),
-        F.transform("mix_begins", position).alias("mix_positions"))
+        (F.size("mix_positions") * F.col("size")).cast("long").alias("taken"), "mix_positions")
+
+
+def by_first_position(mixed: DataFrame) -> DataFrame:
+    """The mixed documents range-sorted by their first training position; those never taken come last."""
+    first = F.get("mix_positions", F.lit(0))
+    keys = (F.col("first_position").asc_nulls_last(), F.col("doc_id"), F.col("size"))
+    return (mixed.withColumn("first_position", first).withColumn("last_position", F.get("mix_positions", F.size("mix_positions") - 1))
+            .repartitionByRange(*keys).sortWithinPartitions(*keys))
 
 
 def training_order(mixed: DataFrame) -> DataFrame:

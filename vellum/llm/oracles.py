@@ -85,17 +85,22 @@ level AS (
     SELECT c.words / c.weight AS level, abs(sum(least(3.0 * source_size, c.words / c.weight * w)) - sum(source_size)) AS off,
            sum(source_size) AS total
     FROM candidate c, src GROUP BY c.source, c.words, c.weight) WHERE off <= 1e-9 * total),
-target AS (SELECT source, source_size, least(3.0 * source_size, level * w)::DOUBLE AS target FROM src, level),
+target AS (SELECT source, source_size, w, least(3.0 * source_size, level * w)::DOUBLE AS target FROM src, level),
 queue AS (
-  SELECT s.*, source_size, target,
+  SELECT s.*, source_size, target, w,
          coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY o, doc_id, size
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM sized s JOIN target t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, round(target, 6) AS target,
-       (size * CASE WHEN size = 0 THEN 0 ELSE
-         (2 * start + size <= 2 * target)::INT + (2 * (start + source_size) + size <= 2 * target)::INT
-         + (2 * (start + 2 * source_size) + size <= 2 * target)::INT END)::BIGINT AS taken
-FROM queue"""
+SELECT doc_id, size, source_size, round(target, 6) AS target, (size * len(begins))::BIGINT AS taken,
+       CASE WHEN f IS NOT NULL THEN round(least(1.0, CASE w WHEN 1 THEN 2 * f / (0.5 + sqrt(0.25 + 2 * f)) WHEN 2 THEN f
+                               ELSE CASE WHEN 3 * f > 1.8 THEN 0.5 + (3 * f - 1.8) / 2.4
+                                         ELSE 2 * (3 * f) / (4.8 + sqrt(23.04 - 9.6 * (3 * f))) END END), 6) END AS first_position,
+       CASE WHEN l IS NOT NULL THEN round(least(1.0, CASE w WHEN 1 THEN 2 * l / (0.5 + sqrt(0.25 + 2 * l)) WHEN 2 THEN l
+                               ELSE CASE WHEN 3 * l > 1.8 THEN 0.5 + (3 * l - 1.8) / 2.4
+                                         ELSE 2 * (3 * l) / (4.8 + sqrt(23.04 - 9.6 * (3 * l))) END END), 6) END AS last_position
+FROM (SELECT *, begins[1] / target AS f, begins[len(begins)] / target AS l FROM (
+  SELECT *, list_filter([start, start + source_size, start + 2 * source_size], lambda b: size > 0 AND 2 * b + size <= 2 * target) AS begins
+  FROM queue))"""
 
 _TOPK = """
 WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
