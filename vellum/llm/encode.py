@@ -100,6 +100,13 @@ class ChunkEncoder:
         model, words = self.tokenizer.model, self.words
         found: list[list[int] | None] = []
         for c in chunks:
+            if c.isascii() and c.isalpha():
+                w = c.lower()
+                ids = words.get(w)
+                if ids is None:
+                    ids = words[w] = [t.id for t in model.tokenize(w)]
+                found.append(ids)
+                continue
             m = _PLAIN(c)
             if m is None:
                 found.append(None)
@@ -129,13 +136,18 @@ class ChunkEncoder:
         coded = parts.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         with no_cycles():
-            new = [c for c in distinct if c not in self.place]
+            places = list(map(self.place.get, distinct))
+            new = [c for c, p in zip(distinct, places) if p is None]
             if len(self.place) + len(new) > KEPT_CHUNKS:
                 self._forget()
-                new = distinct
+                places, new = [None] * len(distinct), distinct
+            first = len(self.place)
             if new:
                 self._learn(new)
-        at = np.fromiter((self.place[c] for c in distinct), np.int64, len(distinct))
+        at = np.array(places, float)  # new ones (nan) follow the known ones in order
+        fresh = np.isnan(at)
+        at[fresh] = first + np.arange(len(new))
+        at = at.astype(np.int64)
         chunk = at[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int64)
         counts = self.lengths[chunk]
         ids = self.ids[ragged(self.starts[chunk], counts)]

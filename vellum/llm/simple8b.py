@@ -19,6 +19,7 @@ BLOCK = 128
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 _LIMITS = np.array([1 << w for w in WIDTHS], dtype=np.uint64)
+_NARROW = np.searchsorted(np.array(WIDTHS), np.arange(64)).astype(np.uint8)  # by bits of the value
 SELECTOR_COUNT = np.array([1, *COUNTS, 0], dtype=np.int64)
 
 
@@ -36,11 +37,12 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size = np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
     left = np.maximum(size[None, :] - place, 0).astype(np.uint8)
     # how many of the widths are too narrow for each value
-    narrow = np.searchsorted(_LIMITS, grid, side="right").astype(np.uint8)
+    narrow = _NARROW[np.frexp(grid.astype(float))[1]] if int(grid.max()) < 1 << 52 else np.searchsorted(_LIMITS, grid, side="right").astype(np.uint8)
     lanes = np.ascontiguousarray(narrow.reshape(blocks, BLOCK).T)
     take = np.ones((BLOCK, blocks), np.uint8)
     selector = np.zeros((BLOCK, blocks), np.uint8)  # 0 where nothing fits: an escape
-    for s in range(len(COUNTS), 0, -1):  # from few wide values to many narrow ones; the last that fits packs most
+    # from few wide values to many narrow ones, the last that fits packs most; where no value is too wide, one is enough
+    for s in range(min(len(COUNTS), int(lanes.max()) + 1), 0, -1):
         next_wide = np.where(lanes >= s, place, np.uint8(BLOCK))
         for i in range(BLOCK - 2, -1, -1):
             np.minimum(next_wide[i], next_wide[i + 1], out=next_wide[i])
