@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from vellum.llm import jaccard, mixing, packing, substring_dedup, toxicity
 from vellum.llm.common import documents, written
-from vellum.llm.queries import vocabulary_text
+from vellum.llm.queries import PASSAGE_WORDS, vocabulary_text
 from vellum.sources.tables import table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -39,7 +39,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without what an earlier document already holds; no document goes."""
-    out = substring_dedup.dedup_substrings(docs, keep=COLUMNS)
+    out = substring_dedup.dedup_substrings(docs, min_words=PASSAGE_WORDS, keep=COLUMNS)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
