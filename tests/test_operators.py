@@ -191,3 +191,76 @@ def test_hot_safe_left_join_property(spark):
         assert _rows(got) == _rows(want)
 
     check()
+
+
+def _returns_domain():
+    from vellum.sources import domains
+    return next(x for x in domains.DOMAINS if x.name == "returns_issues")
+
+
+def test_a_corrected_file_replaces_its_rows_and_a_dead_load_adds_none(spark, tmp_path):
+    import os
+
+    import pytest
+
+    from vellum.operators import layers
+    from vellum.sources import domains
+    d, stage, raw = _returns_domain(), tmp_path / "returns", str(tmp_path / "raw")
+    stage.mkdir()
+
+    def drop(name, text, at):
+        (stage / name).write_text("order_id,product_id,quantity\n" + text)
+        os.utime(stage / name, (at,) * 2)
+
+    def quantities():
+        return sorted(r.qty for r in layers.stg_returns(domains.loaded(spark, raw)).collect())
+
+    drop("a b.csv", "1,p,2.0\n1,p,9.0\n", 1_700_000_000)
+    drop("c.csv", "2,,5.0\n", 1_700_000_000)
+    assert domains.copy_into(spark, d, str(stage), raw) == 2 and quantities() == [2.0, 5.0, 9.0]
+    drop("a b.csv", "1,p,2.0\n1,p,4.0\n", 1_700_000_500)
+    publish = domains.publish
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(domains, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError):
+            domains.copy_into(spark, d, str(stage), raw)
+    assert domains.publish is publish and quantities() == [2.0, 5.0, 9.0]  # the dead load's rows don't count
+    assert domains.copy_into(spark, d, str(stage), raw) == 1
+    assert domains.copy_into(spark, d, str(stage), raw) == 0
+    assert quantities() == [2.0, 4.0, 5.0]
+    # keyless rows are replaced like the others
+    drop("c.csv", "2,q,6.0\n", 1_700_000_900)
+    assert domains.copy_into(spark, d, str(stage), raw) == 1 and quantities() == [2.0, 4.0, 6.0]
+    assert domains.load_counts(spark, {"returns_issues": raw}).first().n_rows == 3
+
+
+def test_refresh_publishes_whole_versions_of_changed_months(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from vellum.operators.published import read_published
+    root, facts = str(tmp_path / "monthly"), str(tmp_path / "facts")
+    columns = "year int, quarter int, month int, arr_delay int, cancelled int, load_number int"
+
+    def add(*rows):
+        spark.createDataFrame(list(rows), columns).write.mode("append").parquet(facts)
+
+    def refresh():
+        return lake.refresh_published(spark, spark.read.parquet(facts), root, "load_number")
+
+    def now():
+        return {(r.month, r.n_flights, r.sum_arr_delay) for r in read_published(spark, root).collect()}
+
+    add((2020, 1, 1, 5, 0, 1), (2020, 1, 2, 7, 1, 1))
+    assert refresh() == 2 and now() == {(1, 1, 5), (2, 1, 7)}
+    reader = read_published(spark, root)  # opened before the next refresh
+    add((2020, 1, 2, 3, 0, 2), (2020, 1, 3, 4, 0, 2))
+    with monkeypatch.context() as m:  # dies before the pointer moves
+        m.setattr(lake, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError):
+            refresh()
+    assert now() == {(1, 1, 5), (2, 1, 7)}
+    assert refresh() == 2 and now() == {(1, 1, 5), (2, 2, 10), (3, 1, 4)}
+    assert {(r.month, r.n_flights) for r in reader.collect()} == {(1, 1), (2, 1)}
+    assert refresh() == 0
+    want = {(r.month, r.n_flights, r.sum_arr_delay) for r in lake.monthly_aggregate(spark.read.parquet(facts)).collect()}
+    assert now() == want

@@ -241,3 +241,87 @@ def test_runs_without_news_write_nothing(spark, tmp_path):
         steps.t2_incremental(spark, root, lambda todo: todo)
         seen.append(state())
     assert seen[0] == seen[1] == seen[2]
+
+
+def test_waves_are_bounded_by_files_and_bytes(spark):
+    from vellum.operators.admission import admitted, dealt_by_size
+    t0 = dt.datetime(2024, 1, 1)
+    sizes = [(f"f{i}", t0, 10 ** 9 if i % 50 == 0 else (i * 37) % 1000) for i in range(1200)] + [("null", t0, None)]
+    files = spark.createDataFrame(sizes, "relative_path string, last_modified timestamp_ntz, size bigint")
+    rows = sorted(admitted(files, 40, 5000).collect(), key=lambda r: r.place)
+    assert [r.place for r in rows] == list(range(1201)) and [r.wave for r in rows] == sorted(r.wave for r in rows)
+    waves = {}
+    for r in rows:
+        waves.setdefault(r.wave, []).append(r["size"] or 0)
+    assert all(len(w) <= 40 and sum(w[:-1]) <= 5000 for w in waves.values())
+    assert max(len(w) for w in waves.values()) > 5
+    even = files.where("size < 1000 or size is null")
+    parts = dealt_by_size(even, 20_000).select(F.spark_partition_id().alias("p"), "size").groupBy("p").agg(F.sum("size").alias("b")).collect()
+    total = sum(r.b for r in parts)
+    assert len(parts) == -(-total // 20_000) and max(r.b for r in parts) <= total / len(parts) + 1000
+
+
+def test_a_backlog_in_one_raw_file_is_extracted_in_waves(spark, tmp_path):
+    stage, root = str(tmp_path / "stage"), steps.PipelineRoot(str(tmp_path / "root"))
+    for i in range(23):
+        _write(f"{stage}/d{i}.pdf", "x" * (i + 1))
+    steps.t1_register(spark, list_stage(spark, stage).coalesce(1), root)
+    assert steps.t2_incremental(spark, root, lambda todo: todo, max_files=5) == 23
+    done = read_table(spark, root.processed, PROCESSED_SCHEMA)
+    assert sorted(r["count"] for r in done.groupBy("insert_ts").count().collect()) == [3, 5, 5, 5, 5]
+    assert done.select("relative_path").distinct().count() == 23
+
+
+def test_a_file_that_kills_its_worker_is_found_and_nobody_else_loses(spark, tmp_path, monkeypatch):
+    from vellum.operators import extract
+    stage, root = str(tmp_path / "stage"), steps.PipelineRoot(str(tmp_path / "root"))
+    for i in range(6):
+        _write(f"{stage}/d{i}.pdf", "KILL" if i == 3 else f"text {i}")
+    decode = extract.decode
+
+    def deadly(raw):
+        if raw == b"KILL":
+            os._exit(1)
+        return decode(raw)
+
+    monkeypatch.setattr(extract, "decode", deadly)
+    steps.t1_register(spark, list_stage(spark, stage), root)
+    assert steps.t2_incremental(spark, root, lambda todo: todo) == 5
+    q = read_table(spark, root.quarantine, QUARANTINE_SCHEMA).collect()
+    assert [(r.relative_path, r.reason.startswith(steps.KILLED)) for r in q] == [("d3.pdf", True)]
+    # refused for good: a replay from the start doesn't touch it
+    assert steps.t2_incremental(spark, root, lambda todo: todo, checkpoint=str(tmp_path / "again")) == 0
+    assert _count(spark, root.processed, PROCESSED_SCHEMA) == 5
+
+
+def test_the_schedule_registers_and_extracts(spark, tmp_path):
+    stage, root = str(tmp_path / "stage"), steps.PipelineRoot(str(tmp_path / "root"))
+    _write(f"{stage}/a.pdf", "one")
+
+    def processed(n):
+        for _ in range(120):
+            if _count(spark, root.processed, PROCESSED_SCHEMA) == n:
+                return True
+            time.sleep(0.5)
+
+    clock = steps.run_every(spark, root, lambda: list_stage(spark, stage), lambda todo: todo, every="1 second")
+    try:
+        assert processed(1)
+        _write(f"{stage}/b.pdf", "two")  # nobody calls T1 for it
+        assert processed(2)
+    finally:
+        clock.stop()
+    assert clock.exception() is None
+
+
+def test_extraction_reads_its_input_once(spark, tmp_path):
+    from vellum.operators.extract import extract_documents
+    spark.createDataFrame([("a.pdf", "a.pdf", "u", 1, None, b"%PDF-1.4 broken"), ("b.pdf", "b.pdf", "u", 1, None, b"plain"),
+                           ("c.pdf", "c.pdf", "u", 1, None, None)],
+                          "file_name string, relative_path string, file_url string, size bigint, last_modified timestamp_ntz, content binary"
+                          ).write.parquet(str(tmp_path / "in"))
+    out = extract_documents(spark.read.parquet(str(tmp_path / "in")))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and plan.count("ArrowEvalPython") == 1
+    got = {r.pdf_id: (r.extracted_text, (r.parse_error or "")[:6]) for r in out.collect()}
+    assert got["b"] == ("plain", "") and got["c"] == (None, "retry:") and got["a"][0] is None and got["a"][1] in ("no PDF", "cannot")

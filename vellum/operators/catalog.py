@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.functions.paths import file_name, is_pdf
-from vellum.session import new_workspace
 
 VERSION_KEY = ["relative_path", "last_modified"]
 
@@ -82,20 +81,20 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.createDataFrame([], schema) if table is None else table
 
 
-def append_counted(rows: DataFrame, path: str, schema: T.StructType, label: str) -> int:
-    """Append ``rows`` and return their number; without rows nothing is written to the table.
+def append_counted(rows: DataFrame, path: str, schema: T.StructType) -> int:
+    """Append ``rows`` and return their number; without rows nothing is written.
 
-    The rows are computed once, into a folder of their own; their count comes
-    from its file footers.
+    The rows are computed once and kept by the executors until they are written;
+    a lost one computes its share again.
     """
-    spark = rows.sparkSession
-    aside = new_workspace(spark, label)
-    conform(rows, schema).write.parquet(aside)
-    held = spark.read.schema(schema).parquet(aside)
-    n = held.count()
-    if n:
-        held.write.mode("append").parquet(path)
-    return n
+    held = conform(rows, schema).persist()
+    try:
+        n = held.count()
+        if n:
+            held.write.mode("append").parquet(path)
+        return n
+    finally:
+        held.unpersist()
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -135,7 +134,7 @@ def append_new(spark: SparkSession, candidates: DataFrame, path: str, schema: T.
     create_table(spark, path, schema)
     existing = read_table(spark, path, schema)
     rows = new_versions(candidates, existing, key).withColumn("insert_ts", F.current_timestamp())
-    n = append_counted(rows, path, schema, "append")
+    n = append_counted(rows, path, schema)
     if quarantine_path is not None:
         bad = (candidates.where(null_key(key))
                .select("relative_path", "last_modified", F.lit("NULL version key").alias("reason")))
@@ -154,4 +153,4 @@ def quarantine(spark: SparkSession, bad: DataFrame, path: str) -> None:
     rows = (bad.select(*cols).dropDuplicates(cols).alias("b")
             .join(seen, cond, "left_anti")
             .withColumn("insert_ts", F.current_timestamp()))
-    append_counted(rows, path, QUARANTINE_SCHEMA, "quarantine")
+    append_counted(rows, path, QUARANTINE_SCHEMA)

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from vellum.functions.numbers import try_to_number
 from vellum.functions.paths import pdf_id
+from vellum.operators.admission import dealt_by_size
 from vellum.sources.stage import _open_bytes
 
 # Tag and title patterns of the HTML decoder, the PDF header and
@@ -143,21 +144,19 @@ def payload(decoded: Column) -> Column:
 
 
 def decode_files(files: DataFrame, content_col: str) -> DataFrame:
-    """``files`` with ``decoded`` from a content column; only PDF bytes go through Python."""
+    """``files`` with ``decoded`` from a content column, read once; Python gets the bytes of PDFs and nothing of the rest."""
     content = F.col(content_col)
     rest = [c for c in files.columns if c != content_col]
+    head = F.substring(content, 1, PDF_HEADER_WITHIN + len(PDF_MAGIC) - 1)
     if dict(files.dtypes)[content_col] == "binary":
-        header = F.instr(F.decode(F.substring(content, 1, PDF_HEADER_WITHIN + len(PDF_MAGIC) - 1), "ISO-8859-1"), PDF_MAGIC.decode()) > 0
-        text = F.make_valid_utf8(content.cast("string"))
+        head, text = F.decode(head, "ISO-8859-1"), F.make_valid_utf8(content.cast("string"))
     else:
-        header = F.instr(F.substring(content, 1, PDF_HEADER_WITHIN + len(PDF_MAGIC) - 1), PDF_MAGIC.decode()) > 0
         text = content
+    is_pdf = F.coalesce(F.instr(head, PDF_MAGIC.decode()) > 0, F.lit(False))
     missing = F.struct(F.lit(None).cast("string").alias("kind"), F.lit(None).cast("map<string,string>").alias("metadata"),
                        F.lit(None).cast("array<string>").alias("pages"), F.lit(f"{RETRY}no content").alias("parse_error"))
-    plain = files.where(~F.coalesce(header, F.lit(False))).select(
-        *rest, F.when(content.isNull(), missing).otherwise(text_as_decoded(text)).alias("decoded"))
-    pdfs = files.where(header).select(*rest, decoded_content(content.cast("binary")).alias("decoded"))
-    return plain.unionByName(pdfs)
+    pdf = decoded_content(F.when(is_pdf, content.cast("binary")))
+    return files.select(*rest, F.when(content.isNull(), missing).when(is_pdf, pdf).otherwise(text_as_decoded(text)).alias("decoded"))
 
 
 def extract_documents(files: DataFrame, content_col: str = "content", url_col: str = "scoped_url") -> DataFrame:
@@ -166,14 +165,12 @@ def extract_documents(files: DataFrame, content_col: str = "content", url_col: s
     ``files`` carries RAW columns (file_name, relative_path, file_url, size,
     last_modified).  With a ``content_col`` column the bytes (or text) come
     from it; without one, each task opens the files at ``url_col`` itself,
-    about FILES_BYTES_PER_TASK of them.
+    about FILES_BYTES_PER_TASK of them (see ``dealt_by_size``).
     """
     if content_col in files.columns:
         decoded = decode_files(files, content_col)
     else:
-        total = files.agg(F.sum("size")).first()[0] or 0
-        tasks = max(1, -(-int(total) // FILES_BYTES_PER_TASK))
-        decoded = _decoded_at(files.repartition(tasks, "relative_path"), url_col)
+        decoded = _decoded_at(dealt_by_size(files, FILES_BYTES_PER_TASK), url_col)
     parsed = decoded.withColumn("payload", payload(F.col("decoded")))
     return parsed.select(
         pdf_id("relative_path").alias("pdf_id"),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vellum.operators.published import current, new_version, publish, read_published
 from vellum.session import new_workspace
 
 PARTITION_COLS = ["year", "quarter", "month"]
@@ -94,6 +95,30 @@ def refresh_monthly_aggregate(spark: SparkSession, facts: DataFrame, mv_root: st
      .partitionBy(*PARTITION_COLS).parquet(mv_root))
 
 
+def refresh_published(spark: SparkSession, facts: DataFrame, root: str, load_column: str) -> int:
+    """Refresh the monthly aggregate published under ``root`` from what was loaded since; the months computed.
+
+    ``load_column`` grows from load to load.  Months with rows loaded after the published version's mark are
+    aggregated again from all their facts, the others are carried over; the new version lies beside the old one
+    until it is published.  Without news nothing is written.
+    """
+    last = current(spark, root)
+    kind = facts.schema[load_column].dataType
+    news = facts if last is None else facts.where(F.col(load_column) > F.lit(last.mark).cast(kind))
+    seen = news.agg(F.max(load_column).cast("string").alias("mark"), F.count(F.lit(1)).alias("n")).first()
+    if not seen.n:
+        return 0
+    months = news.select(*PARTITION_COLS).distinct()  # a row a month
+    new = monthly_aggregate(facts.join(F.broadcast(months), PARTITION_COLS, "left_semi")) if last else monthly_aggregate(facts)
+    if last:
+        kept = read_published(spark, root).join(F.broadcast(months), PARTITION_COLS, "left_anti")
+        new = kept.select(*new.columns).unionByName(new)
+    folder = new_version()
+    new.write.partitionBy(*PARTITION_COLS).parquet(f"{root}/{folder}")
+    publish(spark, root, folder, seen.mark)
+    return months.count()
+
+
 def rollup_quarter(mv: DataFrame) -> DataFrame:
     """Quarter averages from monthly sums and counts (never average averages)."""
     return (mv.groupBy("year", "quarter")

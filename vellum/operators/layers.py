@@ -3,8 +3,9 @@
 RAW holds what COPY INTO loaded (typed, bad rows kept in the corrupt-record
 column, every row with its file and load time).  STG keeps the good rows, casts
 keys and keeps each key's latest record (load time, then file, then content, so
-the choice is fixed); rows without their key go to a quarantine table.  Returns
-have no key of their own: their files are loaded once, and each row counts.
+the choice is fixed); rows without their key go to a quarantine table.  Only the
+newest version of every file is read, so a corrected file replaces its rows with
+or without a key.  Returns have no key of their own: each row counts.
 CURATED is the review-grain table built from STG.  Each layer is written as
 Parquet, so later layers read files, not lineage.
 """
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.operators.curate import curated_feedback, customer_locations, flatten_json, product_media
-from vellum.sources.domains import CORRUPT
+from vellum.sources.domains import CORRUPT, loaded
 
 
 KEYS = {"product_master": "product_id", "sales_transactions": "order_id",
@@ -83,7 +84,7 @@ def build_stg(spark: SparkSession, raw_tables: dict[str, str], stg_root: str) ->
     out = {}
     for name, fn in STG.items():
         out[name] = f"{stg_root}/{name}"
-        raw = spark.read.parquet(raw_tables["product_master" if name == "product_hierarchy" else name])
+        raw = loaded(spark, raw_tables["product_master" if name == "product_hierarchy" else name])
         fn(raw).write.mode("overwrite").parquet(out[name])
         if name in KEYS:
             without_key(raw, KEYS[name]).write.mode("overwrite").parquet(f"{stg_root}/{name}_quarantine")

@@ -163,6 +163,26 @@ def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_quantity").alias("qty")))
 
 
+RETURNS_PER_FILE = 4000  # order keys
+
+
+def returns_files(spark: SparkSession, sf_dir: str, corrected: bool) -> DataFrame:
+    """The returns domain as named CSV files, one per 4000 order keys: (relative_path, content, last_modified).
+
+    The first drop counts one piece too many in every row; the corrected drop is every third file, right, a day later.
+    """
+    r = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
+    number = F.floor(F.col("l_orderkey") / RETURNS_PER_FILE)
+    if corrected:
+        r = r.where(number % 3 == 0)
+    line = F.concat_ws(",", "l_orderkey", "l_partkey", F.col("l_quantity") + (0 if corrected else 1))
+    lines = r.groupBy(number.alias("number")).agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    day = F.date_add(F.lit(MTIME_BASE).cast("date"), F.lit(1 if corrected else 0)).cast("timestamp_ntz")
+    return lines.select(F.concat(F.lit("returns-"), F.col("number").cast("string"), F.lit(".csv")).alias("relative_path"),
+                        F.concat(F.lit("order_id,product_id,quantity\n"), F.array_join("lines", "\n"), F.lit("\n")).alias("content"),
+                        day.alias("last_modified"))
+
+
 def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.operators.curate import curated_feedback, customer_locations
     return curated_feedback(

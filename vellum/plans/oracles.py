@@ -212,6 +212,14 @@ UNION ALL SELECT 'processed', count(*) FROM processed""",
     "geo_points": _GEO,
     "flatten_product_json": _FLATTEN,
     "load_raw_domains": _DOMAIN_COUNTS,
+    "corrected_returns": """
+SELECT CAST(l_partkey AS VARCHAR) AS product_id, count(*) AS return_count,
+       sum(l_quantity + CASE WHEN l_orderkey // 4000 % 3 = 0 THEN 0 ELSE 1 END) AS return_qty
+FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1""",
+    "t2_waves": _with("raw_catalog") + """
+SELECT wave, least(25, n - 25 * wave) AS n_files
+FROM (SELECT n, unnest(range(0, (n + 24) // 25)) AS wave FROM (SELECT count(*) AS n FROM raw_catalog))""",
+    "mv_refresh_loads": _MONTHLY,
     "reload_domains": _with("curated") + "SELECT * FROM curated",
     "layered_curation": _with("curated") + "SELECT * FROM curated",
     "stats_part": _with("stats") + "SELECT * FROM stats",

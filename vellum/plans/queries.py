@@ -12,6 +12,7 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +23,7 @@ from vellum.functions.semi import json_path_text
 from vellum.operators import curate, lake as lake_ops
 from vellum.operators.catalog import PROCESSED_SCHEMA, RAW_SCHEMA, VERSION_KEY, raw_rows, read_table
 from vellum.operators.extract import decode_files, extract_documents, payload
+from vellum.operators.published import read_published
 from vellum.plans import fixtures as fx
 from vellum.plans.final import final_integrated
 from vellum.plans.warehouse import curated_for, lake_for, processed_for
@@ -232,6 +234,18 @@ def q_t2_incremental(spark, sf_dir):
     return _processed_out(spark, root)
 
 
+WAVE_FILES = 25
+
+
+def q_t2_waves(spark, sf_dir):
+    """A backlog in one RAW file, extracted in waves of 25 documents: the documents each wave appended."""
+    root = steps.PipelineRoot.fresh(spark, "t2waves")
+    steps.t1_register(spark, fx.stage_listing(spark, sf_dir).coalesce(1), root)
+    steps.t2_incremental(spark, root, _content_fixture(spark, sf_dir), max_files=WAVE_FILES)
+    done = read_table(spark, root.processed, PROCESSED_SCHEMA).groupBy("insert_ts").agg(F.count(F.lit(1)).alias("n_files"))
+    return done.select((F.row_number().over(W.orderBy("insert_ts")) - 1).cast("bigint").alias("wave"), "n_files")
+
+
 def q_t2_replay(spark, sf_dir):
     """T2 twice on the same offset, then a full replay from a fresh checkpoint."""
     root = steps.PipelineRoot.fresh(spark, "t2replay")
@@ -340,6 +354,22 @@ def q_load_raw_domains(spark, sf_dir):
     return domains.load_counts(spark, domains.stage_and_load(spark, sf_dir, root))
 
 
+def q_corrected_returns(spark, sf_dir):
+    """Returns loaded once, a load that dies before its commit, corrected files dropped over the old ones, loaded
+    twice: every file counts once, in its newest version."""
+    from vellum.operators import layers
+    root = new_workspace(spark, "corrected")
+    d = next(x for x in domains.DOMAINS if x.name == "returns_issues")
+    stage_dir, raw = f"{root}/stage/returns_issues", f"{root}/raw/returns_issues"
+    stage.upload(fx.returns_files(spark, sf_dir, corrected=False), stage_dir)
+    domains.write_load(spark, d, domains.files_to_load(spark, stage_dir, raw), raw)  # never published
+    domains.copy_into(spark, d, stage_dir, raw)
+    stage.upload(fx.returns_files(spark, sf_dir, corrected=True), stage_dir)
+    for _ in range(2):
+        domains.copy_into(spark, d, stage_dir, raw)
+    return curate.returns_summary(layers.stg_returns(domains.loaded(spark, raw)))
+
+
 # ---------------------------------------------------------------- lake / stats
 
 def q_stats_part(spark, sf_dir):
@@ -371,6 +401,20 @@ def q_mv_stats(spark, sf_dir):
     return lake_ops.quarter_stats_from_mv(lake_for(spark, sf_dir).mv(), STATS_YEAR, STATS_QUARTER)
 
 
+def q_mv_refresh_loads(spark, sf_dir):
+    """The monthly aggregate refreshed after each of three loads of facts, the last one without news: each refresh
+    computes the months that got rows and publishes a version; this reads the one that counts."""
+    root = new_workspace(spark, "mvloads")
+    facts = fx.ontime(spark, sf_dir)
+    late = (F.col("year") == STATS_YEAR) & (F.col("flight_key") % 2 == 0)
+    for number, part in ((1, facts.where(~late)), (2, facts.where(late))):
+        part.withColumn("load_number", F.lit(number)).write.mode("append").parquet(f"{root}/facts")
+        lake_ops.refresh_published(spark, spark.read.parquet(f"{root}/facts"), f"{root}/monthly", "load_number")
+    lake_ops.refresh_published(spark, spark.read.parquet(f"{root}/facts"), f"{root}/monthly", "load_number")
+    return read_published(spark, f"{root}/monthly").select(
+        "year", "quarter", "month", "n_flights", "n_arr_delay", "sum_arr_delay", "n_cancelled", "sum_cancelled")
+
+
 def q_unload_partitioned(spark, sf_dir):
     """CSV unload into year/quarter/month folders, read back with an explicit schema."""
     root = new_workspace(spark, "unload") + "/ontime_csv"
@@ -435,6 +479,7 @@ QUERIES: dict[str, Query] = {
     "t2_incremental": q_t2_incremental,
     "t2_retry": q_t2_retry,
     "t2_replay": q_t2_replay,
+    "t2_waves": q_t2_waves,
     "row_counts": q_row_counts,
     "pipeline_end_to_end": q_pipeline_end_to_end,
     "run_history": q_run_history,
@@ -445,6 +490,7 @@ QUERIES: dict[str, Query] = {
     "geo_points": q_geo_points,
     "flatten_product_json": q_flatten_product_json,
     "load_raw_domains": q_load_raw_domains,
+    "corrected_returns": q_corrected_returns,
     "layered_curation": q_layered_curation,
     "reload_domains": q_reload_domains,
     "stats_part": q_stats_part,
@@ -454,6 +500,7 @@ QUERIES: dict[str, Query] = {
     "mv_ontime_monthly": q_mv_ontime_monthly,
     "mv_rollup_quarter": q_mv_rollup_quarter,
     "mv_stats": q_mv_stats,
+    "mv_refresh_loads": q_mv_refresh_loads,
     "unload_partitioned": q_unload_partitioned,
     "final_integrated": q_final_integrated,
     "final_nopart": q_final_nopart,

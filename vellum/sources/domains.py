@@ -4,11 +4,14 @@ Staging writes each domain from the driver tables in the format a source
 system would drop (JSON lines for nested or free-text records, CSV for flat
 ones).  Loading reads each folder with an explicit schema -- never inferred --
 in PERMISSIVE mode with a corrupt-record column, and appends to the RAW-layer
-Parquet table; rejected rows stay visible through that column.
+Parquet table; rejected rows stay visible through that column.  A load is
+published with its history in one commit, and a file's newer version replaces
+its older one.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,38 +92,81 @@ def stage(spark: SparkSession, sf_dir: str, stage_root: str) -> None:
             rows.write.mode("overwrite").option("header", "true").csv(path)
 
 
-LOAD_COLUMNS = [T.StructField("load_file", T.StringType()), T.StructField("load_time", T.TimestampType())]
-HISTORY_SCHEMA = T.StructType(LOAD_COLUMNS)
+HISTORY_SCHEMA = T.StructType([T.StructField("load_file", T.StringType()), T.StructField("load_time", T.TimestampType()),
+                               T.StructField("load_id", T.StringType())])
 
 
-def copy_into(spark: SparkSession, d: Domain, stage_path: str, table_path: str) -> int:
-    """COPY INTO table FROM @stage: typed read, bad rows kept in the corrupt column.
+def _history_path(table_path: str) -> str:
+    return f"{table_path}_load_history"
+
+
+def _file(path: F.Column, encoded: bool = False) -> F.Column:
+    """One spelling of a file's path: a listing gives it plain, the metadata of rows percent-encoded."""
+    if encoded:
+        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def files_to_load(spark: SparkSession, stage_path: str, table_path: str) -> list:
+    """Files of the stage folder that aren't in the load history with their modification time, by name.
 
-    The load history (file and its modification time, beside the table) decides
-    what is new: a file is loaded once, and again only after it changed.  Every
-    file that Spark doesn't hide counts, whatever its name.  The
-    files' names come to the driver, the rows don't.  Every row keeps its file
-    and time.  Returns the number of files loaded.
+    Every file that Spark doesn't hide counts, whatever its name.  The files' names come to the driver, the rows don't.
     """
-    history_path = f"{table_path}_load_history"
     listed = (spark.read.format("binaryFile").load(stage_path)
-              .select(F.col("path").alias("load_file"), F.col("modificationTime").alias("load_time")))
-    history = read_table(spark, history_path, HISTORY_SCHEMA)
-    fresh = listed.join(history, ["load_file", "load_time"], "left_anti").collect()
-    if not fresh:
-        return 0
+              .select("path", _file(F.col("path")).alias("load_file"), F.col("modificationTime").alias("load_time")))
+    history = read_table(spark, _history_path(table_path), HISTORY_SCHEMA)
+    return listed.join(history, ["load_file", "load_time"], "left_anti").orderBy("load_file").collect()
+
+
+def write_load(spark: SparkSession, d: Domain, fresh: list, table_path: str) -> str:
+    """Write the files' rows under a load id of their own; they don't count until ``publish``."""
+    load_id = f"l-{uuid.uuid4().hex}"
     schema = T.StructType(d.schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    reader = (spark.read.schema(schema).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT))
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if d.fmt == "csv":
         reader = reader.option("header", "true")
-    rows = reader.format(d.fmt).load([r.load_file for r in fresh])
-    rows.select("*", F.col("_metadata.file_path").alias("load_file"),
-                F.col("_metadata.file_modification_time").alias("load_time")).write.mode("append").parquet(table_path)
-    spark.createDataFrame(fresh, HISTORY_SCHEMA).write.mode("append").parquet(history_path)
+    rows = reader.format(d.fmt).load([r.path for r in fresh])
+    rows = rows.select("*", _file(F.col("_metadata.file_path"), encoded=True).alias("load_file"),
+                       F.col("_metadata.file_modification_time").alias("load_time"))
+    rows.write.parquet(f"{table_path}/load_id={load_id}")
+    return load_id
+
+
+def publish(spark: SparkSession, fresh: list, load_id: str, table_path: str) -> None:
+    """Add the load's files to the history, in one file: that is the commit of the load."""
+    rows = [(r.load_file, r.load_time, load_id) for r in fresh]
+    spark.createDataFrame(rows, HISTORY_SCHEMA).coalesce(1).write.mode("append").parquet(_history_path(table_path))
+
+
+def copy_into(spark: SparkSession, d: Domain, stage_path: str, table_path: str) -> int:
+    """COPY INTO table FROM @stage, exactly once: typed read, bad rows kept in the corrupt column.
+
+    The load history (file, modification time, load) decides what is new and
+    what counts.  Rows are written first, under a load id; the load's history,
+    one file, makes them count.  A load that dies in between leaves rows no
+    history names, and its files are loaded again.  A file that changed is
+    loaded again under its new time, and ``loaded`` then reads that version
+    only.  Returns the number of files loaded.
+    """
+    fresh = files_to_load(spark, stage_path, table_path)
+    if fresh:
+        publish(spark, fresh, write_load(spark, d, fresh, table_path), table_path)
     return len(fresh)
 
 
+def loaded(spark: SparkSession, table_path: str) -> DataFrame:
+    """The rows that count: of every file its newest published version, each with load_file, load_time and load_id.
+
+    Rows whose file changed while it was being read carry a time no history has, and don't count either.  The
+    side of the join that grows with the rows isn't shuffled as long as the files' names are few (measured sizes).
+    """
+    rows = spark.read.parquet(table_path)
+    newest = (read_table(spark, _history_path(table_path), HISTORY_SCHEMA)
+              .groupBy("load_file").agg(F.max(F.struct("load_time", "load_id")).alias("v"))
+              .select("load_file", "v.load_time", "v.load_id"))
+    return rows.join(newest, ["load_file", "load_time", "load_id"], "left_semi")
+
+
 def load(spark: SparkSession, root: str) -> dict[str, str]:
     """Load what is new of every domain under ``root/stage`` into ``root/raw``."""
     tables = {d.name: f"{root}/raw/{d.name}" for d in DOMAINS}
@@ -137,7 +183,7 @@ def stage_and_load(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str
 def load_counts(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     """Per domain: rows loaded and rows rejected (non-NULL corrupt column)."""
     parts = [
-        spark.read.parquet(path).agg(
+        loaded(spark, path).agg(
             F.lit(name).alias("domain"),
             F.count(F.lit(1)).alias("n_rows"),
             F.count(CORRUPT).alias("n_rejected"))

@@ -7,8 +7,8 @@ T2  extract    a Structured Streaming query over the append-only RAW folder.
                Its checkpoint is the stream offset: each run sees only RAW rows
                appended since the last run; ``availableNow`` runs no batch when
                nothing is new.  Each micro-batch dedups, anti-joins PROCESSED
-               (so a replayed batch appends nothing), reads the bytes of its
-               files, parses them on executors and appends.
+               (so a replayed batch appends nothing) and is extracted in waves
+               bounded by files and bytes: bytes read, parsed and appended.
 T3  model      (re)defines the final views; no data moves.
 
 Why T1 is not the streaming file source: that source misses an overwritten
@@ -19,6 +19,8 @@ a listing diff on the version key finds both by construction.
 from __future__ import annotations
 
 import datetime as dt
+import re
+import uuid
 from dataclasses import dataclass
 from typing import Callable
 
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vellum.operators.admission import admitted
 from vellum.operators.catalog import (PROCESSED_SCHEMA, QUARANTINE_SCHEMA, RAW_SCHEMA, VERSION_KEY,
                                       append_new, conform, create_table, new_versions, quarantine,
                                       raw_rows, read_table)
@@ -56,9 +59,17 @@ class PipelineRoot:
         return f"{self.root}/raw/pdf_raw_file_catalog"
 
     @property
-    def processed(self) -> str:
+    def parsed(self) -> str:
         return f"{self.root}/raw/pdf_processed_file_catalog"
 
+    @property
+    def processed(self) -> str:
+        return f"{self.parsed}/outcome=good"
+
+    @property
+    def failed(self) -> str:
+        return f"{self.parsed}/outcome=bad"
+
     @property
     def quarantine(self) -> str:
         return f"{self.root}/raw/pdf_quarantine"
@@ -87,61 +98,97 @@ def t1_register(spark: SparkSession, listing: DataFrame, root: PipelineRoot) ->
 
 PARSED_SCHEMA = T.StructType([*PROCESSED_SCHEMA.fields, T.StructField("parse_error", T.StringType())])
 
-
-def _process_batch(spark: SparkSession, root: PipelineRoot, content_for: ContentFn,
-                   batch: DataFrame) -> int:
-    """Parse the batch's versions that aren't in PROCESSED; returns the rows appended.
-
-    Parsed rows are written once, then dealt to PROCESSED and quarantine from
-    there.  A file that is opened and undecodable, or absent, is quarantined
-    for good; one that couldn't be opened is quarantined with a RETRY reason.
-    """
-    done = read_table(spark, root.processed, PROCESSED_SCHEMA)
-    todo = new_versions(batch, done, VERSION_KEY)
-    aside = new_workspace(spark, "parsed")
-    parsed = extract_documents(content_for(todo)).withColumn("insert_ts", F.current_timestamp())
-    conform(parsed, PARSED_SCHEMA).write.parquet(aside)
-    parsed = spark.read.schema(PARSED_SCHEMA).parquet(aside)
-    good = parsed.where(F.col("parse_error").isNull())
-    n = good.count()
+# The bound of one wave of extraction: files, and bytes of them.
+MAX_FILES, MAX_BYTES = 1000, 8 << 30
+KILLED = "killed its task: "
+# What Spark says of a task whose worker or executor died, as against one that raised.
+DEATHS = r"worker exited unexpectedly|Python worker.*crashed|ExecutorLostFailure|OutOfMemoryError|EOFException|Connection reset"
+
+
+def _write_parsed(spark: SparkSession, root: PipelineRoot, files: DataFrame) -> int:
+    """Parse and append once: the good rows are PROCESSED, the others lie beside it; the number of the others."""
+    stamp = F.lit(_now())
+    parsed = conform(extract_documents(files).withColumn("insert_ts", stamp), PARSED_SCHEMA)
+    outcome = F.when(F.col("parse_error").isNull(), "good").otherwise("bad")
+    parsed.withColumn("outcome", outcome).write.mode("append").partitionBy("outcome").parquet(root.parsed)
+    failed = read_table(spark, root.failed, PARSED_SCHEMA).where(F.col("insert_ts") == stamp)
+    bad = failed.select("relative_path", "last_modified", F.col("parse_error").alias("reason"))
+    n = bad.count()
     if n:
-        conform(good, PROCESSED_SCHEMA).write.mode("append").parquet(root.processed)
-    bad = parsed.where(F.col("parse_error").isNotNull()).select(
-        "relative_path", "last_modified", F.col("parse_error").alias("reason"))
-    quarantine(spark, bad, root.quarantine)
+        quarantine(spark, bad, root.quarantine)
     return n
 
 
-def retry_failed(spark: SparkSession, root: PipelineRoot, content_for: ContentFn) -> int:
+def _parse(spark: SparkSession, root: PipelineRoot, content_for: ContentFn, wave: DataFrame, first: int, last: int) -> int:
+    """Parse the files of a wave with places from ``first`` to ``last``; the number of those that failed.
+
+    A job whose worker dies leaves nothing; its files are halved until the one that kills is alone, and that one is
+    quarantined.  Errors that a task raises stop the step as ever.
+    """
+    files = wave.where(F.col("place").between(first, last))
+    try:
+        return _write_parsed(spark, root, content_for(files.drop("wave", "place")))
+    except Exception as e:
+        if not re.search(DEATHS, str(e)):
+            raise
+        if first == last:
+            reason = F.lit(f"{KILLED}{type(e).__name__}")
+            quarantine(spark, files.select("relative_path", "last_modified", reason.alias("reason")), root.quarantine)
+            return 1
+        middle = (first + last) // 2
+        return sum(_parse(spark, root, content_for, wave, a, z) for a, z in ((first, middle), (middle + 1, last)))
+
+
+def _process_batch(spark: SparkSession, root: PipelineRoot, content_for: ContentFn, batch: DataFrame,
+                   max_files: int = MAX_FILES, max_bytes: int = MAX_BYTES) -> int:
+    """Parse the batch's versions that are neither in PROCESSED nor refused, wave by wave; returns the rows appended.
+
+    A wave is bounded by files and bytes and appended before the next one begins, so a run that dies goes on where
+    it stopped.  A file that is opened and undecodable, or absent, is quarantined for good; one that couldn't be
+    opened is quarantined with a RETRY reason.
+    """
+    done = read_table(spark, root.processed, PROCESSED_SCHEMA)
+    refused = read_table(spark, root.quarantine, QUARANTINE_SCHEMA).where(~F.col("reason").startswith(RETRY))
+    todo = new_versions(batch, done, VERSION_KEY).join(refused.select(*VERSION_KEY), VERSION_KEY, "left_anti")
+    # names and sizes in a table of their own: what the waves append to PROCESSED must not change the list
+    work = f"{root.root}/_work/{uuid.uuid4().hex}"
+    admitted(todo, max_files, max_bytes).write.parquet(work)
+    todo = spark.read.parquet(work)
+    waves = todo.groupBy("wave").agg(F.min("place").alias("first"), F.max("place").alias("last")).orderBy("wave").collect()
+    appended = 0
+    for w in waves:
+        of_wave = todo.where(F.col("wave") == w.wave)
+        appended += w.last - w.first + 1 - _parse(spark, root, content_for, of_wave, w.first, w.last)
+    return appended
+
+
+def retry_failed(spark: SparkSession, root: PipelineRoot, content_for: ContentFn, **bounds: int) -> int:
     """Try again every RAW version that is quarantined for a retry and not in PROCESSED."""
     failed = (read_table(spark, root.quarantine, QUARANTINE_SCHEMA)
               .where(F.col("reason").startswith(RETRY)).select(*VERSION_KEY).distinct())
-    raw = read_table(spark, root.raw, RAW_SCHEMA).join(failed, VERSION_KEY, "left_semi")
-    done = read_table(spark, root.processed, PROCESSED_SCHEMA)
-    if new_versions(raw, done, VERSION_KEY).isEmpty():
+    if failed.isEmpty():
         return 0
-    return _process_batch(spark, root, content_for, raw)
+    raw = read_table(spark, root.raw, RAW_SCHEMA).join(failed, VERSION_KEY, "left_semi")
+    return _process_batch(spark, root, content_for, raw, **bounds)
 
 
-def t2_incremental(spark: SparkSession, root: PipelineRoot, content_for: ContentFn,
-                   max_files_per_trigger: int | None = 1000, checkpoint: str | None = None,
-                   every: str | None = None):
+def t2_incremental(spark: SparkSession, root: PipelineRoot, content_for: ContentFn, checkpoint: str | None = None,
+                   every: str | None = None, max_files: int = MAX_FILES, max_bytes: int = MAX_BYTES):
     """Retry what failed before, run T2 until RAW is caught up (trigger availableNow), then
-    return the number of rows appended.  A batch holds ``max_files_per_trigger`` RAW files at most.
+    return the number of rows appended.  A micro-batch is what RAW got since the last one (names and sizes); its
+    documents are extracted in waves of ``max_files`` and ``max_bytes`` at most, however RAW's files hold them.
 
     ``every="1 minute"`` instead starts it as a standing query on that
     processing-time schedule and returns the StreamingQuery handle; new files
-    still need T1 to register them.
+    still need T1 to register them (``run_every`` does both).
     """
     create_table(spark, root.raw, RAW_SCHEMA)
     create_table(spark, root.processed, PROCESSED_SCHEMA)
-    reader = spark.readStream.schema(RAW_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.parquet(root.raw)
-    added = [retry_failed(spark, root, content_for)]
+    stream = spark.readStream.schema(RAW_SCHEMA).parquet(root.raw)
+    bounds = {"max_files": max_files, "max_bytes": max_bytes}
+    added = [retry_failed(spark, root, content_for, **bounds)]
     query = (stream.writeStream
-             .foreachBatch(lambda df, _epoch: added.append(_process_batch(df.sparkSession, root, content_for, df)))
+             .foreachBatch(lambda df, _epoch: added.append(_process_batch(df.sparkSession, root, content_for, df, **bounds)))
              .option("checkpointLocation", checkpoint or root.t2_checkpoint))
     if every:
         return query.trigger(processingTime=every).start()
@@ -149,6 +196,21 @@ def t2_incremental(spark: SparkSession, root: PipelineRoot, content_for: Content
     return sum(added)
 
 
+def run_every(spark: SparkSession, root: PipelineRoot, listing: Callable[[], DataFrame], content_for: ContentFn,
+              every: str = "1 minute", **bounds: int):
+    """The standing schedule: at each tick T1 lists the stage afresh and registers, then T2 extracts what is new.
+
+    Returns the StreamingQuery whose trigger is the clock.  A tick begins when the one before has ended.
+    """
+    def tick(_: DataFrame, _epoch: int) -> None:
+        t1_register(spark, listing(), root)
+        t2_incremental(spark, root, content_for, **bounds)
+
+    clock = spark.readStream.format("rate").option("rowsPerSecond", "1").option("numPartitions", "1").load()
+    return (clock.writeStream.foreachBatch(tick).option("checkpointLocation", f"{root.root}/_checkpoints/clock")
+            .trigger(processingTime=every).start())
+
+
 def t3_views(spark: SparkSession, root: PipelineRoot, curated: DataFrame,
              stats_by_view: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """CREATE OR REPLACE VIEW for each stats source (partitioned / flat)."""
