@@ -1,30 +1,30 @@
 """Whole texts to token ids with the tokenizers library, inside Arrow batches.
 
 The vocabulary drops white space, so the ids of a text are the ids of its
-ASCII-white-space chunks in a row.  Equal chunks are encoded once and kept for
-the task's next batches, up to a bound; the documents' ids are then gathered
-with numpy.
-
-A chunk that is one word of Latin letters between plain marks goes straight to
-the library's BPE model: normalising and pre-tokenising do nothing to such a
-word but lower it, and cut it off its marks.  Every other chunk takes the
-library's whole way.
+ASCII-white-space chunks in a row.  Equal chunks of a batch are looked up once,
+and the documents' ids are then gathered with numpy.
+
+A chunk that is one word of Latin letters between plain marks is cut into the
+three (by Arrow, all chunks at once) and these go straight to the library's BPE
+model: normalising and pre-tokenising do nothing to such a word but lower it,
+and cut it off its marks.  Every other chunk takes the library's whole way.
+Words, marks and other chunks are encoded once and kept for the task's next
+batches; the table starts anew once it has more than ``KEPT_PIECES``.
 """
 
 from __future__ import annotations
 
 import gc
-import re
 from contextlib import contextmanager
 from itertools import chain
-from typing import Iterator
+from typing import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 8 << 20
-KEPT_CHUNKS = 400_000
+KEPT_PIECES = 400_000
 
 
 def vocabulary(path: str) -> str:
@@ -68,7 +68,8 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 # Letters whose lower case and composed form are plain; no apostrophe before a
 # word (it could begin a contraction) and nothing that could hold a special string.
-_PLAIN = re.compile(r"([!-&(-/:;=?@\[-`{}~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\[-`{}~]*)").fullmatch
+_MARKS, _LETTERS = r"[!-&(-/:;=?@\[-`{}~]*", "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+_PLAIN = f"^(?P<before>{_MARKS})(?P<word>{_LETTERS})(?P<after>{_MARKS})$"
 
 
 def byte_letters() -> list[str]:
@@ -92,65 +93,60 @@ class ChunkEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.words: dict[str, list[int]] = {"": []}
-        self.starts, self.lengths, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _learn(self, chunks: list[str]) -> None:
-        model, words = self.tokenizer.model, self.words
-        found: list[list[int] | None] = []
-        for c in chunks:
-            if c.isascii() and c.isalpha():
-                w = c.lower()
-                ids = words.get(w)
-                if ids is None:
-                    ids = words[w] = [t.id for t in model.tokenize(w)]
-                found.append(ids)
-                continue
-            m = _PLAIN(c)
-            if m is None:
-                found.append(None)
-                continue
-            before, word, after = m.groups()
-            word = word.lower()
-            for w in (before, word, after):
-                if w not in words:
-                    letters = w if w.isascii() else w.encode("utf-8").decode("latin-1").translate(self.letters)
-                    words[w] = [t.id for t in model.tokenize(letters)]
-            found.append(words[before] + words[word] + words[after])
-        rest = [i for i, f in enumerate(found) if f is None]
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False)):
-            found[i] = e.ids
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        new = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
-        first = len(self.place)
-        self.place.update(zip(chunks, range(first, first + len(chunks))))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, new])
+        """An empty table of pieces; its row 0 has no ids."""
+        self.words: dict[str, int] = {"": 0}
+        self.others: dict[str, int] = {}
+        self.starts, self.lengths, self.ids = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def _word_ids(self, pieces: list[str]) -> list[list[int]]:
+        tokenize = self.tokenizer.model.tokenize
+        return [[t.id for t in tokenize(p if p.isascii() else p.encode("utf-8").decode("latin-1").translate(self.letters))]
+                for p in pieces]
+
+    def _other_ids(self, chunks: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def _rows(self, pieces: pa.Array, known: dict[str, int], ids_of: Callable[[list[str]], list[list[int]]]) -> np.ndarray:
+        """The table's row of every piece; those not known yet are added."""
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        with no_cycles():
+            new = [p for p in distinct if p not in known]
+            if new:
+                found = ids_of(new)
+                lengths = np.fromiter(map(len, found), np.int64, len(found))
+                ids = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
+                known.update(zip(new, range(len(self.starts), len(self.starts) + len(new))))
+                self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+                self.lengths = np.concatenate([self.lengths, lengths])
+                self.ids = np.concatenate([self.ids, ids])
+            rows = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+        return rows[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int64)
+
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks in a row, and the number of ids of each."""
+        found = pc.extract_regex(chunks, pattern=_PLAIN)
+        plain = found.is_valid()
+        parts = found.filter(plain)
+        before, word, after = (pc.struct_field(parts, c) for c in ("before", "word", "after"))
+        three = np.zeros((len(chunks), 3), np.int64)  # rows of the pieces; other chunks are one piece
+        at = plain.to_numpy(zero_copy_only=False)
+        three[at] = self._rows(pa.concat_arrays([before, pc.utf8_lower(word), after]), self.words, self._word_ids).reshape(3, -1).T
+        three[~at, 0] = self._rows(chunks.filter(pc.invert(plain)), self.others, self._other_ids)
+        counts = self.lengths[three]
+        return self.ids[ragged(self.starts[three].ravel(), counts.ravel())], counts.sum(axis=1)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows in a row, and the number of ids of each (null: none)."""
+        if len(self.words) + len(self.others) > KEPT_PIECES:
+            self._forget()
         parts = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         per_text = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         coded = parts.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        with no_cycles():
-            places = list(map(self.place.get, distinct))
-            new = [c for c, p in zip(distinct, places) if p is None]
-            if len(self.place) + len(new) > KEPT_CHUNKS:
-                self._forget()
-                places, new = [None] * len(distinct), distinct
-            first = len(self.place)
-            if new:
-                self._learn(new)
-        at = np.array(places, float)  # new ones (nan) follow the known ones in order
-        fresh = np.isnan(at)
-        at[fresh] = first + np.arange(len(new))
-        at = at.astype(np.int64)
-        chunk = at[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int64)
-        counts = self.lengths[chunk]
-        ids = self.ids[ragged(self.starts[chunk], counts)]
+        ids, lengths = self._chunks(coded.dictionary)
+        chunk = coded.indices.to_numpy(zero_copy_only=False) if len(coded) else np.zeros(0, np.int64)
+        counts = lengths[chunk]
+        ids = ids[ragged((np.cumsum(lengths) - lengths)[chunk], counts)]
         sums = np.concatenate([[0], np.cumsum(counts)])
         ends = np.cumsum(per_text)
         return ids, sums[ends] - sums[ends - per_text]
