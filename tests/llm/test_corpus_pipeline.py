@@ -1,4 +1,5 @@
 import collections
+import os
 
 import pyarrow as pa
 
@@ -7,6 +8,8 @@ from tests.llm.helpers import DOC_SCHEMA, WORD, clashing
 from tests.llm.test_pairs import brute_components, brute_dedup
 from vellum.llm import mixing
 from vellum.llm import toxicity as tx
+from vellum.llm.common import lasting, temporary_tables, written
+from vellum.session import shared_root
 
 
 def through(spark, docs, sf_dir):
@@ -75,6 +78,31 @@ def test_pipeline_of_nulls_and_repeats(spark, sf_small):
     assert through(spark, docs.limit(0), sf_small)["best_fit_packing"].count() == 0
 
 
+def test_the_near_copy_stage_leaves_only_its_choice(spark, sf_small):
+    root = shared_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    kept = cp.drop_near_copies(spark, spark.read.parquet(f"{sf_small}/documents.parquet"), sf_small)
+    left = set(os.listdir(root)) - before
+    assert len(left) == 1 and "jaccard-kept" in left.pop()
+    assert kept.count() > 0
+
+
+def test_temporary_tables_go_also_by_an_error(spark):
+    rows = spark.range(3)
+    try:
+        with temporary_tables(spark):
+            with temporary_tables(spark):
+                inner = written(rows, "inner")
+                outer = lasting(inner, "outer")
+            lasts = lasting(outer, "lasts")
+            assert outer.count() == 3 and not any("inner" in n for n in os.listdir(shared_root(spark).removeprefix("file:")))
+            raise KeyError
+    except KeyError:
+        pass
+    names = os.listdir(shared_root(spark).removeprefix("file:"))
+    assert lasts.count() == 3 and not any("vellum-outer" in n for n in names)
+
+
 def test_entry_lists_the_operators():
     import __spark_entry__ as e
 

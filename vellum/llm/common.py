@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 
+_temporary: list[list[str]] = []  # folders of the open ``temporary_tables`` blocks, innermost last
+
+
 def whole_text(name: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(name), F.lit(""))
@@ -30,9 +36,38 @@ def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame
     """
     spark = df.sparkSession
     path = new_workspace(spark, label)
+    if _temporary:
+        _temporary[-1].append(path)
     df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Drop the tables that ``written`` makes inside the block when it ends, also by an error.
+
+    What is needed later must be written by then outside of the block or read no such
+    table: a frame on a dropped table fails when it is run, it doesn't lose rows.
+    """
+    _temporary.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _temporary.pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
+def lasting(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+    """``written`` for a result that outlives the ``temporary_tables`` block it is made in."""
+    inner = _temporary.pop() if _temporary else None
+    try:
+        return written(df, label, compression)
+    finally:
+        if inner is not None:
+            _temporary.append(inner)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
