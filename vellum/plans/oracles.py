@@ -201,6 +201,11 @@ SELECT pdf_id, file_name, relative_path, last_modified, pdf_metadata, page_count
     "t2_incremental": _with("processed") + f"SELECT {PROCESSED_COLS} FROM processed",
     "t2_retry": _with("processed") + f"SELECT {PROCESSED_COLS} FROM processed",
     "t2_replay": _with("processed") + f"SELECT {PROCESSED_COLS} FROM processed",
+    "deployment_reset": _with("raw_catalog", "processed") + """
+SELECT split_part(p.pdf_id, '_', 1) AS product_id, count(*) AS n_files, CAST(sum(r.size) AS BIGINT) AS n_bytes,
+       CAST(sum(p.page_count) AS BIGINT) AS n_pages
+FROM raw_catalog r LEFT JOIN processed p ON r.relative_path = p.relative_path AND r.last_modified = p.last_modified
+GROUP BY 1""",
     "row_counts": _with("raw_catalog", "processed") + """
 SELECT 'raw' AS table_name, count(*) AS n_rows FROM raw_catalog
 UNION ALL SELECT 'processed', count(*) FROM processed""",

@@ -30,7 +30,7 @@ from vellum.plans.warehouse import curated_for, lake_for, processed_for
 from vellum.session import new_workspace
 from vellum.sources import domains, stage
 from vellum.sources.tables import table
-from vellum.streaming import steps
+from vellum.streaming import deployment, steps
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -246,6 +246,30 @@ def q_t2_waves(spark, sf_dir):
     return done.select((F.row_number().over(W.orderBy("insert_ts")) - 1).cast("bigint").alias("wave"), "n_files")
 
 
+DOCUMENTS_VIEW = """SELECT r.relative_path, r.size, p.pdf_id, p.page_count
+FROM {schema}.pdf_raw_file_catalog r
+LEFT JOIN {schema}.pdf_processed_file_catalog p ON r.relative_path = p.relative_path AND r.last_modified = p.last_modified"""
+PRODUCTS_VIEW = """SELECT split_part(pdf_id, '_', 1) AS product_id, count(*) AS n_files, sum(size) AS n_bytes,
+       CAST(sum(page_count) AS BIGINT) AS n_pages FROM {schema}.documents GROUP BY 1"""
+
+
+def q_deployment_reset(spark, sf_dir):
+    """Views defined over an early upload, reset, the whole run anew; another session reads the stored views."""
+    folder = new_workspace(spark, "deployment")
+    d = deployment.Deployment(folder, "docs_" + folder.rsplit("-", 1)[1])
+    listing, content = fx.stage_listing(spark, sf_dir), _content_fixture(spark, sf_dir)
+    root = deployment.open_deployment(spark, d)
+    deployment.define_view(spark, d, "documents", DOCUMENTS_VIEW)
+    deployment.define_view(spark, d, "products", PRODUCTS_VIEW, needs=("documents",))
+    steps.t1_register(spark, listing.where(F.col("last_modified") < F.lit(EARLY_UPLOAD_BEFORE).cast("timestamp_ntz")), root)
+    root = deployment.reset(spark, d)
+    steps.t1_register(spark, listing, root)
+    steps.t2_incremental(spark, root, content)
+    other = spark.newSession()
+    deployment.open_deployment(other, d)
+    return deployment.read_view(other, d, "products")
+
+
 def q_t2_replay(spark, sf_dir):
     """T2 twice on the same offset, then a full replay from a fresh checkpoint."""
     root = steps.PipelineRoot.fresh(spark, "t2replay")
@@ -480,6 +504,7 @@ QUERIES: dict[str, Query] = {
     "t2_retry": q_t2_retry,
     "t2_replay": q_t2_replay,
     "t2_waves": q_t2_waves,
+    "deployment_reset": q_deployment_reset,
     "row_counts": q_row_counts,
     "pipeline_end_to_end": q_pipeline_end_to_end,
     "run_history": q_run_history,
