@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.llm import jaccard, mixing, packing, substring_dedup, toxicity
-from vellum.llm.common import documents, written
+from vellum.llm.common import documents, lasting, temporary_tables, written
 from vellum.llm.queries import PASSAGE_WORDS, vocabulary_text
 from vellum.sources.tables import table
 
@@ -38,9 +38,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without what an earlier document already holds; no document goes."""
-    out = substring_dedup.dedup_substrings(docs, min_words=PASSAGE_WORDS, keep=COLUMNS)
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    """Texts without what an earlier document already holds; no document goes.
+
+    The result is written and the tables of units and digests that led to it are dropped.
+    """
+    with temporary_tables(spark):
+        out = substring_dedup.dedup_substrings(docs, min_words=PASSAGE_WORDS, keep=COLUMNS)
+        cut = out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+        return lasting(cut, "passages", compression="zstd")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
