@@ -20,6 +20,45 @@ def test_hot_safe_left_join_equals_left_join(spark):
     assert got.count() == 50 * 2 + 1 + 2
 
 
+def _right_third_hot(spark, path):
+    """30,000 rows of 2,000 keys in a table, a third of them on one key."""
+    n = F.col("id")
+    spark.range(30_000).select(F.when(n % 3 == 0, "hot").otherwise((n % 2_000).cast("string")).alias("rk"), n.alias("v"),
+                               F.repeat(F.lit("text "), 20).alias("review")).write.parquet(f"{path}/right")
+    spark.range(2_500).select(n.cast("string").alias("k"), n.alias("lid")).unionByName(
+        spark.createDataFrame([("hot", -1), ("hot", -2), (None, -3)], "k string, lid long")).write.parquet(f"{path}/left")
+    return spark.read.parquet(f"{path}/left"), spark.read.parquet(f"{path}/right")
+
+
+def test_hot_key_is_dealt_over_tasks_and_each_side_read_once(spark, tmp_path):
+    left, right = _right_third_hot(spark, str(tmp_path))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = left_join_hot_safe(left, right, "k", "rk", spread_by=("v",))
+        want = left.join(right, F.col("k") == F.col("rk"), "left")
+        assert _rows(got) == _rows(want)
+        per_task = [r["count"] for r in got.where("k is not null").groupBy(F.spark_partition_id()).count().collect()]
+        plain = [r["count"] for r in want.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(plain) > 5 * sorted(plain)[8] and max(per_task) <= 5 * sorted(per_task)[len(per_task) // 2]
+        plan = got._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        schemas = [x for x in plan.splitlines() if x.startswith("ReadSchema")]
+        assert sorted(schemas) == sorted(["ReadSchema: struct<k:string,lid:bigint>", "ReadSchema: struct<rk:string,v:bigint,review:string>",
+                                          "ReadSchema: struct<rk:string>"]), schemas
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_hot_safe_left_join_edges(spark):
+    left = spark.createDataFrame([(1, 7), (2, None), (3, 8)], "lid int, k int")
+    for right in ([], [(None, 1)] * 20, [(7, i) for i in range(40)] + [(None, 0)], [(7, 0)] * 40):
+        r = spark.createDataFrame(right, "rk int, v int")
+        assert _rows(left_join_hot_safe(left, r, "k", "rk")) == _rows(left.join(r, F.col("k") == F.col("rk"), "left"))
+
+
 def test_left_join_on_truth_keeps_rows_when_stats_empty(spark):
     left = spark.createDataFrame([(i,) for i in range(5)], "i int")
     empty = spark.createDataFrame([], "avg_arr_delay double, cancel_rate double")

@@ -194,6 +194,8 @@ ORACLES: dict[str, str] = {
 SELECT file_name, relative_path, file_url, last_modified FROM raw_catalog
 WHERE last_modified >= TIMESTAMP '2024-01-16 00:00:00'""",
     "stage_listing_files": _with("stage_files") + "SELECT relative_path, size, last_modified FROM stage_files",
+    "stage_walk_files": _with("stage_files") + "SELECT relative_path, size, last_modified FROM stage_files",
+    "stage_walk_t1": _with("raw_catalog") + "SELECT file_name, relative_path, size, last_modified FROM raw_catalog",
     "stage_t1_t2": _with("processed") + """
 SELECT pdf_id, file_name, relative_path, last_modified, pdf_metadata, page_count, extracted_text FROM processed""",
     "extract_documents": _with("processed") + f"SELECT {PROCESSED_COLS} FROM processed",

@@ -28,7 +28,7 @@ from vellum.plans import fixtures as fx
 from vellum.plans.final import final_integrated
 from vellum.plans.warehouse import curated_for, lake_for, processed_for
 from vellum.session import new_workspace
-from vellum.sources import domains, stage
+from vellum.sources import domains, stage, walk
 from vellum.sources.tables import table
 from vellum.streaming import deployment, steps
 
@@ -192,6 +192,20 @@ def q_stage_listing_files(spark, sf_dir):
     return listing.select("relative_path", "size", "last_modified")
 
 
+def q_stage_walk_files(spark, sf_dir):
+    """DIRECTORY(@stage) over real files, listed by the executors folder by folder."""
+    return walk.walk_stage(spark, _real_stage(spark, sf_dir)).select("relative_path", "size", "last_modified")
+
+
+def q_stage_walk_t1(spark, sf_dir):
+    """T1 over a walked stage twice: the second walk finds the same versions and registers nothing."""
+    stage_dir = _real_stage(spark, sf_dir)
+    root = steps.PipelineRoot.fresh(spark, "walkrun")
+    for _ in range(2):
+        steps.t1_register(spark, walk.walk_stage(spark, stage_dir), root)
+    return read_table(spark, root.raw, RAW_SCHEMA).select("file_name", "relative_path", "size", "last_modified")
+
+
 def q_stage_t1_t2(spark, sf_dir):
     """T1 on the real stage listing, T2 reading each new file's bytes by path on executors."""
     stage_dir = _real_stage(spark, sf_dir)
@@ -497,6 +511,8 @@ QUERIES: dict[str, Query] = {
     "new_files": q_new_files,
     "t2_join_raw": q_t2_join_raw,
     "stage_listing_files": q_stage_listing_files,
+    "stage_walk_files": q_stage_walk_files,
+    "stage_walk_t1": q_stage_walk_t1,
     "stage_t1_t2": q_stage_t1_t2,
     "extract_documents": q_extract_documents,
     "extract_sample": q_extract_sample,

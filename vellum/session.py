@@ -81,3 +81,9 @@ def shared_root(spark: SparkSession) -> str:
 def new_workspace(spark: SparkSession, label: str) -> str:
     """A fresh, never reused sub folder of the shared root."""
     return f"{shared_root(spark)}/vellum-{label}-{uuid.uuid4().hex[:12]}"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system's scheme and host, the default one's where it names none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()

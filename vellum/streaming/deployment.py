@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from vellum.operators.catalog import PROCESSED_SCHEMA, QUARANTINE_SCHEMA, RAW_SCHEMA, create_table, read_table
 from vellum.operators.published import current, publish
+from vellum.session import qualified
 from vellum.streaming.steps import PipelineRoot
 
 DEFINITIONS = T.StructType([
@@ -65,17 +66,11 @@ class Deployment:
         return f"`{self.schema}`.`{of}`"
 
 
-def _qualified(spark: SparkSession, path: str) -> str:
-    """The path with its file system's scheme and host, the default one's where it names none."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
-
-
 def create_schema(spark: SparkSession, name: str, location: str) -> None:
     """CREATE DATABASE IF NOT EXISTS at ``location``; a schema of that name elsewhere is an error, not reused."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
     there = spark.catalog.getDatabase(name).locationUri
-    if _qualified(spark, there) != _qualified(spark, location):
+    if qualified(spark, there) != qualified(spark, location):
         raise ValueError(f"schema {name} lies at {there}, not at {location}")
 
 
