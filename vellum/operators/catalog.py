@@ -8,6 +8,7 @@ again with a new mtime is a new version and gets a new row; the old row stays.
 from __future__ import annotations
 
 from functools import reduce
+from typing import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -124,16 +125,19 @@ def new_versions(candidates: DataFrame, existing: DataFrame, key: list[str]) ->
 
 
 def append_new(spark: SparkSession, candidates: DataFrame, path: str, schema: T.StructType,
-               key: list[str] = VERSION_KEY, quarantine_path: str | None = None) -> int:
+               key: list[str] = VERSION_KEY, quarantine_path: str | None = None,
+               unseen: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> int:
     """INSERT INTO path SELECT ... WHERE NOT EXISTS (same key): idempotent append.
 
     Re-running with the same candidates appends nothing and writes no file.
     ``insert_ts`` is stamped at write time (column default
-    CURRENT_TIMESTAMP()).  Returns the number of rows appended.
+    CURRENT_TIMESTAMP()).  ``unseen(candidates, existing)`` stands in for
+    ``new_versions``.  Returns the number of rows appended.
     """
     create_table(spark, path, schema)
     existing = read_table(spark, path, schema)
-    rows = new_versions(candidates, existing, key).withColumn("insert_ts", F.current_timestamp())
+    new = unseen(candidates, existing) if unseen else new_versions(candidates, existing, key)
+    rows = new.withColumn("insert_ts", F.current_timestamp())
     n = append_counted(rows, path, schema)
     if quarantine_path is not None:
         bad = (candidates.where(null_key(key))

@@ -189,6 +189,7 @@ ORACLES: dict[str, str] = {
                       "TRY_CAST(event_type AS DECIMAL(38,0)) AS type_number FROM events",
     "t1_register": _with("raw_catalog") + f"SELECT {RAW_COLS} FROM raw_catalog",
     "t1_replay": _with("raw_catalog") + f"SELECT {RAW_COLS} FROM raw_catalog",
+    "t1_indexed": _with("raw_catalog") + f"SELECT {RAW_COLS} FROM raw_catalog",
     "new_files": _NEW_FILES,
     "t2_join_raw": _with("raw_catalog") + """
 SELECT file_name, relative_path, file_url, last_modified FROM raw_catalog

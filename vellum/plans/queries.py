@@ -137,6 +137,17 @@ def q_t1_replay(spark, sf_dir):
     return _raw_out(spark, root)
 
 
+def q_t1_indexed(spark, sf_dir):
+    """T1 by the bucketed index of RAW's version keys: an early upload, its keys compacted, the whole stage twice."""
+    root = steps.PipelineRoot.fresh(spark, "t1indexed")
+    listing = fx.stage_listing(spark, sf_dir)
+    steps.t1_register(spark, listing.where(F.col("last_modified") < F.lit(EARLY_UPLOAD_BEFORE).cast("timestamp_ntz")), root)
+    steps.compact_raw(spark, root)
+    for _ in range(2):
+        steps.t1_register(spark, listing, root, index=True)
+    return _raw_out(spark, root)
+
+
 def q_t2_retry(spark, sf_dir):
     """T1 + T2 with the content of some files missing, then T2 again with all of it there."""
     root = steps.PipelineRoot.fresh(spark, "t2retry")
@@ -508,6 +519,7 @@ QUERIES: dict[str, Query] = {
     "try_page_count": q_try_page_count,
     "t1_register": q_t1_register,
     "t1_replay": q_t1_replay,
+    "t1_indexed": q_t1_indexed,
     "new_files": q_new_files,
     "t2_join_raw": q_t2_join_raw,
     "stage_listing_files": q_stage_listing_files,

@@ -33,6 +33,7 @@ from vellum.operators.catalog import (PROCESSED_SCHEMA, QUARANTINE_SCHEMA, RAW_S
                                       append_new, conform, create_table, new_versions, quarantine,
                                       raw_rows, read_table)
 from vellum.operators.extract import RETRY, extract_documents
+from vellum.operators.versions import compact, unseen
 from vellum.session import new_workspace
 
 HISTORY_SCHEMA = T.StructType([
@@ -58,6 +59,10 @@ class PipelineRoot:
     def raw(self) -> str:
         return f"{self.root}/raw/pdf_raw_file_catalog"
 
+    @property
+    def raw_versions(self) -> str:
+        return f"{self.root}/raw/pdf_raw_versions"
+
     @property
     def parsed(self) -> str:
         return f"{self.root}/raw/pdf_processed_file_catalog"
@@ -91,9 +96,16 @@ def detect_new_files(listing: DataFrame, raw: DataFrame) -> DataFrame:
     return new_versions(raw_rows(listing), raw, VERSION_KEY)
 
 
-def t1_register(spark: SparkSession, listing: DataFrame, root: PipelineRoot) -> int:
-    """Returns the number of versions registered."""
-    return append_new(spark, raw_rows(listing), root.raw, RAW_SCHEMA, VERSION_KEY, root.quarantine)
+def t1_register(spark: SparkSession, listing: DataFrame, root: PipelineRoot, index: bool = False) -> int:
+    """Returns the number of versions registered.  ``index``: RAW is asked through its index of version keys, as
+    ``compact_raw`` left it, so that the run shuffles the listing and not what is stored."""
+    known = (lambda rows, raw: unseen(spark, rows, raw, root.raw_versions)) if index else None
+    return append_new(spark, raw_rows(listing), root.raw, RAW_SCHEMA, VERSION_KEY, root.quarantine, known)
+
+
+def compact_raw(spark: SparkSession, root: PipelineRoot) -> int:
+    """Bring the index of RAW's version keys up to date; the number of its buckets."""
+    return compact(spark, read_table(spark, root.raw, RAW_SCHEMA), root.raw_versions)
 
 
 PARSED_SCHEMA = T.StructType([*PROCESSED_SCHEMA.fields, T.StructField("parse_error", T.StringType())])
