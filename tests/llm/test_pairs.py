@@ -183,6 +183,22 @@ def test_top_products_of_few_rows(spark):
     assert topk.top_products(none, none).count() == 0
 
 
+def test_top_products_of_ids_beyond_floats_beside_a_null_id(spark):
+    base, rng = 1 << 60, np.random.default_rng(8)
+    rows = [(base + i, rng.normal(0, 1, 4).tolist()) for i in range(40)] + [(None, [3.0] * 4)]
+    df = spark.createDataFrame(rows, VECTORS)
+    asked = [r for r in rows if r[0] is not None and r[0] % 5 == 0]
+    got = topk.top_products(spark.createDataFrame(asked, VECTORS), df).collect()
+    assert sorted(map(tuple, got), key=str) == brute_top(asked, rows, 5)
+
+
+def test_top_products_of_an_id_that_asks_with_two_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0])] + [(i, [i / 8, 1 - i / 8]) for i in range(1, 9)]
+    df = spark.createDataFrame(rows, VECTORS)
+    got = topk.top_products(df.where("vec_id = 0"), df).collect()
+    assert sorted(map(tuple, got), key=str) == brute_top(rows[:2], rows, 5)
+
+
 def brute_dedup(rows, min_words):
     units = substring_dedup.Units()
     cut = [(i, t or "", *units.of(t or "")) for i, t in rows]
