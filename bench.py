@@ -104,6 +104,7 @@ def main() -> None:
     _warm_up(spark)
     t0 = time.perf_counter()
     lake = lake_for(spark, SF_DIR)
+    lake.build()
     setup_lake = time.perf_counter() - t0
     t0 = time.perf_counter()
     processed_for(spark, SF_DIR).write.format("noop").mode("overwrite").save()
