@@ -325,3 +325,36 @@ def test_extraction_reads_its_input_once(spark, tmp_path):
     assert plan.count("Scan parquet") == 1 and plan.count("ArrowEvalPython") == 1
     got = {r.pdf_id: (r.extracted_text, (r.parse_error or "")[:6]) for r in out.collect()}
     assert got["b"] == ("plain", "") and got["c"] == (None, "retry:") and got["a"][0] is None and got["a"][1] in ("no PDF", "cannot")
+
+
+def test_contents_of_a_table_are_joined_once_for_all_waves(spark, tmp_path):
+    stage, root = str(tmp_path / "stage"), steps.PipelineRoot(str(tmp_path / "root"))
+    for i in range(12):
+        _write(f"{stage}/d{i}.pdf", "x")
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    # d3 has no content; d4 has two rows
+    rows = [(f"d{i}.pdf", f"text {i}") for i in range(12) if i != 3] + [("d4.pdf", "text 4")]
+    contents = spark.createDataFrame(rows, "relative_path string, content string")
+    table = steps.ContentTable(contents.mapInArrow(counted, contents.schema))
+    steps.t1_register(spark, list_stage(spark, stage), root)
+    assert steps.t2_incremental(spark, root, table, max_files=5) == 11
+    assert reads.value == len(rows)
+    done = read_table(spark, root.processed, PROCESSED_SCHEMA)
+    assert sorted(r.extracted_text for r in done.collect()) == sorted(text for _, text in rows)
+    assert [r.relative_path for r in read_table(spark, root.quarantine, QUARANTINE_SCHEMA).collect()] == ["d3.pdf"]
+    assert not [f for _, _, files in os.walk(f"{root.root}/_work") for f in files]  # the copy goes with the batch
+
+
+def test_a_fact_table_is_built_when_it_is_read(spark, sf_small):
+    from vellum.plans.warehouse import build_lake
+    lake = build_lake(spark, sf_small)
+    n = lake.facts_part().count()
+    assert os.path.isdir(lake.part.replace("file:", "")) and not os.path.isdir(lake.nopart.replace("file:", ""))
+    assert lake.csv_facts_nopart().count() == n and not os.path.isdir(lake.csv_part.replace("file:", ""))
+    assert lake.csv_facts_nopart().schema == lake.facts_part().schema

@@ -57,9 +57,8 @@ def presentable(df: DataFrame) -> DataFrame:
     return df.select(cols)
 
 
-def _content_fixture(spark: SparkSession, sf_dir: str) -> steps.ContentFn:
-    content = fx.stage_content(spark, sf_dir)
-    return lambda todo: todo.join(content, "relative_path", "left")
+def _content_fixture(spark: SparkSession, sf_dir: str) -> steps.ContentTable:
+    return steps.ContentTable(fx.stage_content(spark, sf_dir))
 
 
 def _processed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +153,7 @@ def q_t2_retry(spark, sf_dir):
     content = _content_fixture(spark, sf_dir)
     late = F.col("relative_path").like("%7%")
     steps.t1_register(spark, fx.stage_listing(spark, sf_dir), root)
-    steps.t2_incremental(spark, root, lambda todo: content(todo).withColumn("content", F.when(~late, F.col("content"))))
+    steps.t2_incremental(spark, root, steps.ContentTable(content.rows.withColumn("content", F.when(~late, F.col("content")))))
     steps.t2_incremental(spark, root, content)
     return _processed_out(spark, root)
 
