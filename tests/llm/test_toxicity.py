@@ -1,4 +1,5 @@
 import itertools
+import os
 import zlib
 
 import numpy as np
@@ -108,3 +109,14 @@ def test_reader_keeps_every_word():
     lines = tx.read_lines(pa.array(texts))
     assert [lines.words[c] for c in lines.code] == ["a", "b", "c", "x", "y", "é", "z"]
     assert lines.per_text.tolist() == [3, 1, 1, 2, 1] and lines.per_line.tolist() == [2, 0, 1, 0, 2, 0, 0, 2]
+
+
+def test_training_runs_in_a_task(spark, monkeypatch):
+    texts = [("mean words here" if i % 10 == 0 else "kind words here") + f" {i}" for i in range(400)]
+    docs = docs_frame(spark, texts)
+    labels = spark.createDataFrame([(i, 1, int(i % 10 == 0)) for i in range(400)], "doc_id long, quality int, toxic int")
+    got, toxic, rate = tx.training_sample(docs, labels, limit=40)
+    here, there = tx.train(got, toxic, rate=rate), tx.fit(docs, labels, limit=40)
+    assert here.weight == there.weight and here.base_rate == there.base_rate and (here.calibration == there.calibration).all()
+    monkeypatch.setattr(tx, "train", lambda texts, toxic, rate=None: ({}, 0.0, None, None, float(os.getpid())))
+    assert tx.fit(docs, labels, limit=40).base_rate != os.getpid()

@@ -16,10 +16,9 @@ expected number of toxic words, weighted by a logistic fit on marginals of texts
 the field was not trained on (two folds).  Words whose marginal reaches one half
 are the offending spans.
 
-Labels are learned from a bounded sample, the only thing that meets the driver:
-at most ``SAMPLE`` rows, half of them toxic, and ``SAMPLE_BYTES`` of text, chosen
-by a hash of doc_id; whole rows are left out, no text is cut.  The fit is moved
-back to the share of toxic rows among all training labels.  Scoring reads whole
+Labels are learned from a bounded sample, trained on in one task: at most ``SAMPLE``
+rows, half of them toxic, and ``SAMPLE_BYTES`` of text, chosen by a hash of doc_id;
+whole rows are left out, no text is cut.  Only the weights meet the driver.  The fit is moved back to the share of toxic rows among all training labels.  Scoring reads whole
 texts and nothing but the text, a slice of ``SCORE_BYTES`` at a time.
 
 Defined results: null and empty texts have no words and get the score of "no
@@ -33,6 +32,7 @@ refused there.
 
 from __future__ import annotations
 
+import pickle
 from itertools import chain
 from typing import Iterator, NamedTuple
 
@@ -378,24 +378,31 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(summary(p, lines) @ self.field.calibration, -30, 30))), p, lines
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE,
-                    limit_bytes: int = SAMPLE_BYTES) -> tuple[list[str], list[int], float | None]:
-    """Labelled texts of the training folds (bounded, see above), and the share of toxic rows among all their labels."""
+def _sampled(docs: DataFrame, labels: DataFrame, limit: int, limit_bytes: int) -> tuple[DataFrame | None, float | None]:
+    """The sample as one ordered partition (text, toxic), and the share of toxic rows; None without labels."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
              .where(fold_of(F.col("doc_id")) != HELD_OUT_FOLD)
              .groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
              .withColumn("turn", F.xxhash64("doc_id")))
     counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
-        return [], [], None
+        return None, None
     few = min(counts.get(True, 0), max(limit // 2, limit - counts.get(False, 0)))
     share = {True: few, False: limit - few}
     halves = [known.where(F.col("toxic") == c).orderBy("turn", "doc_id").limit(share[c]) for c in (True, False)]
     chosen = halves[0].unionByName(halves[1])  # at most ``limit`` rows
     rows = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id").orderBy("turn", "doc_id", "text").limit(limit)
     so_far = F.sum(F.octet_length("text").cast("long")).over(W.orderBy("turn", "doc_id", "text"))
-    got = rows.withColumn("so_far", so_far).where(F.col("so_far") <= limit_bytes).select("text", "toxic").collect()
-    return [r.text for r in got], [int(r.toxic) for r in got], counts.get(True, 0) / sum(counts.values())
+    chosen_rows = rows.withColumn("so_far", so_far).where(F.col("so_far") <= limit_bytes).select("text", "toxic")
+    return chosen_rows, counts.get(True, 0) / sum(counts.values())
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE,
+                    limit_bytes: int = SAMPLE_BYTES) -> tuple[list[str], list[int], float | None]:
+    """Labelled texts of the training folds (bounded, see above), and the share of toxic rows among all their labels."""
+    rows, rate = _sampled(docs, labels, limit, limit_bytes)
+    got = rows.collect() if rows is not None else []
+    return [r.text for r in got], [int(r.toxic) for r in got], rate
 
 
 SCORE_SCHEMA = "score double, spans array<struct<start:long,end:long>>"
@@ -445,5 +452,18 @@ def score_documents(docs: DataFrame, field: Field, keep: tuple[str, ...] = ("doc
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Field:
-    texts, toxic, rate = training_sample(docs, labels, limit)
-    return train(texts, toxic, rate=rate)
+    """The field trained on ``training_sample``, in a task: the driver gets the weights and no text."""
+    rows, rate = _sampled(docs, labels, limit, SAMPLE_BYTES)
+    if rows is None:
+        return train([], [])
+
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic = [], []
+        for batch in batches:
+            texts += batch.column("text").to_pylist()
+            toxic += map(int, batch.column("toxic").to_pylist())
+        field = pickle.dumps(tuple(train(texts, toxic, rate=rate)))
+        yield pa.RecordBatch.from_arrays([pa.array([field], pa.binary())], names=["field"])
+
+    found = rows.coalesce(1).mapInArrow(trained, "field binary").collect()
+    return Field(*pickle.loads(found[0].field)) if found else train([], [], rate=rate)
