@@ -303,3 +303,42 @@ def test_refresh_publishes_whole_versions_of_changed_months(spark, tmp_path, mon
     assert refresh() == 0
     want = {(r.month, r.n_flights, r.sum_arr_delay) for r in lake.monthly_aggregate(spark.read.parquet(facts)).collect()}
     assert now() == want
+
+
+def test_review_texts_pass_one_join_and_repeated_or_null_keys_keep_their_rows(spark):
+    make = spark.createDataFrame
+    reviews = make([(1, "p", 10, "a"), (1, "p", 10, "b"), (1, "p", None, "c"), (None, "p", 10, "d"), (None, "p", 10, "d"), (2, None, 11, None)],
+                   "review_id long, product_id string, order_id long, review_text string")
+    out = curated_feedback(
+        reviews, make([("p", "b", "m", "c"), ("p", "b2", "m2", "c2")], "product_id string, brand string, model_name string, category string"),
+        make([(10, None, 5), (11, None, None)], "order_id long, review_date date, customer_id long"),
+        make([(1, 4), (1, 5)], "review_id long, rating int"),
+        make([(5, "FRANCE", None)], "customer_id long, reviewer_location_name string, reviewer_geo_point struct<lon:double,lat:double>"),
+        make([], "product_id string, url string"), make([], "product_id string, qty double"))
+    got = sorted((r.review_id or 0, r.review_text or "", r.brand or "", r.rating or 0) for r in out.collect())
+    assert got == sorted([(1, t, b, s) for t in "abc" for b in ("b", "b2") for s in (4, 5)]
+                         + [(0, "d", b, 0) for b in ("b", "b2")] * 2 + [(2, "", "", 0)])
+    nodes, joins = [out._jdf.queryExecution().optimizedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        joins += node.nodeName() == "Join" and "review_text" in node.output().mkString(",")
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert joins == 1
+
+
+def test_only_rows_of_repeated_keys_are_exchanged(spark):
+    import datetime as dt
+
+    from vellum.operators import layers
+    late, early = dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 1)
+    schema = "review_id long, product_id string, order_id long, rating int, review_text string, _corrupt_record string, load_file string, load_time timestamp"
+    rows = [(1, "p", 1, 1, "old", None, "b", early), (1, "p", 1, 1, "new", None, "a", late), (2, None, None, None, None, None, "a", late),
+            (3, "p", 1, 1, "x", "bad", "a", late), (None, "p", 1, 1, "no key", None, "a", late), (4, "q", 2, 5, "z", None, "a", early)]
+
+    def kept(of):
+        return sorted((r.review_id, r.review_text) for r in layers.stg_reviews(spark.createDataFrame(of, schema)).collect())
+
+    want = [(1, "new"), (2, None), (4, "z")]
+    assert kept(rows) == want and kept([*rows, *rows]) == want and kept(rows[1:]) == want
+    plan = layers.stg_reviews(spark.createDataFrame(rows[1:], schema))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan

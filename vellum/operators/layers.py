@@ -23,6 +23,9 @@ KEYS = {"product_master": "product_id", "sales_transactions": "order_id",
         "customer_reviews": "review_id", "media_metadata": "media_id"}
 
 
+BROADCAST_KEYS = 100_000
+
+
 def _good(raw: DataFrame) -> DataFrame:
     return raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
@@ -32,7 +35,20 @@ def latest(raw: DataFrame, key: str, columns: list[Column]) -> DataFrame:
     names = raw.select(*columns).columns
     rows = _good(raw).where(F.col(key).isNotNull()).select(*columns, "load_time", "load_file")
     rank = F.struct("load_time", "load_file", *names)
-    return rows.groupBy(names[0]).agg(F.max(rank).alias("r")).select(*(F.col(f"r.{n}").alias(n) for n in names))
+
+    def last_loaded(of: DataFrame) -> DataFrame:
+        return of.groupBy(names[0]).agg(F.max(rank).alias("r")).select(*(F.col(f"r.{n}").alias(n) for n in names))
+
+    # a key that one row holds has nothing to choose from: only rows of repeated keys need an exchange
+    repeated = rows.groupBy(names[0]).count().where("count > 1").select(names[0])
+    n = repeated.limit(BROADCAST_KEYS + 1).count()
+    if not n:
+        return rows.select(*names)
+    if n > BROADCAST_KEYS:
+        return last_loaded(rows)
+    repeated = F.broadcast(repeated)
+    return (rows.join(repeated, names[0], "left_anti").select(*names)
+            .unionByName(last_loaded(rows.join(repeated, names[0], "left_semi"))))
 
 
 def without_key(raw: DataFrame, key: str) -> DataFrame:
@@ -85,7 +101,7 @@ def build_stg(spark: SparkSession, raw_tables: dict[str, str], stg_root: str) ->
     for name, fn in STG.items():
         out[name] = f"{stg_root}/{name}"
         raw = loaded(spark, raw_tables["product_master" if name == "product_hierarchy" else name])
-        fn(raw).write.mode("overwrite").parquet(out[name])
+        fn(raw).write.mode("overwrite").parquet(out[name], compression="zstd")
         if name in KEYS:
             without_key(raw, KEYS[name]).write.mode("overwrite").parquet(f"{stg_root}/{name}_quarantine")
     return out
@@ -101,6 +117,6 @@ def build_curated(spark: SparkSession, stg: dict[str, str], customers: DataFrame
         reviews.select("review_id", "rating"),
         customer_locations(customers, nations),
         read("media_metadata"), read("returns_issues"))
-    curated.write.mode("overwrite").parquet(path)
+    curated.write.mode("overwrite").parquet(path, compression="zstd")
     product_media(read("media_metadata")).write.mode("overwrite").parquet(f"{path.rsplit('/', 1)[0]}/product_media")
     return path

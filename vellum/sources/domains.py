@@ -128,7 +128,7 @@ def write_load(spark: SparkSession, d: Domain, fresh: list, table_path: str) ->
     rows = reader.format(d.fmt).load([r.path for r in fresh])
     rows = rows.select("*", _file(F.col("_metadata.file_path"), encoded=True).alias("load_file"),
                        F.col("_metadata.file_modification_time").alias("load_time"))
-    rows.write.parquet(f"{table_path}/load_id={load_id}")
+    rows.write.parquet(f"{table_path}/load_id={load_id}", compression="zstd")
     return load_id
 
 
