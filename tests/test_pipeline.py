@@ -358,3 +358,12 @@ def test_a_fact_table_is_built_when_it_is_read(spark, sf_small):
     assert os.path.isdir(lake.part.replace("file:", "")) and not os.path.isdir(lake.nopart.replace("file:", ""))
     assert lake.csv_facts_nopart().count() == n and not os.path.isdir(lake.csv_part.replace("file:", ""))
     assert lake.csv_facts_nopart().schema == lake.facts_part().schema
+
+
+def test_a_listing_takes_few_tasks(spark, tmp_path):
+    from vellum.sources import stage
+    most = stage.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    for i in range(33 * most):
+        (tmp_path / f"{i}.pdf").write_bytes(b"x")
+    listing = stage.list_stage(spark, str(tmp_path))
+    assert listing.count() == 33 * most and listing.rdd.getNumPartitions() <= most

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+TASKS_PER_CORE = 4
 SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
 
 
@@ -47,13 +48,15 @@ def list_stage(spark: SparkSession, stage_dir: str) -> DataFrame:
              .load(stage_dir))
     path = F.regexp_replace("path", SCHEME, "")
     below = F.when(path.startswith(root), F.substring(path, F.lit(len(root) + 1), F.length(path)))
-    return files.select(
+    listed = files.select(
         F.coalesce(below, F.raise_error(F.concat(F.lit(f"listed outside the stage {root}: "), F.col("path")))).alias("relative_path"),
         F.col("path").alias("file_url"),
         F.col("path").alias("scoped_url"),
         F.col("length").cast("bigint").alias("size"),
         utc_time(F.col("modificationTime")).alias("last_modified"),
     )
+    # Spark plans a task for 32 files or fewer, as if it opened them; their metadata need no more tasks than keep all cores busy
+    return listed.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
 
 
 # Schemes of Hadoop listings and the Arrow file systems that open them.
