@@ -183,3 +183,40 @@ def test_training_order_is_range_sorted(spark, sf_small):
     rows = mixing.training_order(mixed).withColumn("part", F.spark_partition_id()).collect()
     assert [r.position for r in rows] == sorted(r.position for r in rows)
     assert len(rows) == mixed.select(F.sum(F.size("mix_positions"))).first()[0]
+
+
+def test_a_task_gives_its_memory_back():
+    from vellum.llm.common import lean
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096 >> 20
+
+    held = []
+
+    def task(batches):
+        block = [bytes(2000) for _ in range(100_000)]  # 200 MB of small pieces below one that stays
+        held.append(bytes(2000))
+        assert block
+        yield from batches
+
+    before = resident()
+    assert list(lean(task)(iter([1, 2]))) == [1, 2]
+    assert resident() - before < 100
+
+
+def test_batches_are_small_where_spark_says_nothing(spark):
+    from tests.llm.helpers import docs_frame
+    from vellum.llm import jaccard
+    from vellum.llm.common import BATCH_BOUND, BATCH_BYTES, small_batches
+
+    was = spark.conf.get(BATCH_BOUND)
+    try:
+        spark.conf.unset(BATCH_BOUND)  # as in a session that isn't ours
+        jaccard.jaccard_components(docs_frame(spark, ["a b c d e f", "a b c d e f"])).collect()
+        assert int(spark.conf.get(BATCH_BOUND)) == BATCH_BYTES
+        spark.conf.set(BATCH_BOUND, "1000000")
+        small_batches(spark)
+        assert spark.conf.get(BATCH_BOUND) == "1000000"
+    finally:
+        spark.conf.set(BATCH_BOUND, was)

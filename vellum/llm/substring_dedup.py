@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import whole_text, written
+from vellum.llm.common import lean, small_batches, whole_text, written
 from vellum.llm.encode import slices
 
 NO_ID = -(1 << 63)
@@ -165,7 +165,8 @@ def cut_units(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                      pa.array(again, ints)],
                     names=["row", "doc", "kept", "text", "bounds", "sizes", "h1", "h2", "again"])
 
-    return written(rows.mapInArrow(cut, schema), "units", compression="zstd")
+    small_batches(docs.sparkSession)
+    return written(rows.mapInArrow(lean(cut), schema), "units", compression="zstd")
 
 
 def lost_units(units: DataFrame) -> DataFrame:
@@ -221,5 +222,5 @@ def dedup_substrings(docs: DataFrame, min_words: int = 8, keep: tuple[str, ...]
                  pc.list_value_length(batch.column("sizes")).cast(pa.int64()), pa.array(n_removed, pa.int64())],
                 names=["kept", "text", "spans", "n_units", "n_removed"])
 
-    found = rows.mapInArrow(cut, f"kept {kept_type}, text string, spans array<struct<start:long,end:long>>, n_units long, n_removed long")
+    found = rows.mapInArrow(lean(cut), f"kept {kept_type}, text string, spans array<struct<start:long,end:long>>, n_units long, n_removed long")
     return found.select(*(F.col("kept")[c].alias(c) for c in ("doc_id", *extra)), "text", *RESULT)

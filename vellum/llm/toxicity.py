@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vellum.llm.common import whole_text
+from vellum.llm.common import lean, small_batches, whole_text
 from vellum.llm.encode import ragged, slices
 
 SAMPLE = 4000
@@ -447,7 +447,8 @@ def score_documents(docs: DataFrame, field: Field, keep: tuple[str, ...] = ("doc
                 out = [batch.column("kept").slice(first, len(texts)), *([given] if kept_text else []), pa.array(score), pa.array(spans, span_type)]
                 yield pa.RecordBatch.from_arrays(out, names=["kept", *(["text"] if kept_text else []), "score", "spans"])
 
-    found = rows.mapInArrow(scored, schema)
+    small_batches(docs.sparkSession)
+    found = rows.mapInArrow(lean(scored), schema)
     return found.select(*(F.col("text") if c == "text" else F.col("kept")[c].alias(c) for c in keep), "score", "spans")
 
 
@@ -465,5 +466,5 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Field:
         field = pickle.dumps(tuple(train(texts, toxic, rate=rate)))
         yield pa.RecordBatch.from_arrays([pa.array([field], pa.binary())], names=["field"])
 
-    found = rows.coalesce(1).mapInArrow(trained, "field binary").collect()
+    found = rows.coalesce(1).mapInArrow(lean(trained), "field binary").collect()
     return Field(*pickle.loads(found[0].field)) if found else train([], [], rate=rate)
