@@ -75,6 +75,28 @@ def test_components_equal_brute_force(spark, seed):
     assert sorted(map(tuple, got)) == sorted(brute_components(ids, texts))
 
 
+@pytest.mark.parametrize("earlier", [1, 2])
+def test_components_with_few_earlier_groups(spark, monkeypatch, earlier):
+    monkeypatch.setattr(jaccard, "EARLIER", earlier)
+    monkeypatch.setattr(jaccard, "CENTRES", 2)
+    test_components_equal_brute_force(spark, earlier)
+
+
+def test_a_pair_is_proposed_once_whatever_groups_it_shares(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(6)
+    groups = {n: rng.sample(range(30), 20) for n in range(40)}               # near copies: 13 common groups or so
+    state = spark.createDataFrame([(g, n, 100, n, [0] * 16) for n in groups for g in groups[n]],
+                                  "gid long, node long, size long, root long, parity array<long>").withColumn("earlier", jaccard._earlier("node"))
+    chosen = (state.where("node < 3 and gid % 2 = node % 2").select("gid", F.col("node").alias("u"), F.col("size").alias("u_size"),
+              F.col("root").alias("u_root"), F.col("parity").alias("u_parity")).withColumn("u_earlier", jaccard._earlier("u")))
+    want = {(u, v) for u in range(3) for v in groups if u != v and any(g % 2 == u % 2 for g in set(groups[u]) & set(groups[v]))}
+    got = collections.Counter(map(tuple, jaccard._proposed(state, chosen).collect()))
+    assert set(got) == {(min(p), max(p)) for p in want}
+    assert sum(got.values()) <= len(want)
+
+
 def test_one_row_stays_of_every_group(spark):
     texts = ["a b c d e f"] * 3 + ["A b c d e f", "x y z", None, None, "x y z"]
     ids = [4, 4, 2, 9, 4, 4, 1, None]
