@@ -97,6 +97,21 @@ def test_a_pair_is_proposed_once_whatever_groups_it_shares(spark):
     assert sum(got.values()) <= len(want)
 
 
+def test_equal_shingles_of_a_text_count_once():
+    texts = pa.array(["a b c d e " * 40, "x" * 70_000 + " a b c d e f", "", "a b c"])
+    assert [len(s) for s in shingle_sets(texts)] == [5, 3, 0, 1]
+    assert all((np.diff(s.astype(object)) > 0).all() for s in shingle_sets(texts))
+
+
+def test_hot_signatures_are_counted_without_their_rows(spark):
+    rows = [(7, n) for n in range(20)] + [(8, n) for n in range(3)] + [(9, n) for n in range(30)]
+    sigs = spark.createDataFrame(rows + rows, "sig long, node long")
+    known = np.array([9], np.uint64)
+    got = jaccard._shared(sigs, known, counted=True).collect()
+    assert [(r.sig, r.n, r.fresh) for r in got] == [(7, 20, True)]
+    assert sorted((r.sig or 0, r.fresh) for r in jaccard._shared(sigs, known).collect()) == [(0, False)] * 33 + [(7, True)] * 20
+
+
 def test_one_row_stays_of_every_group(spark):
     texts = ["a b c d e f"] * 3 + ["A b c d e f", "x y z", None, None, "x y z"]
     ids = [4, 4, 2, 9, 4, 4, 1, None]
