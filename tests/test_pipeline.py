@@ -367,3 +367,33 @@ def test_a_listing_takes_few_tasks(spark, tmp_path):
         (tmp_path / f"{i}.pdf").write_bytes(b"x")
     listing = stage.list_stage(spark, str(tmp_path))
     assert listing.count() == 33 * most and listing.rdd.getNumPartitions() <= most
+
+
+def test_small_waves_run_beside_each_other_and_append_in_order(spark, tmp_path, monkeypatch):
+    import threading
+    stage, root = str(tmp_path / "stage"), steps.PipelineRoot(str(tmp_path / "root"))
+    for i in range(12):
+        _write(f"{stage}/d{i}.pdf", "x")
+    steps.t1_register(spark, list_stage(spark, stage), root)
+    write, lock, under_way, most, order = steps._write_parsed, threading.Lock(), [], [], []
+    together = threading.Barrier(2, timeout=60)  # breaks where a wave begins only when the one before has ended
+
+    def watched(batch, files, stamp):
+        with lock:
+            under_way.append(stamp)
+            most.append(len(under_way))
+            order.append((files.first().place, stamp))
+        if len(order) <= 2:
+            together.wait()
+        try:
+            return write(batch, files, stamp)
+        finally:
+            under_way.remove(stamp)
+
+    monkeypatch.setattr(steps, "_write_parsed", watched)
+    monkeypatch.setattr(steps, "MAX_FILES", 8)  # two waves of four fill it
+    assert steps.t2_incremental(spark, root, lambda todo: todo, max_files=4) == 12
+    assert max(most) == 2 and sorted(order) == sorted(order, key=lambda x: x[1])
+    done = read_table(spark, root.processed, PROCESSED_SCHEMA)
+    assert [r["count"] for r in done.groupBy("insert_ts").count().collect()] == [4, 4, 4]
+    assert sorted(r.pdf_id for r in done.collect()) == sorted(f"d{i}" for i in range(12))

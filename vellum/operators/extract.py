@@ -18,7 +18,7 @@ that starts with RETRY: it stays on the work list.
 from __future__ import annotations
 
 import io
-from typing import Iterator
+from typing import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -143,12 +143,11 @@ def payload(decoded: Column) -> Column:
         decoded["parse_error"].alias("parse_error"))
 
 
-def decode_files(files: DataFrame, content_col: str) -> DataFrame:
-    """``files`` with ``decoded`` from a content column, read once; Python gets the bytes of PDFs and nothing of the rest."""
+def _decoded_column(types: dict[str, str], content_col: str) -> Column:
+    """``decoded`` of a content column, read once; Python gets the bytes of PDFs and nothing of the rest."""
     content = F.col(content_col)
-    rest = [c for c in files.columns if c != content_col]
     head = F.substring(content, 1, PDF_HEADER_WITHIN + len(PDF_MAGIC) - 1)
-    if dict(files.dtypes)[content_col] == "binary":
+    if types[content_col] == "binary":
         head, text = F.decode(head, "ISO-8859-1"), F.make_valid_utf8(content.cast("string"))
     else:
         text = content
@@ -156,7 +155,38 @@ def decode_files(files: DataFrame, content_col: str) -> DataFrame:
     missing = F.struct(F.lit(None).cast("string").alias("kind"), F.lit(None).cast("map<string,string>").alias("metadata"),
                        F.lit(None).cast("array<string>").alias("pages"), F.lit(f"{RETRY}no content").alias("parse_error"))
     pdf = decoded_content(F.when(is_pdf, content.cast("binary")))
-    return files.select(*rest, F.when(content.isNull(), missing).when(is_pdf, pdf).otherwise(text_as_decoded(text)).alias("decoded"))
+    return F.when(content.isNull(), missing).when(is_pdf, pdf).otherwise(text_as_decoded(text)).alias("decoded")
+
+
+def decode_files(files: DataFrame, content_col: str) -> DataFrame:
+    """``files`` with ``decoded`` in place of their content column."""
+    return files.select(*(c for c in files.columns if c != content_col), _decoded_column(dict(files.dtypes), content_col))
+
+
+def extraction(types: list[tuple[str, str]], content_col: str = "content", url_col: str = "scoped_url") -> Callable[[DataFrame], DataFrame]:
+    """``extract_documents`` for files whose columns have these names and types.
+
+    Its expressions are built once, which takes longer than planning them: what extracts many frames of one kind
+    keeps the function.
+    """
+    rest = [F.col(c) for c, _ in types if c != content_col]
+    decoded = _decoded_column(dict(types), content_col) if content_col in dict(types) else None
+    parsed = payload(F.col("decoded"))
+    out = (pdf_id("relative_path").alias("pdf_id"),
+           *map(F.col, ("file_name", "relative_path", "file_url", "last_modified")),
+           F.try_parse_json("payload.metadata").alias("pdf_metadata"),
+           try_to_number("payload.page_count").alias("page_count"),
+           F.col("payload.text").alias("extracted_text"),
+           F.col("payload.parse_error").alias("parse_error"))
+
+    def extract(files: DataFrame) -> DataFrame:
+        if decoded is None:
+            opened = _decoded_at(dealt_by_size(files, FILES_BYTES_PER_TASK), url_col)
+        else:
+            opened = files.select(*rest, decoded)
+        return opened.withColumn("payload", parsed).select(*out)
+
+    return extract
 
 
 def extract_documents(files: DataFrame, content_col: str = "content", url_col: str = "scoped_url") -> DataFrame:
@@ -167,16 +197,4 @@ def extract_documents(files: DataFrame, content_col: str = "content", url_col: s
     from it; without one, each task opens the files at ``url_col`` itself,
     about FILES_BYTES_PER_TASK of them (see ``dealt_by_size``).
     """
-    if content_col in files.columns:
-        decoded = decode_files(files, content_col)
-    else:
-        decoded = _decoded_at(dealt_by_size(files, FILES_BYTES_PER_TASK), url_col)
-    parsed = decoded.withColumn("payload", payload(F.col("decoded")))
-    return parsed.select(
-        pdf_id("relative_path").alias("pdf_id"),
-        "file_name", "relative_path", "file_url", "last_modified",
-        F.try_parse_json("payload.metadata").alias("pdf_metadata"),
-        try_to_number("payload.page_count").alias("page_count"),
-        F.col("payload.text").alias("extracted_text"),
-        F.col("payload.parse_error").alias("parse_error"),
-    )
+    return extraction(files.dtypes, content_col, url_col)(files)
