@@ -397,3 +397,38 @@ def test_small_waves_run_beside_each_other_and_append_in_order(spark, tmp_path,
     done = read_table(spark, root.processed, PROCESSED_SCHEMA)
     assert [r["count"] for r in done.groupBy("insert_ts").count().collect()] == [4, 4, 4]
     assert sorted(r.pdf_id for r in done.collect()) == sorted(f"d{i}" for i in range(12))
+
+
+def test_failures_of_all_waves_are_quarantined_once_and_those_before_an_error_too(spark, tmp_path, monkeypatch):
+    import pytest
+    stage, root = str(tmp_path / "stage"), steps.PipelineRoot(str(tmp_path / "root"))
+    for i in range(9):
+        _write(f"{stage}/d{i}.pdf", "x")
+    table = lambda broken: steps.ContentTable(spark.createDataFrame(
+        [(f"d{i}.pdf", "x") for i in range(9) if not broken or i % 2], "relative_path string, content string"))
+    steps.t1_register(spark, list_stage(spark, stage), root)
+    calls, quarantine, write = [], steps.quarantine, steps._write_parsed
+    monkeypatch.setattr(steps, "quarantine", lambda spark, bad, path: (calls.append(bad.count()), quarantine(spark, bad, path)))
+    assert steps.t2_incremental(spark, root, table(True), max_files=3) == 4
+    assert calls == [5] and _count(spark, root.quarantine, QUARANTINE_SCHEMA) == 5
+    assert steps.t2_incremental(spark, root, table(False), max_files=3) == 5
+
+    other, done = steps.PipelineRoot(str(tmp_path / "other")), []
+    monkeypatch.setattr(steps, "MAX_FILES", 3)  # one wave at a time
+
+    def second_raises(batch, files, stamp):
+        if done:
+            raise ValueError("a fault of the step")
+        done.append(write(batch, files, stamp))
+        return done[0]
+
+    steps.t1_register(spark, list_stage(spark, stage), other)
+    monkeypatch.setattr(steps, "_write_parsed", second_raises)
+    batch = read_table(spark, other.raw, RAW_SCHEMA)
+    with pytest.raises(ValueError, match="a fault of the step"):
+        steps._process_batch(spark, other, table(True), batch, max_files=3)
+    assert _count(spark, other.quarantine, QUARANTINE_SCHEMA) == done[0]
+    assert _count(spark, other.processed, PROCESSED_SCHEMA) == 3 - done[0]
+    monkeypatch.setattr(steps, "_write_parsed", write)
+    steps._process_batch(spark, other, table(False), batch, max_files=3)
+    assert _count(spark, other.processed, PROCESSED_SCHEMA) == 9
