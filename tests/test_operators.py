@@ -342,3 +342,46 @@ def test_only_rows_of_repeated_keys_are_exchanged(spark):
     assert kept(rows) == want and kept([*rows, *rows]) == want and kept(rows[1:]) == want
     plan = layers.stg_reviews(spark.createDataFrame(rows[1:], schema))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_tiled_left_join_equals_left_join(spark, monkeypatch):
+    from vellum.operators import joins
+    left = spark.createDataFrame([(i, "hot", f"left {i}") for i in range(40)] + [(50, "cold", None), (51, "none", "x"), (52, None, "y"), (53, None, "y"),
+                                 *[(60 + i, "alone", "z" * 30) for i in range(20)], (50, "cold", None)], "lid int, k string, lt string")
+    right = spark.createDataFrame([("hot", i, f"right {i}") for i in range(70)] + [("cold", 7, "c"), ("cold", 7, "c"), (None, 1, "n")]
+                                  + [("right only", i, "r" * 40) for i in range(90)] + [("cold", None, None)], "rk string, v int, rt string")
+    want = _rows(left.join(right, F.col("k") == F.col("rk"), "left"))
+    for most, keys in ((joins.MOST_TILES, joins.TILED_KEYS), (12, joins.TILED_KEYS), (joins.MOST_TILES, 1)):
+        monkeypatch.setattr(joins, "LEFT_TILE", (100, 10))
+        monkeypatch.setattr(joins, "RIGHT_TILE", (80, 9))
+        monkeypatch.setattr(joins, "MOST_TILES", most)
+        monkeypatch.setattr(joins, "TILED_KEYS", keys)
+        got = left_join_hot_safe(left, right, "k", "rk", spread_by=("v",), tiled_by=("lid",))
+        assert got.columns == left.columns + right.columns and _rows(got) == want
+        per_task = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert per_task < 70 * 40 / 4 or most == 12
+    none = right.where("v < 0")
+    assert _rows(left_join_hot_safe(left, none, "k", "rk", tiled_by=("lid",))) == _rows(left.join(none, F.col("k") == F.col("rk"), "left"))
+
+
+def test_the_final_view_is_written_with_few_copies_of_its_texts(spark, tmp_path):
+    import os
+
+    from vellum.operators.catalog import PROCESSED_SCHEMA, conform
+    from vellum.plans.final import final_integrated
+    text = lambda what: F.concat(*(F.sha2(F.concat(F.lit(f"{what}{i} "), F.col("id").cast("string")), 512) for i in range(24)))
+    manuals = conform(spark.range(40).select(F.concat(F.lit("7_Manual-"), "id").alias("pdf_id"), F.concat(F.lit("manuals/"), "id").alias("relative_path"),
+                                             F.lit("2024-01-01").cast("timestamp_ntz").alias("last_modified"), text("manual").alias("extracted_text")), PROCESSED_SCHEMA)
+    point = F.struct(F.lit(1.0).alias("lon"), F.lit(2.0).alias("lat"))
+    reviews = spark.range(400).select(F.lit("7").alias("product_id"), F.lit("b").alias("brand"), F.lit("m").alias("model_name"), F.lit("c").alias("category"),
+                                      F.col("id").alias("review_id"), F.lit("1999-01-01").cast("date").alias("review_date"), F.lit(1).alias("rating"),
+                                      text("review").alias("review_text"), F.lit("there").alias("reviewer_location_name"), point.alias("reviewer_geo_point"))
+    manuals.write.parquet(str(tmp_path / "manuals"))
+    reviews.write.parquet(str(tmp_path / "reviews"))
+    stats = spark.createDataFrame([(1.0, 0.5)], "avg_arr_delay double, cancel_rate double")
+    view = final_integrated(spark.read.parquet(str(tmp_path / "manuals")), spark.read.parquet(str(tmp_path / "reviews")), stats).drop("pdf_metadata")
+    view.write.parquet(str(tmp_path / "view"))
+    back = spark.read.parquet(str(tmp_path / "view"))
+    assert back.count() == 40 * 400 == back.select("relative_path", "review_text").distinct().count()
+    written = sum(os.path.getsize(f"{tmp_path}/view/{f}") for f in os.listdir(tmp_path / "view"))
+    assert written < 6_000_000, written  # 1.3 MB of texts, 98 MB of them in the rows
